@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from stratalake.schemas import BRONZE, CREDIT, PAYLOAD, RELEASE
 
 FIRST_EXTRACTION = 1704067200  # 2024-01-01 00:00:00 UTC
-ORDERS_PER_SECOND = 1250
+ORDERS_PER_SECOND = 10
 
 RECORDING = PAYLOAD["recordings"].dataType.elementType
 ARTIST = CREDIT["artist"].dataType
