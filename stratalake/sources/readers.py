@@ -54,13 +54,21 @@ def scan_latest_file(
     return scan_bronze_json(spark, latest_file(spark, path)["path"], schema, multi_line)
 
 
+def latest_batch(spark: SparkSession, path: str) -> str:
+    """The newest landed run's stamp, from file names alone; stamps sort as text."""
+    stamp = F.regexp_extract("path", r"/batch_id=([^/]+)/", 1)
+    newest = list_files(spark, path).agg(F.max(F.nullif(stamp, F.lit("")))).first()[0]
+    if newest is None:
+        raise FileNotFoundError(f"no landed batch below {path}")
+    return newest
+
+
 def scan_latest_batch(spark: SparkSession, path: str, schema: T.StructType = BRONZE) -> DataFrame:
-    """The newest landed batch: a run writes many files, so the run is the unit. Stamps sort as text, and
-    the maximum is found from folder names alone (partition column only)."""
+    """The newest landed run: a run writes many files, so the run is the unit. The filter on the partition
+    column prunes every other folder."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])
     landed = scan_bronze_json(spark, path, with_batch)
-    newest = landed.select("batch_id").agg(F.max("batch_id").alias("batch_id"))
-    return landed.join(newest, "batch_id", "left_semi").select(*schema.fieldNames())
+    return landed.filter(F.col("batch_id") == latest_batch(spark, path)).select(*schema.fieldNames())
 
 
 def flatten_schema(schema: T.StructType) -> list[tuple[str, str, bool]]:
