@@ -22,8 +22,13 @@ def _unnest(df: DataFrame, keep: list, array: str, pos: str, item: str, keep_emp
 
 
 def explode_recordings(bronze: DataFrame, keep_empty: bool = False) -> DataFrame:
-    lineage = ["artist_search", iso_timestamp(F.col("extracted_at")).alias("extracted_at")]
-    return _unnest(bronze, lineage, "data.recordings", "recording_pos", "recording", keep_empty)
+    # The time is parsed below the generator: once per envelope, not once per recording.
+    envelopes = bronze.select(
+        "artist_search",
+        iso_timestamp(F.col("extracted_at")).alias("extracted_at"),
+        F.col("data.recordings").alias("recordings"),
+    )
+    return _unnest(envelopes, LINEAGE, "recordings", "recording_pos", "recording", keep_empty)
 
 
 def explode_artist_credits(recordings: DataFrame, keep_empty: bool = False) -> DataFrame:

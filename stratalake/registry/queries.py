@@ -148,7 +148,7 @@ def write_parquet_overwrite(at: Layers) -> DataFrame:
 def write_csv_export(at: Layers) -> DataFrame:
     path = work_dir(at.spark, "csv")
     writers.write_csv_export(at.silver("albums"), path)
-    return at.spark.read.schema(SILVER["albums"]).option("header", True).csv(path)
+    return readers.read_csv_export(at.spark, path, SILVER["albums"])
 
 
 @query
@@ -649,7 +649,7 @@ def legacy_flat_export(at: Layers) -> DataFrame:
     }
 
     def slim(name: str) -> DataFrame:
-        rows = at.spark.read.option("header", True).csv(folders[name])
+        rows = readers.read_csv_export(at.spark, folders[name])
         key, date, url = (F.lit(None).cast("string") if n is None else c(n) for n in columns[name])
         return rows.select(
             F.lit(name).alias("table"),

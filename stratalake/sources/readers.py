@@ -33,6 +33,15 @@ def scan_silver_parquet(spark: SparkSession, base: str, table: str) -> DataFrame
     return spark.read.schema(SILVER[table]).parquet(f"{base}/{table}")
 
 
+def read_csv_export(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
+    """An export read back, as text columns unless a schema is given. `multi_line` is only needed for texts
+    with line breaks; without it files can be split."""
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
+    return (reader.schema(schema) if schema else reader).csv(path)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, modificationTime, length) of every file below a folder; no file is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -37,8 +37,8 @@ def landing_stamp(ts: Column) -> Column:
 
 
 def write_csv_export(df: DataFrame, path: str) -> None:
-    """CSV with a header; null is an empty field, and an empty text is quoted."""
-    df.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
+    """CSV with a header. Null is an empty field, an empty text is quoted, a quote is doubled."""
+    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
