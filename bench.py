@@ -50,9 +50,9 @@ def main() -> None:
         "run_silver_to_gold": lambda: jobs.run_silver_to_gold(
             spark, at.silver_base(), work_dir(spark, "gold")
         ),
-        "transform_artists": lambda: to_noop(silver.transform_artists(at.bronze())),
-        "transform_albums": lambda: to_noop(silver.transform_albums(at.bronze())),
-        "transform_songs": lambda: to_noop(silver.transform_songs(at.bronze())),
+        "transform_artists": lambda: to_noop(silver.transform_artists(at.bronze("artists"))),
+        "transform_albums": lambda: to_noop(silver.transform_albums(at.bronze("albums"))),
+        "transform_songs": lambda: to_noop(silver.transform_songs(at.bronze("songs"))),
         "build_artist_summary": lambda: to_noop(
             gold.build_artist_summary(at.silver("artists"), at.silver("songs"), at.silver("albums"))
         ),

@@ -13,8 +13,8 @@ import argparse
 from datetime import datetime, timezone
 
 from stratalake.plans.flat_export import export_flat
-from stratalake.plans.jobs import run_bronze_to_silver, run_silver_to_gold, stage_bronze
-from stratalake.session import build_session
+from stratalake.plans.jobs import read_staged, run_bronze_to_silver, run_silver_to_gold, stage_bronze
+from stratalake.session import build_session, work_dir
 from stratalake.sources.readers import inspect_schema, scan_bronze_json
 from stratalake.streaming.ingest import run_incremental
 
@@ -44,8 +44,9 @@ def main() -> None:
     elif args.job == "incremental":
         print(run_incremental(spark, args.landing, args.state, args.silver))
     elif args.job == "export-csv":
-        staged = stage_bronze(spark, scan_bronze_json(spark, args.bronze, multi_line=args.multi_line))
-        print(export_flat(staged, args.out, datetime.now(timezone.utc)))
+        staged = work_dir(spark, "bronze")
+        stage_bronze(scan_bronze_json(spark, args.bronze, multi_line=args.multi_line), staged)
+        print(export_flat(read_staged(spark, staged), args.out, datetime.now(timezone.utc)))
     else:
         raw = spark.read.option("multiLine", args.multi_line).json(args.bronze)
         inspect_schema(raw).show(1000, truncate=False)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from stratalake.plans.gold import build_artist_summary, build_yearly_release_metrics
 from stratalake.plans.silver import TRANSFORMS
+from stratalake.schemas import BRONZE, BRONZE_FOR
 from stratalake.session import work_dir
 from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet
 from stratalake.sources.writers import write_parquet_overwrite, write_with_count
@@ -24,12 +25,19 @@ def write_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -
         return {name: run.result() for name, run in runs.items()}
 
 
-def stage_bronze(spark: SparkSession, envelopes: DataFrame, path: str | None = None) -> DataFrame:
-    """Bronze as nested Parquet. Raw JSON is parsed once, and each table's scan then reads only the struct
-    leaves it uses. The copy lies in the shared folder, so lost executors cost no re-parse."""
-    path = path or work_dir(spark, "bronze")
+def stage_bronze(envelopes: DataFrame, path: str) -> None:
+    """Bronze as nested Parquet: raw JSON is parsed once, whatever is built from it. The copy lies in the
+    shared folder, so lost executors cost no re-parse."""
     write_parquet_overwrite(envelopes, path)
-    return spark.read.schema(envelopes.schema).parquet(path)
+
+
+def read_staged(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """Staged envelopes; for a silver table, just the columns inside them which that table needs."""
+    return spark.read.schema(BRONZE_FOR[table] if table else BRONZE).parquet(path)
+
+
+def silver_from_staged(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    return {table: make(read_staged(spark, path, table)) for table, make in TRANSFORMS.items()}
 
 
 def run_bronze_to_silver(
@@ -40,9 +48,9 @@ def run_bronze_to_silver(
     stage_path: str | None = None,
 ) -> dict[str, int]:
     """Rebuild artists, albums and songs from all raw files; returns the row count per table."""
-    envelopes = scan_bronze_json(spark, bronze_path, multi_line=multi_line)
-    staged = stage_bronze(spark, envelopes, stage_path)
-    return write_tables(spark, {name: make(staged) for name, make in TRANSFORMS.items()}, silver_base)
+    stage_path = stage_path or work_dir(spark, "bronze")
+    stage_bronze(scan_bronze_json(spark, bronze_path, multi_line=multi_line), stage_path)
+    return write_tables(spark, silver_from_staged(spark, stage_path), silver_base)
 
 
 def run_silver_to_gold(

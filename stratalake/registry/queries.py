@@ -185,21 +185,21 @@ def explode_recordings(at: Layers) -> DataFrame:
 
 @query
 def explode_artist_credits(at: Layers) -> DataFrame:
-    return silver.flat_artists(at.bronze(), keep_empty=True).select(
+    return silver.flat_artists(at.bronze("artists"), keep_empty=True).select(
         *generators.LINEAGE, *silver.POSITIONS, "artist_id", "artist_name"
     )
 
 
 @query
 def explode_releases(at: Layers) -> DataFrame:
-    return silver.flat_albums(at.bronze(), keep_empty=True).select(
+    return silver.flat_albums(at.bronze("albums"), keep_empty=True).select(
         *generators.LINEAGE, *silver.POSITIONS, "album_id", "album_name"
     )
 
 
 @query
 def flatten_inner(at: Layers) -> DataFrame:
-    return silver.flat_albums(at.bronze()).select(
+    return silver.flat_albums(at.bronze("albums")).select(
         *generators.LINEAGE, *silver.POSITIONS, "album_id", "album_name"
     )
 
@@ -213,22 +213,22 @@ def nested_get_default(at: Layers) -> DataFrame:
 
 @query
 def project_artist_fields(at: Layers) -> DataFrame:
-    return silver.flat_artists(at.bronze())
+    return silver.flat_artists(at.bronze("artists"))
 
 
 @query
 def project_album_fields(at: Layers) -> DataFrame:
-    return silver.flat_albums(at.bronze())
+    return silver.flat_albums(at.bronze("albums"))
 
 
 @query
 def project_song_fields(at: Layers) -> DataFrame:
-    return silver.flat_songs(at.bronze()).drop("item_pos")
+    return silver.flat_songs(at.bronze("songs")).drop("item_pos")
 
 
 @query
 def project_artist_fields_wide(at: Layers) -> DataFrame:
-    return silver.flat_artists(at.bronze(), wide=True).drop(*silver.POSITIONS)
+    return silver.flat_artists(at.bronze("artists"), wide=True).drop(*silver.POSITIONS)
 
 
 @query
@@ -239,14 +239,14 @@ def carry_lineage(at: Layers) -> DataFrame:
 
 @query
 def derive_and_drop(at: Layers) -> DataFrame:
-    rows = silver.flat_albums(at.bronze()).select("album_id", "album_name", "country", "release_date_raw")
+    rows = silver.flat_albums(at.bronze("albums")).select("album_id", "album_name", "country", "release_date_raw")
     clean = d.normalize_partial_date(c("release_date_raw"))
     return p.derive_and_drop(rows, {"release_date": clean}, "release_date_raw")
 
 
 @query
 def filter_key_not_null(at: Layers) -> DataFrame:
-    return filters.key_not_null(silver.flat_artists(at.bronze()), "artist_id")
+    return filters.key_not_null(silver.flat_artists(at.bronze("artists")), "artist_id")
 
 
 @query
@@ -399,7 +399,7 @@ def audit_created_at(at: Layers) -> DataFrame:
 
 @query
 def fill_false_bool(at: Layers) -> DataFrame:
-    return silver.flat_songs(at.bronze()).select(
+    return silver.flat_songs(at.bronze("songs")).select(
         "recording_id", "score", f.flag_or_false(c("video")).alias("video")
     )
 
@@ -441,12 +441,12 @@ def json_decode_encode(at: Layers) -> DataFrame:
 @query
 def dedup_any(at: Layers) -> DataFrame:
     """Only the keys: which row stays is open."""
-    return keep_any(silver.flat_albums(at.bronze()), "album_id").select("album_id")
+    return keep_any(silver.flat_albums(at.bronze("albums")), "album_id").select("album_id")
 
 
 @query
 def dedup_keep_first(at: Layers) -> DataFrame:
-    rows = silver.flat_artists(at.bronze(), wide=True)
+    rows = silver.flat_artists(at.bronze("artists"), wide=True)
     return keep_first(rows, "artist_id", silver.DOCUMENT_ORDER).drop(*silver.POSITIONS)
 
 
@@ -510,7 +510,7 @@ def null_profile(at: Layers) -> DataFrame:
 
 @query
 def shape_dtypes_profile(at: Layers) -> DataFrame:
-    before = silver.silver_view(silver.keyed_rows(at.bronze(), "albums"), "albums")
+    before = silver.silver_view(silver.keyed_rows(at.bronze("albums"), "albums"), "albums")
     return profile.stack_profiles(
         [
             profile.shape_dtypes(at.silver("albums"), "albums"),
@@ -595,17 +595,17 @@ def incremental_upsert(at: Layers) -> DataFrame:
 
 @query
 def transform_artists(at: Layers) -> DataFrame:
-    return silver.transform_artists(at.bronze())
+    return silver.transform_artists(at.bronze("artists"))
 
 
 @query
 def transform_albums(at: Layers) -> DataFrame:
-    return silver.transform_albums(at.bronze())
+    return silver.transform_albums(at.bronze("albums"))
 
 
 @query
 def transform_songs(at: Layers) -> DataFrame:
-    return silver.transform_songs(at.bronze())
+    return silver.transform_songs(at.bronze("songs"))
 
 
 @query
@@ -673,20 +673,20 @@ def clean_and_profile(at: Layers) -> DataFrame:
 
 @query
 def dq_null_check(at: Layers) -> DataFrame:
-    rows = silver.flat_albums(at.bronze())
+    rows = silver.flat_albums(at.bronze("albums"))
     return quality.dq_null_check(rows, "release rows", ["album_id", "country", "status", "track_count"])
 
 
 @query
 def dq_unique_check(at: Layers) -> DataFrame:
-    before = quality.dq_unique_check(silver.flat_albums(at.bronze()), "release rows", "album_id")
+    before = quality.dq_unique_check(silver.flat_albums(at.bronze("albums")), "release rows", "album_id")
     return before.unionByName(quality.dq_unique_check(at.silver("albums"), "albums", "album_id"))
 
 
 @query
 def dq_date_check(at: Layers) -> DataFrame:
-    albums = quality.dq_date_check(silver.flat_albums(at.bronze()), "release rows", ["release_date_raw"])
-    songs = silver.flat_songs(at.bronze())
+    albums = quality.dq_date_check(silver.flat_albums(at.bronze("albums")), "release rows", ["release_date_raw"])
+    songs = silver.flat_songs(at.bronze("songs"))
     return albums.unionByName(quality.dq_date_check(songs, "recording rows", ["first_release_date_raw"]))
 
 
@@ -695,7 +695,7 @@ def dq_schema_check(at: Layers) -> DataFrame:
     """Silver albums as stored, and the uncleaned release rows, which lack two columns."""
     stored = at.spark.read.parquet(f"{at.silver_base()}/albums")
     good = quality.dq_schema_check(stored, "albums", SILVER["albums"])
-    rows = silver.flat_albums(at.bronze())
+    rows = silver.flat_albums(at.bronze("albums"))
     return good.unionByName(quality.dq_schema_check(rows, "release rows", SILVER["albums"]))
 
 

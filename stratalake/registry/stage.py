@@ -9,10 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.plans.jobs import stage_bronze, write_tables
-from stratalake.plans.silver import TRANSFORMS
+from stratalake.plans.jobs import read_staged, silver_from_staged, stage_bronze, write_tables
 from stratalake.registry.bronze_from_tables import envelopes
-from stratalake.schemas import BRONZE
 from stratalake.session import work_dir
 from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet
 from stratalake.sources.writers import write_json_lines
@@ -33,12 +31,16 @@ class Layers:
             self.json_path = path
         return self.json_path
 
-    def bronze(self) -> DataFrame:
+    def bronze(self, table: str | None = None) -> DataFrame:
+        """Whole envelopes, or the part of them that a silver table needs."""
+        return read_staged(self.spark, self.bronze_parquet(), table)
+
+    def bronze_parquet(self) -> str:
         if self.parquet_path is None:
             path = work_dir(self.spark, "bronze")
-            stage_bronze(self.spark, scan_bronze_json(self.spark, self.bronze_json()), path)
+            stage_bronze(scan_bronze_json(self.spark, self.bronze_json()), path)
             self.parquet_path = path
-        return self.spark.read.schema(BRONZE).parquet(self.parquet_path)
+        return self.parquet_path
 
     def silver(self, table: str) -> DataFrame:
         return scan_silver_parquet(self.spark, self.silver_base(), table)
@@ -46,7 +48,7 @@ class Layers:
     def silver_base(self) -> str:
         if self.silver_path is None:
             path = work_dir(self.spark, "silver")
-            write_tables(self.spark, {n: make(self.bronze()) for n, make in TRANSFORMS.items()}, path)
+            write_tables(self.spark, silver_from_staged(self.spark, self.bronze_parquet()), path)
             self.silver_path = path
         return self.silver_path
 

@@ -51,6 +51,13 @@ def bronze_schema(songs: bool = True, credits: bool = True, releases: bool = Tru
 
 
 BRONZE = bronze_schema()
+# What each silver table needs of an envelope. Catalyst prunes a generator's input only when a single leaf
+# of it is used, so jobs hand the scan the narrow schema themselves.
+BRONZE_FOR = {
+    "artists": bronze_schema(songs=False, releases=False),
+    "albums": bronze_schema(songs=False, credits=False),
+    "songs": bronze_schema(credits=False, releases=False),
+}
 PAYLOAD = BRONZE["data"].dataType
 
 SILVER = {

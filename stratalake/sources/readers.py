@@ -36,8 +36,8 @@ def scan_silver_parquet(spark: SparkSession, base: str, table: str) -> DataFrame
 def read_csv_export(
     spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """An export read back, as text columns unless a schema is given. `multi_line` is only needed for texts
-    with line breaks; without it files can be split."""
+    """An export read back, as text columns unless a schema is given; an empty text comes back as null.
+    `multi_line` is only needed for texts with line breaks; without it files can be split."""
     reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
     return (reader.schema(schema) if schema else reader).csv(path)
 

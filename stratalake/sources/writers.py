@@ -38,7 +38,8 @@ def landing_stamp(ts: Column) -> Column:
 
 def write_csv_export(df: DataFrame, path: str) -> None:
     """CSV with a header. Null is an empty field, an empty text is quoted, a quote is doubled."""
-    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
+    text_as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, escape='"', **text_as_is).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -67,10 +67,12 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def duckdb_over(folder):
+def duckdb_over(folder, parts=False):
+    """The tables as views; with `parts` each table is a folder that Spark wrote."""
     import duckdb
 
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        files = f"{folder}/{name}.parquet" + ("/*.parquet" if parts else "")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return con
