@@ -16,7 +16,7 @@ from stratalake.plans.flat_export import export_flat
 from stratalake.plans.jobs import read_staged, run_bronze_to_silver, run_silver_to_gold, stage_bronze
 from stratalake.session import build_session, work_dir
 from stratalake.sources.readers import inspect_schema, scan_bronze_json
-from stratalake.streaming.ingest import run_incremental
+from stratalake.streaming.upsert import run_incremental
 
 
 def main() -> None:

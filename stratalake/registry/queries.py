@@ -20,7 +20,7 @@ from stratalake.registry.stage import Layers, comparable, layers
 from stratalake.schemas import BRONZE, SILVER
 from stratalake.session import work_dir
 from stratalake.sources import catalog, readers, writers
-from stratalake.streaming import ingest
+from stratalake.streaming import ingest, upsert
 
 RUN_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
 EARLIER_RUN_TS = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -583,11 +583,12 @@ def stream_dedup_watermark(at: Layers) -> DataFrame:
 @query
 def incremental_upsert(at: Layers) -> DataFrame:
     """The later half arrives first: the merge must still let the earlier rows win."""
-    landing, changes, state = (work_dir(at.spark, n) for n in ("landing", "changes", "state"))
+    landing, base, state = (work_dir(at.spark, n) for n in ("landing", "upsert", "state"))
     for odd, ts in ((1, EARLIER_RUN_TS), (0, RUN_TS)):
         writers.land_bronze(half(at, odd), landing, run_ts(ts))
-        ingest.append_changes(at.spark, landing, changes, state, "songs")
-    return silver.silver_view(ingest.upserted([at.spark.read.parquet(changes)], "songs"), "songs")
+        upsert.append_changes(at.spark, landing, f"{base}/changes", state, "songs")
+        merged = upsert.advance_snapshot(at.spark, base, "songs")
+    return silver.silver_view(merged, "songs")
 
 
 # Whole jobs

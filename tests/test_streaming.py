@@ -4,7 +4,7 @@ from conftest import envelope, rows
 from stratalake.plans import silver
 from stratalake.schemas import SILVER
 from stratalake.sources.readers import scan_bronze_json
-from stratalake.streaming import ingest
+from stratalake.streaming import ingest, upsert
 
 
 def song(key, title, at):
@@ -65,12 +65,16 @@ def test_incremental_runs_equal_one_batch_run(spark, folder, write_bronze):
     ]
     for batch in arrivals:
         landing = write_bronze(batch) if batch else landing  # noqa: F821
-        counts = ingest.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver")
+        counts = upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver")
     bronze = scan_bronze_json(spark, landing)
     for table, make in silver.TRANSFORMS.items():
         stored = spark.read.schema(SILVER[table]).parquet(f"{folder}/silver/{table}")
         assert rows(stored) == rows(make(bronze))
         assert stored.count() == counts[table]
+    # three batches brought something, so there are three snapshots, each named in the log
+    snapshots = {f for f in os.listdir(f"{folder}/state/songs/snapshots") if f.startswith("upto=")}
+    logged = {f"upto={r[0]}" for r in spark.read.parquet(f"{folder}/state/songs/log").collect()}
+    assert snapshots == logged and len(logged) == 3
     assert ("1", "early") in [(r["recording_id"], r["title"]) for r in silver.transform_songs(bronze).collect()]
 
 
@@ -83,7 +87,16 @@ def test_merging_is_associative(spark, write_bronze, folder):
         name = f"only-{n}.json"
         path = write_bronze(part, name)
         frames.append(silver.keyed_rows(scan_bronze_json(spark, f"{path}/{name}"), "songs"))
-    once = rows(ingest.upserted(frames, "songs"))
+    once = rows(upsert.upserted(frames, "songs"))
     for a, b, c in itertools.permutations(frames):
-        step = ingest.upserted([ingest.upserted([a, b], "songs"), c], "songs")
+        step = upsert.upserted([upsert.upserted([a, b], "songs"), c], "songs")
         assert rows(step) == once
+
+
+def test_a_snapshot_the_log_does_not_name_is_made_again(spark, folder, write_bronze):
+    landing = write_bronze([song("1", "b", DAYS[1])])
+    upsert.append_changes(spark, landing, f"{folder}/changes", f"{folder}/state", "songs")
+    arrived = spark.read.parquet(f"{folder}/changes").first()["arrived"]
+    spark.range(3).write.parquet(f"{folder}/snapshots/upto={arrived}")  # left over from a run that died
+    assert [r["title"] for r in upsert.advance_snapshot(spark, folder, "songs").collect()] == ["b"]
+    assert upsert.last_snapshot(spark, f"{folder}/log") == arrived
