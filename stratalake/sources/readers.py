@@ -29,6 +29,12 @@ def scan_bronze_json(
     return reader.option("multiLine", multi_line).json(path)
 
 
+def conform_bronze(inferred: DataFrame) -> DataFrame:
+    """A frame whose schema was inferred, brought to the bronze schema by field name at every level: fields
+    that no record carried are added as null, further ones dropped."""
+    return inferred.to(BRONZE)
+
+
 def scan_silver_parquet(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.schema(SILVER[table]).parquet(f"{base}/{table}")
 

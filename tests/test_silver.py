@@ -10,8 +10,8 @@ from conftest import envelope, rows
 from stratalake.fixed_values import ARTIST_URL_PREFIX, RELEASE_URL_PREFIX
 from stratalake.plans import silver
 from stratalake.plans.flat_export import flat_tables
-from stratalake.schemas import SILVER
-from stratalake.sources.readers import scan_bronze_json
+from stratalake.schemas import BRONZE, SILVER
+from stratalake.sources.readers import conform_bronze, scan_bronze_json
 
 
 def credit(key, name="N", **more):
@@ -148,3 +148,11 @@ def test_flat_export_keeps_one_row_without_key(spark, write_bronze):
     artists = {r["artist_id"]: r for r in tables["artist"].collect()}
     assert set(artists) == {"", None}
     assert artists[""]["artist_url"] is None and artists[""]["artist_type"] == "Person"
+
+
+def test_inferred_schemas_are_conformed(spark, write_bronze):
+    path = write_bronze([envelope("s", [{"id": "r", "tags": ["x"], "releases": [{"id": "l", "date": "2001"}]}])])
+    bronze = conform_bronze(spark.read.json(path))
+    assert bronze.schema == BRONZE
+    for make in silver.TRANSFORMS.values():
+        assert rows(make(bronze)) == rows(make(scan_bronze_json(spark, path)))
