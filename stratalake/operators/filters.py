@@ -3,12 +3,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.fixed_values import TARGET_SEARCHES
+
 
 def key_not_null(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull())
 
 
-def target_searches(df: DataFrame, targets: list[str] | DataFrame) -> DataFrame:
+def target_searches(df: DataFrame, targets: list[str] | DataFrame = TARGET_SEARCHES) -> DataFrame:
     """Keep the rows of the wanted searches. A list from the caller's own code becomes an IN filter, which
     the Parquet scan takes; a table of any size becomes a semi join, whose strategy Spark picks from the
     table's measured size."""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from stratalake.plans.gold import build_artist_summary, build_yearly_release_metrics
 from stratalake.plans.silver import TRANSFORMS
 from stratalake.schemas import BRONZE, BRONZE_FOR
-from stratalake.session import work_dir
+from stratalake.session import drop_work_dir, work_dir
 from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet
 from stratalake.sources.writers import write_parquet_overwrite, write_with_count
 
@@ -47,10 +47,14 @@ def run_bronze_to_silver(
     multi_line: bool = False,
     stage_path: str | None = None,
 ) -> dict[str, int]:
-    """Rebuild artists, albums and songs from all raw files; returns the row count per table."""
-    stage_path = stage_path or work_dir(spark, "bronze")
-    stage_bronze(scan_bronze_json(spark, bronze_path, multi_line=multi_line), stage_path)
-    return write_tables(spark, silver_from_staged(spark, stage_path), silver_base)
+    """Rebuild artists, albums and songs from all raw files; returns the row count per table. The staged
+    copy is kept where `stage_path` says; without one it is removed when the tables are written."""
+    staged = stage_path or work_dir(spark, "bronze")
+    stage_bronze(scan_bronze_json(spark, bronze_path, multi_line=multi_line), staged)
+    counts = write_tables(spark, silver_from_staged(spark, staged), silver_base)
+    if stage_path is None:
+        drop_work_dir(spark, staged)
+    return counts
 
 
 def run_silver_to_gold(

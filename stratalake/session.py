@@ -51,3 +51,11 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder name for one run's intermediate tables; nothing is ever written there twice."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/stratalake/{app}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_work_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that `work_dir` named, once its run is over; refuses any other folder."""
+    if not path.startswith(f"{shared_dir(spark)}/stratalake/"):
+        raise ValueError(f"not a work folder of this session: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -90,3 +90,17 @@ def test_top_n_in_two_rounds_equals_one_round(spark):
         expected += sorted((r for r in data if r[0] == key), key=lambda r: (-r[1], r[2]))[:7]
     got = top_n_per_key(df, "k", [F.desc("score"), F.asc("id")], 7, spread_by="id", parts=8)
     assert rows(got) == sorted(expected, key=repr)
+
+
+def test_shuffle_join_equals_broadcast_join(spark, silver):
+    """What large statistics get: a sort-merge join over search and part."""
+    args = (silver["artists"], silver["songs"], silver["albums"], RUN)
+    expected = rows(build_artist_summary(*args))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = build_artist_summary(*args)
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        assert rows(df) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

@@ -156,3 +156,82 @@ def test_inferred_schemas_are_conformed(spark, write_bronze):
     assert bronze.schema == BRONZE
     for make in silver.TRANSFORMS.values():
         assert rows(make(bronze)) == rows(make(scan_bronze_json(spark, path)))
+
+
+def by_hand(envelopes, table):
+    """The table's rows from plain loops over the documents."""
+    leaves = {
+        "artists": ["id", "name", "sort-name", "disambiguation"],
+        "albums": ["id", "title", "date", "country", "status", "track-count"],
+        "songs": ["id", "title", "length", "video", "score", "first-release-date"],
+    }[table]
+    best = {}
+    for e in envelopes:
+        at = e["extracted_at"].removesuffix("+00:00")
+        for r, recording in enumerate((e.get("data") or {}).get("recordings") or []):
+            found = {
+                "artists": [x.get("artist") or {} for x in recording.get("artist-credit") or []],
+                "albums": recording.get("releases") or [],
+                "songs": [recording],
+            }[table]
+            for i, item in enumerate(found):
+                if item.get("id") is None:
+                    continue
+                values = [item.get(leaf) for leaf in leaves]
+                rank = [at, e["artist_search"], r, i, *values[1:]]
+                rank = [(x is not None, x) for x in rank]
+                if item["id"] not in best or rank < best[item["id"]][0]:
+                    best[item["id"]] = (rank, values, e["artist_search"])
+    return sorted(((*values, search) for _, values, search in best.values()), key=repr)
+
+
+def test_tables_equal_plain_loops_on_random_documents(spark, write_bronze):
+    rng = random.Random(11)
+
+    def maybe(value, chance=0.7):
+        return value if rng.random() < chance else None
+
+    def some(make, most):
+        kind = rng.random()
+        return None if kind < 0.1 else [make() for _ in range(rng.randrange(most))]
+
+    def drop_nulls(item):
+        return {k: x for k, x in item.items() if x is not None or rng.random() < 0.5}
+
+    def a_release():
+        return drop_nulls(
+            {
+                "id": maybe(f"l{rng.randrange(25)}", 0.9),
+                "title": maybe(rng.choice("xyz")),
+                "country": maybe(rng.choice(["GB", "US"])),
+                "track-count": maybe(rng.randrange(5)),
+            }
+        )
+
+    def a_credit():
+        artist = drop_nulls({"id": maybe(f"a{rng.randrange(15)}", 0.9), "name": maybe(rng.choice("xyz"))})
+        return {"artist": maybe(artist, 0.95)}
+
+    def a_recording():
+        return drop_nulls(
+            {
+                "id": maybe(f"r{rng.randrange(30)}", 0.9),
+                "title": maybe(rng.choice("xyz")),
+                "length": maybe(rng.randrange(9)),
+                "video": maybe(rng.random() < 0.5),
+                "score": maybe(rng.randrange(4)),
+                "artist-credit": some(a_credit, 3),
+                "releases": some(a_release, 4),
+            }
+        )
+
+    envelopes = [
+        envelope(rng.choice("abc"), some(a_recording, 6), f"2024-01-01T00:00:0{rng.randrange(6)}+00:00")
+        for _ in range(300)
+    ]
+    bronze = scan_bronze_json(spark, write_bronze(envelopes))
+    for table, make in silver.TRANSFORMS.items():
+        merged = silver.merge_rows(silver.keyed_rows(bronze, table), table)
+        columns = [c for c in merged.columns if c not in (*silver.POSITIONS, "extracted_at")]
+        assert rows(merged.select(*columns)) == by_hand(envelopes, table)
+        assert make(bronze).count() == merged.count()

@@ -1,4 +1,3 @@
-import json
 import os
 import time
 
@@ -12,7 +11,7 @@ from stratalake.operators.unions import union_searches
 from stratalake.plans import jobs
 from stratalake.registry.stage import layers
 from stratalake.schemas import bronze_schema
-from stratalake.session import shared_dir, work_dir
+from stratalake.session import drop_work_dir, shared_dir, work_dir
 from stratalake.sources import catalog, readers, writers
 
 TWO = [envelope("a", [{"id": "r1"}]), envelope("b", [{"id": "r2"}, {"id": "r3"}])]
@@ -153,3 +152,11 @@ def test_work_folders_follow_the_session(spark, monkeypatch):
         assert shared_dir(spark) == kept.rstrip("/")
         assert work_dir(spark, "x").startswith(kept)
     assert work_dir(spark, "x") != work_dir(spark, "x")
+
+
+def test_only_work_folders_can_be_dropped(spark, folder):
+    spark.range(1).write.parquet(folder)
+    with pytest.raises(ValueError):
+        drop_work_dir(spark, "/tmp/elsewhere")
+    drop_work_dir(spark, folder)
+    assert not os.path.exists(folder)
