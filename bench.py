@@ -8,14 +8,19 @@ import re
 import statistics
 import time
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from stratalake.plans import gold, jobs, silver
+from stratalake.plans.clean_profile import clean_and_profile
+from stratalake.plans.flat_export import export_flat
 from stratalake.registry.stage import layers
 from stratalake.session import build_session, work_dir
+from stratalake.streaming.ingest import ingest_bronze
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUN_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
 
 def seconds(run: Callable[[], object]) -> float:
@@ -59,6 +64,13 @@ def main() -> None:
         "build_yearly_release_metrics": lambda: to_noop(
             gold.build_yearly_release_metrics(at.silver("albums"))
         ),
+        "clean_and_profile": lambda: to_noop(clean_and_profile(at.bronze_parts())),
+        "flat_csv_export": lambda: export_flat(
+            spark, at.bronze_parts(), work_dir(spark, "export"), RUN_TS
+        ),
+        "stream_json_ingest": lambda: ingest_bronze(
+            spark, at.bronze_json(), work_dir(spark, "ingested"), work_dir(spark, "state")
+        ),
     }
     for name, run in headline.items():
         times[name] = statistics.median(seconds(run) for _ in range(RUNS))

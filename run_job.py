@@ -13,8 +13,8 @@ import argparse
 from datetime import datetime, timezone
 
 from stratalake.plans.flat_export import export_flat
-from stratalake.plans.jobs import read_staged, run_bronze_to_silver, run_silver_to_gold, stage_bronze
-from stratalake.session import build_session, work_dir
+from stratalake.plans.jobs import run_bronze_to_silver, run_silver_to_gold, stage_bronze, staged_parts
+from stratalake.session import build_session, drop_work_dir, work_dir
 from stratalake.sources.readers import inspect_schema, scan_bronze_json
 from stratalake.streaming.upsert import run_incremental
 
@@ -46,7 +46,8 @@ def main() -> None:
     elif args.job == "export-csv":
         staged = work_dir(spark, "bronze")
         stage_bronze(scan_bronze_json(spark, args.bronze, multi_line=args.multi_line), staged)
-        print(export_flat(read_staged(spark, staged), args.out, datetime.now(timezone.utc)))
+        print(export_flat(spark, staged_parts(spark, staged), args.out, datetime.now(timezone.utc)))
+        drop_work_dir(spark, staged)
     else:
         raw = spark.read.option("multiLine", args.multi_line).json(args.bronze)
         inspect_schema(raw).show(1000, truncate=False)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.dates import normalize_partial_date
 from stratalake.functions.values import flag_or_false
 from stratalake.operators.profile import null_profile, stack_profiles
-from stratalake.plans.flat_export import RAW_DATES, first_rows
+from stratalake.plans.flat_export import RAW_DATES, Bronze, first_rows
 
 
 def _cleaned(column: str) -> Column:
@@ -17,14 +17,14 @@ def _cleaned(column: str) -> Column:
     return flag_or_false(F.col(column)) if column == "video" else F.col(column)
 
 
-def clean_tables(bronze: DataFrame) -> dict[str, DataFrame]:
+def clean_tables(bronze: Bronze) -> dict[str, DataFrame]:
     return {
         name: df.select(*(_cleaned(c).alias(c.removesuffix("_raw")) for c in df.columns))
         for name, df in first_rows(bronze).items()
     }
 
 
-def clean_and_profile(bronze: DataFrame) -> DataFrame:
+def clean_and_profile(bronze: Bronze) -> DataFrame:
     """(stage, table, column, null_count) of the de-duplicated tables before and after cleaning. Both
     stages are counted side by side, so each table is de-duplicated once."""
     profiles = []

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.fixed_values import ARTIST_URL_PREFIX, RELEASE_URL_PREFIX
@@ -12,16 +13,23 @@ from stratalake.functions.values import build_url
 from stratalake.operators.dedup import keep_first
 from stratalake.operators.projections import ALBUM_FIELDS, ARTIST_FIELDS_WIDE, SONG_FIELDS
 from stratalake.plans import silver as s
+from stratalake.plans.jobs import run_together
+from stratalake.schemas import SILVER_KEYS
 from stratalake.sources.writers import export_stamp, write_csv_export
 
 RAW_DATES = {"album": "release_date_raw", "song": "first_release_date_raw"}
 
 
-def first_rows(bronze: DataFrame) -> dict[str, DataFrame]:
+# Envelopes, or per silver table the envelopes with only what that table needs of them.
+Bronze = DataFrame | dict[str, DataFrame]
+
+
+def first_rows(bronze: Bronze) -> dict[str, DataFrame]:
     """First row per key in document order, with URLs and with the date texts as they came."""
-    album = keep_first(s.flat_albums(bronze), "album_id", s.DOCUMENT_ORDER)
-    artist = keep_first(s.flat_artists(bronze, wide=True), "artist_id", s.DOCUMENT_ORDER)
-    song = keep_first(s.flat_songs(bronze), "recording_id", s.DOCUMENT_ORDER)
+    parts = bronze if isinstance(bronze, dict) else dict.fromkeys(SILVER_KEYS, bronze)
+    album = keep_first(s.flat_albums(parts["albums"]), "album_id", s.DOCUMENT_ORDER)
+    artist = keep_first(s.flat_artists(parts["artists"], wide=True), "artist_id", s.DOCUMENT_ORDER)
+    song = keep_first(s.flat_songs(parts["songs"]), "recording_id", s.DOCUMENT_ORDER)
     album_url = build_url(RELEASE_URL_PREFIX, F.col("album_id")).alias("album_url")
     artist_url = build_url(ARTIST_URL_PREFIX, F.col("artist_id")).alias("artist_url")
     lineage = ["artist_search", "extracted_at"]
@@ -32,7 +40,7 @@ def first_rows(bronze: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def flat_tables(bronze: DataFrame) -> dict[str, DataFrame]:
+def flat_tables(bronze: Bronze) -> dict[str, DataFrame]:
     """album, artist and song rows as exported: partial dates completed, unusable ones null."""
     return {
         name: s.clean_dates(df, RAW_DATES[name]) if name in RAW_DATES else df
@@ -40,11 +48,10 @@ def flat_tables(bronze: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def export_flat(bronze: DataFrame, out: str, run_ts: datetime) -> dict[str, str]:
+def export_flat(spark: SparkSession, bronze: Bronze, out: str, run_ts: datetime) -> dict[str, str]:
     """Write `<out>/<table>_data/<table>_<stamp>` per table; returns the folders."""
-    stamp = bronze.sparkSession.range(1).select(export_stamp(F.lit(run_ts))).first()[0]
-    folders = {}
-    for name, df in flat_tables(bronze).items():
-        folders[name] = f"{out}/{name}_data/{name}_{stamp}"
-        write_csv_export(df, folders[name])
+    stamp = spark.range(1).select(export_stamp(F.lit(run_ts))).first()[0]
+    tables = flat_tables(bronze)
+    folders = {name: f"{out}/{name}_data/{name}_{stamp}" for name in tables}
+    run_together(spark, {n: partial(write_csv_export, df, folders[n]) for n, df in tables.items()})
     return folders

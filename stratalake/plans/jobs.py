@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,29 +18,40 @@ from stratalake.session import drop_work_dir, work_dir
 from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet
 from stratalake.sources.writers import write_parquet_overwrite, write_with_count
 
+T = TypeVar("T")
 
-def write_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
-    """Write all tables below `base` and return their row counts. The writes are independent jobs, so they
-    are submitted together: one table's last tasks do not leave the cluster idle."""
-    write = inheritable_thread_target(spark)(write_with_count)
-    with ThreadPoolExecutor(len(tables)) as pool:
-        runs = {name: pool.submit(write, df, f"{base}/{name}") for name, df in tables.items()}
+
+def run_together(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent jobs at the same time: one's last tasks then do not leave the cluster idle."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        runs = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in tasks.items()}
         return {name: run.result() for name, run in runs.items()}
 
 
+def write_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
+    """Write all tables below `base` and return their row counts."""
+    return run_together(
+        spark, {name: partial(write_with_count, df, f"{base}/{name}") for name, df in tables.items()}
+    )
+
+
 def stage_bronze(envelopes: DataFrame, path: str) -> None:
     """Bronze as nested Parquet: raw JSON is parsed once, whatever is built from it. The copy lies in the
     shared folder, so lost executors cost no re-parse."""
     write_parquet_overwrite(envelopes, path)
 
 
-def read_staged(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
-    """Staged envelopes; for a silver table, just the columns inside them which that table needs."""
-    return spark.read.schema(BRONZE_FOR[table] if table else BRONZE).parquet(path)
+def read_staged(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BRONZE).parquet(path)
+
+
+def staged_parts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """For each silver table the staged envelopes with only what that table needs of them."""
+    return {table: spark.read.schema(schema).parquet(path) for table, schema in BRONZE_FOR.items()}
 
 
 def silver_from_staged(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {table: make(read_staged(spark, path, table)) for table, make in TRANSFORMS.items()}
+    return {table: TRANSFORMS[table](part) for table, part in staged_parts(spark, path).items()}
 
 
 def run_bronze_to_silver(

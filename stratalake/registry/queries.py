@@ -642,7 +642,7 @@ def run_silver_to_gold(at: Layers) -> DataFrame:
 
 @query
 def legacy_flat_export(at: Layers) -> DataFrame:
-    folders = flat_export.export_flat(at.bronze(), work_dir(at.spark, "export"), RUN_TS)
+    folders = flat_export.export_flat(at.spark, at.bronze_parts(), work_dir(at.spark, "export"), RUN_TS)
     columns = {
         "album": ("album_id", "release_date", "album_url"),
         "artist": ("artist_id", None, "artist_url"),
@@ -666,7 +666,7 @@ def legacy_flat_export(at: Layers) -> DataFrame:
 
 @query
 def clean_and_profile(at: Layers) -> DataFrame:
-    return clean_profile.clean_and_profile(at.bronze())
+    return clean_profile.clean_and_profile(at.bronze_parts())
 
 
 # Data quality

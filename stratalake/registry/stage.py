@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.plans.jobs import read_staged, silver_from_staged, stage_bronze, write_tables
+from stratalake.plans.jobs import (
+    read_staged,
+    silver_from_staged,
+    stage_bronze,
+    staged_parts,
+    write_tables,
+)
 from stratalake.registry.bronze_from_tables import envelopes
 from stratalake.session import work_dir
 from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet
@@ -33,7 +39,11 @@ class Layers:
 
     def bronze(self, table: str | None = None) -> DataFrame:
         """Whole envelopes, or the part of them that a silver table needs."""
-        return read_staged(self.spark, self.bronze_parquet(), table)
+        path = self.bronze_parquet()
+        return staged_parts(self.spark, path)[table] if table else read_staged(self.spark, path)
+
+    def bronze_parts(self) -> dict[str, DataFrame]:
+        return staged_parts(self.spark, self.bronze_parquet())
 
     def bronze_parquet(self) -> str:
         if self.parquet_path is None:
