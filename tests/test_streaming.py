@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 from conftest import envelope, rows
 from stratalake.plans import silver
 from stratalake.schemas import SILVER
@@ -72,8 +74,8 @@ def test_incremental_runs_equal_one_batch_run(spark, folder, write_bronze):
         assert rows(stored) == rows(make(bronze))
         assert stored.count() == counts[table]
     # three batches brought something, so there are three snapshots, each named in the log
-    snapshots = {f for f in os.listdir(f"{folder}/state/songs/snapshots") if f.startswith("upto=")}
-    logged = {f"upto={r[0]}" for r in spark.read.parquet(f"{folder}/state/songs/log").collect()}
+    snapshots = {f for f in os.listdir(f"{folder}/state/songs/snapshots") if f.startswith("number=")}
+    logged = {f"number={r['snapshot']}" for r in spark.read.parquet(f"{folder}/state/songs/log").collect()}
     assert snapshots == logged and len(logged) == 3
     assert ("1", "early") in [(r["recording_id"], r["title"]) for r in silver.transform_songs(bronze).collect()]
 
@@ -96,7 +98,20 @@ def test_merging_is_associative(spark, write_bronze, folder):
 def test_a_snapshot_the_log_does_not_name_is_made_again(spark, folder, write_bronze):
     landing = write_bronze([song("1", "b", DAYS[1])])
     upsert.append_changes(spark, landing, f"{folder}/changes", f"{folder}/state", "songs")
-    arrived = spark.read.parquet(f"{folder}/changes").first()["arrived"]
-    spark.range(3).write.parquet(f"{folder}/snapshots/upto={arrived}")  # left over from a run that died
+    spark.range(3).write.parquet(f"{folder}/snapshots/number=1")  # left over from a run that died
     assert [r["title"] for r in upsert.advance_snapshot(spark, folder, "songs").collect()] == ["b"]
-    assert upsert.last_snapshot(spark, f"{folder}/log") == arrived
+    assert [r["snapshot"] for r in upsert.snapshot_log(spark, f"{folder}/log").collect()] == [1]
+    # nothing new: the same snapshot, no further one
+    assert upsert.advance_snapshot(spark, folder, "songs").count() == 1
+    assert [r["snapshot"] for r in upsert.snapshot_log(spark, f"{folder}/log").collect()] == [1]
+
+
+def test_a_batch_with_an_earlier_clock_is_not_lost(spark, folder, write_bronze):
+    for key, arrived in (("1", 10), ("2", 5)):
+        name = f"only-{key}.json"
+        path = write_bronze([song(key, "t", DAYS[0])], name)
+        rows_ = silver.keyed_rows(scan_bronze_json(spark, f"{path}/{name}"), "songs")
+        batch = rows_.withColumn("arrived", F.lit(arrived))
+        batch.write.mode("append").partitionBy("arrived").parquet(f"{folder}/changes")
+        merged = upsert.advance_snapshot(spark, folder, "songs")
+    assert sorted(r["recording_id"] for r in merged.collect()) == ["1", "2"]
