@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 def left_join_stats(rows: DataFrame, stats: DataFrame, spread_by: str, parts: int = 32) -> DataFrame:
     """`rows` left-joined with a table that has one row per `artist_search`.
 
-    The few rows of `stats` are repeated once per part and each search's rows are spread over the parts,
-    so no task gets a whole hot search. Nothing is hinted: when the shuffled `stats` turn out to be below
-    Spark's broadcast limit, adaptive execution switches to a broadcast join by itself. A null search
-    matches nothing, as in any equi-join.
+    Each search's rows are spread over the parts and `stats` is repeated once per part, so no task gets a
+    whole hot search. The merge hint keeps the repeated table from being broadcast: Spark's size estimate
+    does not see the repetition, and the number of searches has no bound. The price is one shuffle of `rows`.
+    A null search matches nothing, as in any equi-join.
     """
     left = rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(parts)))
     every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
     right = stats.filter(F.col("artist_search").isNotNull()).withColumn("_part", every_part)
+    right = right.hint("merge")
     return left.join(right, ["artist_search", "_part"], "left").drop("_part")
 
 
