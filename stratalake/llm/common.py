@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,21 @@ def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """Let Python workers import this package where they see the driver's copy of it (one machine, or a shared disk) but were started
+    elsewhere; other clusters install the package or get it by --py-files. Returns the frame."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    return importable(df).mapInArrow(run, schema)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write the frame below the shared work folder and read it back: cuts the lineage, survives the loss
     of executors, and makes row tags and random choices final."""

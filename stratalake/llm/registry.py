@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from stratalake.llm.bpe import op9_bpe
 from stratalake.llm.exact_dedup import op1_exact_dedup
+from stratalake.llm.hilbert_shards import op4_hilbert_shards
 from stratalake.llm.mixing import op3_mix_sources
 from stratalake.llm.oracle import ORACLE_SQL
 from stratalake.llm.quality import op7_quality_rules
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_mix_sources, op7_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_mix_sources, op4_hilbert_shards, op7_quality_rules, op9_bpe)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
