@@ -28,7 +28,8 @@ BANDS, BAND_BINS = 24, 3
 BINS = BANDS * BAND_BINS
 ATTEMPTS = 4096
 SEED = 20240601
-BLOCK = 128
+# A block of sets that one task compares at once holds about this many shingles at most (8 MB), or one larger set and its centre.
+BLOCK_SHINGLES = 1_000_000
 WORDS_KEPT = 500_000
 TEXTS_AT_ONCE = 256
 
@@ -210,47 +211,49 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
 
 
 def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) that connect all nodes whose sets are linked, directly or over others. `nodes`: node, doc_id, text_key, buckets."""
-    entries = nodes.select("node", F.explode("buckets").alias("bucket"))
-    sums = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who")]
-    shared = entries.groupBy("bucket").agg(*sums).where("n > 1")
+    """Links (a, b) that connect all nodes whose sets are linked, directly or over others. `nodes`: node, doc_id, text_key, n_shingles,
+    buckets."""
+    entries = nodes.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
+    who = F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who")
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"), who).where("n > 1")
     # Copies meet in many buckets with the same members; one of those is enough.
-    shared = staged(shared.groupBy("n", "who").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "buckets")
+    shared = staged(shared.groupBy("n", "size", "who").agg(F.min("bucket").alias("bucket")).select("bucket", "n", "size"), "buckets")
     members = staged(entries.join(shared, "bucket"), "members")
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
+    wanted = staged(members.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node"), "wanted")
     sets = staged(shingle_sets(docs, wanted, id_col, text_col), "sets")
 
-    # First blocks: a bucket's members in parts of bounded size, each with the bucket's centre, the member that meets most others.
-    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    centre = members.where(F.col("n") > BLOCK).join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("c"))
-    part = F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("n") * 2 / BLOCK))
-    placed = members.withColumn("part", F.when(F.col("n") > BLOCK, part).otherwise(F.lit(0)))
-    centres = centre.select("bucket", F.col("c.node").alias("node")).join(shared, "bucket")
-    centres = centres.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") * 2 / BLOCK) - 1)))
-    placed = placed.select("bucket", "part", "node").unionByName(centres.select("bucket", "part", "node")).distinct()
+    # First blocks: a bucket's members, in parts if it is large, each part with the bucket's centre: the member that meets most others.
+    large = F.col("size") > BLOCK_SHINGLES
+    parts = F.when(large, F.ceil(F.col("size") * 2 / BLOCK_SHINGLES)).otherwise(1)
+    placed = members.withColumn("part", F.pmod(F.xxhash64("node", "bucket"), parts)).select("bucket", "part", "node")
+    split = members.where(large)
+    any_split = not split.isEmpty()
+    if any_split:
+        weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+        centre = split.join(weight, "node").groupBy("bucket", "size").agg(F.max(F.struct("weight", "node")).alias("c"))
+        centre = centre.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+        placed = placed.unionByName(centre.select("bucket", "part", F.col("c.node").alias("node"))).distinct()
     block = F.xxhash64("bucket", "part").alias("block")
     links = staged(compare_blocks(placed.select(block, "node", F.col("node").alias("grp"), F.lit(0).alias("side")), sets), "links")
+    if not any_split:
+        return links
 
     # Buckets of more than one block may still hold members apart. Those outside a bucket's largest group are compared with all
     # members of other groups, block by block.
-    large = members.where(F.col("n") > BLOCK).select("bucket", "node")
-    if large.isEmpty():
-        return links
-    groups = components(links)
-    large = large.join(groups, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("grp"))
-    sizes = large.groupBy("bucket", "grp").count()
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("count", "grp")).alias("m"), F.sum("count").alias("n"), F.count(F.lit(1)).alias("groups"))
-    main = main.where("groups > 1").select("bucket", F.col("m.grp").alias("main"), "n", (F.col("n") - F.col("m.count")).alias("apart"))
-    large = staged(large.join(main, "bucket"), "apart")
-    if large.isEmpty():
+    apart = split.join(components(links), "node", "left")
+    apart = apart.select("bucket", "size", "node", "n_shingles", F.coalesce("root", "node").alias("grp"))
+    sizes = apart.groupBy("bucket", "size", "grp").agg(F.sum("n_shingles").alias("of_group"))
+    main = sizes.groupBy("bucket", "size").agg(F.max(F.struct("of_group", "grp")).alias("m"), F.count(F.lit(1)).alias("groups"))
+    main = main.where("groups > 1").select("bucket", F.col("m.grp").alias("main"), (F.col("size") - F.col("m.of_group")).alias("outside"))
+    apart = staged(apart.join(main, "bucket"), "apart")
+    if apart.isEmpty():
         return links
-    half = BLOCK // 2
-    outer, inner = F.ceil(F.col("apart") / half), F.ceil(F.col("n") / half)
+    outer, inner = (F.ceil(F.col(c) * 2 / BLOCK_SHINGLES) for c in ("outside", "size"))
     spread = lambda k, seed: F.pmod(F.xxhash64("node", F.lit(seed)), k)
     numbers = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1))
     # Each outsider is a centre in every part of the bucket; every member is looked at by every part of the outsiders.
-    ones = large.where("grp <> main").withColumn("o", spread(outer, 1)).withColumn("i", numbers(inner)).withColumn("side", F.lit(1))
-    alls = large.withColumn("i", spread(inner, 2)).withColumn("o", numbers(outer)).withColumn("side", F.lit(0))
+    ones = apart.where("grp <> main").withColumn("o", spread(outer, 1)).withColumn("i", numbers(inner)).withColumn("side", F.lit(1))
+    alls = apart.withColumn("i", spread(inner, 2)).withColumn("o", numbers(outer)).withColumn("side", F.lit(0))
     # An outsider that is both in a block stays a centre.
     placed = ones.unionByName(alls).groupBy("bucket", "o", "i", "node", "grp").agg(F.max("side").alias("side"))
     placed = placed.select(F.xxhash64("bucket", "o", "i").alias("block"), "node", "grp", "side")
@@ -264,9 +267,9 @@ def group_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     smallest doc_id of the component (null if it has none); kept tells whether that is the row's own id, so rows that repeat an id share the answer. A null text
     or one without words has an empty set and is alone. An empty table gives no rows."""
     rows = staged(sketches(docs, id_col, text_col), "sketches")
-    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "tag", "text_key", "buckets")).alias("f")
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "tag", "text_key", "n_shingles", "buckets")).alias("f")
     sets = rows.where("set_hash IS NOT NULL").groupBy("set_hash").agg(first)
-    sets = staged(sets.select("set_hash", F.col("f.tag").alias("node"), "f.doc_id", "f.text_key", "f.buckets"), "nodes")
+    sets = staged(sets.select("set_hash", F.col("f.tag").alias("node"), "f.doc_id", "f.text_key", "f.n_shingles", "f.buckets"), "nodes")
     roots = components(set_links(docs, sets, id_col, text_col))
     # The smallest id of a component is not always that of its root node, since tags follow the files.
     named = sets.select("set_hash", "node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
