@@ -37,4 +37,20 @@ WITH counts AS (
 SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy, md5('order:20240601:' || key || ':' || copy) AS order_key FROM copied
 """
 
-ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_mix_sources": OP3}
+# SHA-1 in base32: 40 hex digits are 8 groups of 20 bits, each 4 letters.
+OP5 = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (((('0x' || substr(hex, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::INT, 1)), 'string_agg', '') AS payload_digest
+  FROM p
+), g AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM d GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, d.payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d JOIN g USING (payload_digest)
+"""
+
+ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_mix_sources": OP3, "op5_warc": OP5}

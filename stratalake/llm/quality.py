@@ -113,6 +113,8 @@ class VoteModel:
         odds = F.lit(math.log(self.good) - math.log1p(-self.good))
         for j, (a, b) in enumerate(zip(self.votes["good"], self.votes["bad"], strict=True)):
             weight = [math.log(p) - math.log(q) for p, q in zip(a, b, strict=True)]
+            # A rule may turn out to be worthless, but its bad vote never speaks for a document nor its good vote against one.
+            weight[0], weight[2] = min(weight[0], 0.0), max(weight[2], 0.0)
             v = F.get(votes, F.lit(j))
             odds = odds + F.when(v == -1, weight[0]).when(v == 1, weight[2]).otherwise(weight[1])
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
@@ -172,7 +174,10 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     df, names = measured(docs, text_col)
     model = fit_votes(df, names["votes"])
     kept = ~base_failed(F.col(names["measures"])) & (model.posterior(F.col(names["votes"])) >= 0.5)
-    return df.where(kept).select(*docs.columns)
+    # A filter moves below the columns it reads, and would repeat their long expressions at each use; it stays above a column
+    # that is not a function of the row.
+    row = fresh(df, "row")
+    return df.withColumn(row, F.monotonically_increasing_id()).where(kept & (F.col(row) >= 0)).select(*docs.columns)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
