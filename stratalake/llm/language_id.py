@@ -51,6 +51,7 @@ class Profiles:
                 self.symbol[code] = self.add(code) if chr(code).isalpha() else 0
             found = self.symbol[codes]
         kept = found != 0
+        kept[:1] = True
         kept[1:] |= found[:-1] != 0
         return found[kept]
 

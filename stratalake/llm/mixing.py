@@ -66,27 +66,27 @@ def target_rates(docs: DataFrame, weights: dict[str, float] | None = None, size:
 
 
 def mix(docs: DataFrame, rates: DataFrame, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source",
-        text_col: str = "text") -> DataFrame:
+        text_col: str = "text", copy_col: str = "copy", order_col: str = "order_key") -> DataFrame:
     """Every document as often as its count says, in globally shuffled order, with columns `copy` (from 1) and `order_key` added;
     columns of the input by those names are replaced.
 
     A document is known by its id, or by its text's digest where the id is null; repeated rows get the same count. A source without a
     rate is left out; a null source takes the rate of null. Texts may be null. No documents give no rows."""
     key, rate, n = fresh(docs, "key"), fresh(docs, "rate"), fresh(docs, "n")
-    rows = docs.drop("copy", "order_key")
+    rows = docs.drop(copy_col, order_col)
     rows = rows.withColumn(key, F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
     # Source names may differ from `rates` only in the column's name.
     rates = rates.select(F.col("source").alias(source_col), F.col("rate").alias(rate))
     rows = left_join_table(rows, rates, source_col)
     rows = rows.withColumn(n, poisson_count(F.col(rate), F.col(key), seed))
-    rows = rows.withColumn("copy", F.explode(F.when(F.col(n) > 0, F.sequence(F.lit(1), F.col(n)))))
-    order = F.md5(F.concat_ws(":", F.lit("order"), F.lit(str(seed)), F.col(key), F.col("copy").cast("string")))
-    return rows.withColumn("order_key", order).drop(key, rate, n).orderBy("order_key")
+    rows = rows.withColumn(copy_col, F.explode(F.when(F.col(n) > 0, F.sequence(F.lit(1), F.col(n)))))
+    order = F.md5(F.concat_ws(":", F.lit("order"), F.lit(str(seed)), F.col(key), F.col(copy_col).cast("string")))
+    return rows.withColumn(order_col, order).drop(key, rate, n).orderBy(order_col)
 
 
 def mix_rows(docs: DataFrame) -> DataFrame:
     """The mixed documents with the columns of the input only."""
-    return mix(docs, target_rates(docs)).select(*docs.columns)
+    return mix(docs, target_rates(docs), copy_col=fresh(docs, "copy"), order_col=fresh(docs, "order")).select(*docs.columns)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
