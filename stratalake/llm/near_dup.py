@@ -197,7 +197,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
     """(node, shingles) of the documents in `wanted` (doc_id, text_key, node), read again from their texts."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.alias("text"))
-    rows = rows.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))).select("node", "text")
+    # Near-duplicates grow with the corpus, so they are merged with it and not broadcast, at any size.
+    rows = rows.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
