@@ -2,8 +2,9 @@
 
     spark-submit run_job.py bronze-to-silver <bronze glob> <silver folder> [--multi-line]
     spark-submit run_job.py silver-to-gold   <silver folder> <gold folder>
-    spark-submit run_job.py incremental      <landing folder> <state folder> <silver folder>
+    spark-submit run_job.py incremental      <landing folder> <state folder> <silver folder> [--multi-line] [--archive <folder>]
     spark-submit run_job.py export-csv       <bronze glob> <export folder> [--multi-line]
+    spark-submit run_job.py export-newest    <landing folder> <export folder> <archive folder> [--multi-line]
     spark-submit run_job.py inspect          <bronze glob> [--multi-line]
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from stratalake.plans.flat_export import export_flat
+from stratalake.plans.flat_export import export_flat, export_newest
 from stratalake.plans.jobs import run_bronze_to_silver, run_silver_to_gold, stage_bronze, staged_parts
 from stratalake.session import build_session, drop_work_dir, work_dir
 from stratalake.sources.readers import inspect_schema, scan_bronze_json
@@ -27,13 +28,16 @@ def main() -> None:
         "silver-to-gold": ["silver", "gold"],
         "incremental": ["landing", "state", "silver"],
         "export-csv": ["bronze", "out"],
+        "export-newest": ["landing", "out", "archive"],
         "inspect": ["bronze"],
     }.items():
         job = jobs.add_parser(name)
         for folder in folders:
             job.add_argument(folder)
-        if "bronze" in folders:
-            job.add_argument("--multi-line", action="store_true", help="files hold one JSON array each")
+        if folders[0] in ("bronze", "landing"):
+            job.add_argument("--multi-line", action="store_true", help="files hold one JSON array or object each")
+        if name == "incremental":
+            job.add_argument("--archive", help="folder that files are moved to once a later run has begun")
     args = parser.parse_args()
     spark = build_session(f"stratalake {args.job}")
 
@@ -42,7 +46,10 @@ def main() -> None:
     elif args.job == "silver-to-gold":
         print(run_silver_to_gold(spark, args.silver, args.gold, datetime.now(timezone.utc)))
     elif args.job == "incremental":
-        print(run_incremental(spark, args.landing, args.state, args.silver))
+        print(run_incremental(spark, args.landing, args.state, args.silver, args.multi_line, args.archive))
+    elif args.job == "export-newest":
+        now = datetime.now(timezone.utc)
+        print(export_newest(spark, args.landing, args.out, args.archive, now, args.multi_line))
     elif args.job == "export-csv":
         staged = work_dir(spark, "bronze")
         stage_bronze(scan_bronze_json(spark, args.bronze, multi_line=args.multi_line), staged)

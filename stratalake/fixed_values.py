@@ -3,7 +3,6 @@
 ARTIST_URL_PREFIX = "https://musicbrainz.org/artist/"
 RELEASE_URL_PREFIX = "https://musicbrainz.org/release/"
 
-TARGET_SEARCHES = ["Coldplay", "Taylor Swift", "Dua Lipa", "James Blunt", "BTS"]
 RECORDINGS_PER_SEARCH = 50
 
 UNKNOWN_COUNTRY = "UNKNOWN"

@@ -35,14 +35,13 @@ def date_precision(raw: Column) -> Column:
 
 
 def iso_timestamp(text: Column) -> Column:
-    """ISO-8601 text to timestamp. An offset in the text counts; without one the text is UTC."""
-    has_offset = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & (F.length(text) > 10)
-    tail = (
-        F.when(has_offset, F.lit(""))
-        .when(F.length(text) == 10, F.lit("T00:00:00+00:00"))
-        .otherwise(F.lit("+00:00"))
+    """ISO-8601 text to timestamp. An offset in the text (`Z`, `+hh`, `+hhmm`, `+hh:mm`) counts; without one the text is UTC,
+    whatever the session zone. Seconds may be missing."""
+    has_offset = text.rlike(r"[T ].*(Z|[+-]\d{2}(:?\d{2})?)$")
+    wall_clock = text.try_cast("timestamp_ntz").cast("string")
+    return F.when(has_offset, text.try_cast("timestamp")).otherwise(
+        F.concat(wall_clock, F.lit("+00:00")).try_cast("timestamp")
     )
-    return F.concat(text, tail).try_cast("timestamp")
 
 
 def coerce_datetime(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions.values import safe_cast
+from stratalake.functions.values import number_of_text, safe_cast
 
 # output column: (path in the unnested row, type)
 ARTIST_FIELDS = {
@@ -38,8 +38,9 @@ SONG_FIELDS = {
 
 
 def project_fields(df: DataFrame, fields: dict[str, tuple[str, str]], *carry: str | Column) -> DataFrame:
-    """One projection: the mapped leaves first, then the carried columns as they are."""
-    leaves = [safe_cast(F.col(path), kind).alias(name) for name, (path, kind) in fields.items()]
+    """One projection: the mapped leaves, which are text, cast to their types; then the carried columns as they are."""
+    cast = {"int": number_of_text, "bigint": number_of_text}
+    leaves = [cast.get(kind, safe_cast)(F.col(path), kind).alias(name) for name, (path, kind) in fields.items()]
     return df.select(*leaves, *carry)
 
 

@@ -13,8 +13,10 @@ from stratalake.functions.values import build_url
 from stratalake.operators.dedup import keep_first
 from stratalake.operators.projections import ALBUM_FIELDS, ARTIST_FIELDS_WIDE, SONG_FIELDS
 from stratalake.plans import silver as s
-from stratalake.plans.jobs import run_together
+from stratalake.plans.jobs import run_together, stage_bronze, staged_parts
 from stratalake.schemas import SILVER_KEYS
+from stratalake.session import drop_work_dir, work_dir
+from stratalake.sources.readers import latest_file, scan_bronze_json
 from stratalake.sources.writers import export_stamp, write_csv_export
 
 RAW_DATES = {"album": "release_date_raw", "song": "first_release_date_raw"}
@@ -27,9 +29,9 @@ Bronze = DataFrame | dict[str, DataFrame]
 def first_rows(bronze: Bronze) -> dict[str, DataFrame]:
     """First row per key in document order, with URLs and with the date texts as they came."""
     parts = bronze if isinstance(bronze, dict) else dict.fromkeys(SILVER_KEYS, bronze)
-    album = keep_first(s.flat_albums(parts["albums"]), "album_id", s.DOCUMENT_ORDER)
-    artist = keep_first(s.flat_artists(parts["artists"], wide=True), "artist_id", s.DOCUMENT_ORDER)
-    song = keep_first(s.flat_songs(parts["songs"]), "recording_id", s.DOCUMENT_ORDER)
+    album = keep_first(s.flat_albums(parts["albums"]), "album_id", s.DOCUMENT_ORDER, ("extracted_at",))
+    artist = keep_first(s.flat_artists(parts["artists"], wide=True), "artist_id", s.DOCUMENT_ORDER, ("extracted_at",))
+    song = keep_first(s.flat_songs(parts["songs"]), "recording_id", s.DOCUMENT_ORDER, ("extracted_at",))
     album_url = build_url(RELEASE_URL_PREFIX, F.col("album_id")).alias("album_url")
     artist_url = build_url(ARTIST_URL_PREFIX, F.col("artist_id")).alias("artist_url")
     lineage = ["artist_search", "extracted_at"]
@@ -55,3 +57,24 @@ def export_flat(spark: SparkSession, bronze: Bronze, out: str, run_ts: datetime)
     folders = {name: f"{out}/{name}_data/{name}_{stamp}" for name in tables}
     run_together(spark, {n: partial(write_csv_export, df, folders[n]) for n, df in tables.items()})
     return folders
+
+
+def export_newest(
+    spark: SparkSession, landing: str, out: str, archive: str, run_ts: datetime, multi_line: bool = True
+) -> dict[str, str]:
+    """The newest raw file of a landing folder to CSV, then the file to the archive folder; returns the export's folders. The file is moved last, so a
+    run that dies is run again on the same file. One file is what one extraction wrote; use the incremental job for many."""
+    newest = latest_file(spark, landing)["path"]
+    staged = work_dir(spark, "bronze")
+    try:
+        stage_bronze(scan_bronze_json(spark, newest, multi_line=multi_line), staged)
+        folders = export_flat(spark, staged_parts(spark, staged), out, run_ts)
+    finally:
+        drop_work_dir(spark, staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = path(newest), path(archive)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    if not files.rename(source, path(target, source.getName())):
+        raise OSError(f"{newest} is exported but could not be moved to {archive}")
+    return folders

@@ -15,15 +15,15 @@ from stratalake.plans.gold import build_artist_summary, build_yearly_release_met
 from stratalake.plans.silver import TRANSFORMS
 from stratalake.schemas import BRONZE, BRONZE_FOR
 from stratalake.session import drop_work_dir, work_dir
-from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet
-from stratalake.sources.writers import write_parquet_overwrite, write_with_count
+from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet, unreadable
+from stratalake.sources.writers import publish_with_count, write_parquet_overwrite, write_with_count
 
 T = TypeVar("T")
 
 
 def run_together(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent jobs at the same time: one's last tasks then do not leave the cluster idle."""
-    with ThreadPoolExecutor(len(tasks)) as pool:
+    with ThreadPoolExecutor(max(1, len(tasks))) as pool:
         runs = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in tasks.items()}
         return {name: run.result() for name, run in runs.items()}
 
@@ -35,6 +35,13 @@ def write_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -
     )
 
 
+def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
+    """Like `write_tables`, but each old table stays until its successor is complete."""
+    return run_together(
+        spark, {name: partial(publish_with_count, df, f"{base}/{name}") for name, df in tables.items()}
+    )
+
+
 def stage_bronze(envelopes: DataFrame, path: str) -> None:
     """Bronze as nested Parquet: raw JSON is parsed once, whatever is built from it. The copy lies in the
     shared folder, so lost executors cost no re-parse."""
@@ -61,13 +68,18 @@ def run_bronze_to_silver(
     multi_line: bool = False,
     stage_path: str | None = None,
 ) -> dict[str, int]:
-    """Rebuild artists, albums and songs from all raw files; returns the row count per table. The staged
-    copy is kept where `stage_path` says; without one it is removed when the tables are written."""
+    """Rebuild artists, albums and songs from all raw files; returns the row count per table, and under `unreadable` how many texts
+    were no envelopes. Those texts are written to `<silver_base>/unreadable` if there are any. The staged copy is kept where
+    `stage_path` says; without one it is removed at the end, also of a failed run."""
     staged = stage_path or work_dir(spark, "bronze")
-    stage_bronze(scan_bronze_json(spark, bronze_path, multi_line=multi_line), staged)
-    counts = write_tables(spark, silver_from_staged(spark, staged), silver_base)
-    if stage_path is None:
-        drop_work_dir(spark, staged)
+    try:
+        stage_bronze(scan_bronze_json(spark, bronze_path, multi_line=multi_line, keep_corrupt=True), staged)
+        counts = write_tables(spark, silver_from_staged(spark, staged), silver_base)
+        bad = unreadable(spark, staged)
+        counts["unreadable"] = 0 if bad.isEmpty() else write_with_count(bad, f"{silver_base}/unreadable")
+    finally:
+        if stage_path is None:
+            drop_work_dir(spark, staged)
     return counts
 
 

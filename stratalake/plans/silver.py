@@ -14,7 +14,7 @@ from stratalake.operators.dedup import keep_first
 from stratalake.operators.filters import key_not_null
 from stratalake.schemas import SILVER, SILVER_KEYS
 
-# Which of two duplicates wins: earliest extraction, then search, then position in the document, then the
+# Which of two duplicates wins: earliest extraction (an unreadable time comes after all others), then search, then position in the document, then the
 # remaining columns as projected (dates still as source text).
 DOCUMENT_ORDER = ["extracted_at", "artist_search", "recording_pos", "item_pos"]
 POSITIONS = ["recording_pos", "item_pos"]
@@ -64,7 +64,7 @@ def keyed_rows(bronze: DataFrame, table: str) -> DataFrame:
 def merge_rows(rows: DataFrame, table: str) -> DataFrame:
     """The first row per key, positions kept. The rule is associative: merging a merged table with later
     rows gives what one merge of everything gives."""
-    return keep_first(rows, SILVER_KEYS[table], DOCUMENT_ORDER)
+    return keep_first(rows, SILVER_KEYS[table], DOCUMENT_ORDER, nulls_last=("extracted_at",))
 
 
 def silver_view(merged: DataFrame, table: str) -> DataFrame:

@@ -5,7 +5,8 @@ Each row of orders left-joined with lineitem makes one envelope, from its own co
 recordings, each with at most two credits and two releases. No rows are collected into arrays, so an order,
 part or customer that holds a third of all rows makes no envelope larger, and one pass suffices.
 All the odd cases of real data are in it: absent, empty and null containers, null ids, partial and
-impossible dates, missing flags, times with and without an offset, many duplicates with differing content.
+impossible dates, missing flags, numbers as text with and without a fraction, times with and without an offset or in no
+known form, many duplicates with differing content.
 """
 
 from __future__ import annotations
@@ -42,6 +43,12 @@ def _unless(hidden: Column, value: Column) -> Column:
     return F.when(~hidden, value)
 
 
+def _number_text(selector: Column, number: Column) -> Column:
+    """By selector mod 3: the whole number as text, with a zero fraction, or with an exponent."""
+    whole = number.cast("bigint").cast("string")
+    return F.when(selector % 3 == 0, whole).when(selector % 3 == 1, F.concat(whole, F.lit(".0"))).otherwise(F.concat(whole, F.lit("e0")))
+
+
 def _mixed_date(selector: Column, ts: Column) -> Column:
     """By selector mod 6: year, month, day, empty, impossible or absent date text."""
     patterns = ["yyyy", "yyyy-MM", "yyyy-MM-dd", "''", "yyyy-'00-00'"]
@@ -94,7 +101,7 @@ def _order_recording(key: Column, item: Column) -> Column:
         date=_mixed_date(item + 5, c("l_shipdate")),
         country=_unless(item == 3, c("l_returnflag")),
         status=c("l_linestatus"),
-        track__count=c("l_quantity"),
+        track__count=_number_text(key, c("l_quantity")),
     )
     of_supplier = _record(
         RELEASE,
@@ -108,9 +115,9 @@ def _order_recording(key: Column, item: Column) -> Column:
         RECORDING,
         id=_unless(key % 97 == 5, _tag("rec-", key)),
         title=c("o_orderpriority"),
-        length=_unless(key % 7 == 0, F.floor("o_totalprice")),
+        length=_unless(key % 7 == 0, _number_text(item, F.floor("o_totalprice"))),
         video=_unless(key % 3 == 0, key % 2 == 0),
-        score=(key + item) % 101,
+        score=_number_text(key + 1, (key + item) % 101),
         first__release__date=_mixed_date(key, c("o_orderdate")),
         artist__credit=_unless(
             key % 83 == 3,

@@ -81,21 +81,21 @@ release AS (
   FROM recording WHERE kind = 'order' AND item > 0 AND item % 3 = 0),
 first_artist AS (
   SELECT *, '{v.ARTIST_URL_PREFIX}' || artist_id AS artist_url FROM credit
-  QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY extracted_at, artist_search, recording_pos,
+  QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY extracted_at NULLS LAST, artist_search, recording_pos,
     item_pos, artist_name NULLS FIRST, artist_sort_name NULLS FIRST, artist_disambiguation NULLS FIRST) = 1),
 first_artist_wide AS (
   SELECT *, '{v.ARTIST_URL_PREFIX}' || artist_id AS artist_url FROM credit
-  QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY extracted_at, artist_search, recording_pos,
+  QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY extracted_at NULLS LAST, artist_search, recording_pos,
     item_pos, artist_name NULLS FIRST, artist_sort_name NULLS FIRST, artist_disambiguation NULLS FIRST,
     artist_type NULLS FIRST, artist_country NULLS FIRST) = 1),
 first_album AS (
   SELECT *, '{v.RELEASE_URL_PREFIX}' || album_id AS album_url FROM release
-  QUALIFY row_number() OVER (PARTITION BY album_id ORDER BY extracted_at, artist_search, recording_pos,
+  QUALIFY row_number() OVER (PARTITION BY album_id ORDER BY extracted_at NULLS LAST, artist_search, recording_pos,
     item_pos, album_name NULLS FIRST, release_date_raw NULLS FIRST, country NULLS FIRST,
     status NULLS FIRST, track_count NULLS FIRST) = 1),
 first_song AS (
   SELECT * FROM recording
-  QUALIFY row_number() OVER (PARTITION BY recording_id ORDER BY extracted_at, artist_search, recording_pos,
+  QUALIFY row_number() OVER (PARTITION BY recording_id ORDER BY extracted_at NULLS LAST, artist_search, recording_pos,
     title NULLS FIRST, length_ms NULLS FIRST, video NULLS FIRST, score NULLS FIRST,
     first_release_date_raw NULLS FIRST) = 1),
 artists AS (
@@ -159,16 +159,14 @@ _SILVER = {
     "albums": "album_id album_name country status track_count artist_search extracted_at release_date album_url",
     "songs": "recording_id title length_ms video score artist_search extracted_at first_release_date",
 }
-_ALBUM_DTYPES = {
-    "album_id": "string",
-    "album_name": "string",
-    "country": "string",
-    "status": "string",
+_DTYPES = {
     "track_count": "int",
-    "artist_search": "string",
+    "score": "int",
+    "length_ms": "bigint",
+    "video": "boolean",
     "extracted_at": "timestamp",
     "release_date": "date",
-    "album_url": "string",
+    "first_release_date": "date",
 }
 
 
@@ -195,7 +193,10 @@ NESTED = {
     "scan_bronze_json": ENVELOPES,
     "scan_latest_batch": ENVELOPES + " WHERE extracted_at % 2 = 1",
     "stream_bronze_ingest": ENVELOPES,
-    "archive_processed": ENVELOPES,
+    "archive_processed": "SELECT *, CASE extracted_at % 2 WHEN 0 THEN 'archived' ELSE 'pending' END AS place FROM envelope",
+    "scan_latest_file": f"SELECT n_name AS artist_search, CAST({RUN_EPOCH} AS BIGINT) AS extracted_at, CAST(0 AS INT) AS recordings FROM nation",
+    "newest_file_top1": "SELECT '20240201_000000' AS batch_id",
+    "count_unreadable": "SELECT o_orderkey, count(*) OVER () AS reported FROM orders WHERE o_orderkey % 10 = 0",
     "land_bronze": "SELECT artist_search, CAST(%d AS BIGINT) AS extracted_at, recordings FROM envelope" % RUN_EPOCH,
     "union_searches": ENVELOPES,
     "scan_silver_parquet": "SELECT * FROM albums",
@@ -255,17 +256,22 @@ NESTED = {
     "SELECT 'albums', count(*) FROM albums UNION ALL SELECT 'songs', count(*) FROM songs UNION ALL "
     "SELECT 'bronze', count(*) FROM envelope",
     "null_profile": " UNION ALL ".join(_nulls("", t, t, cols) for t, cols in _SILVER.items()),
-    "shape_dtypes_profile": "SELECT stage AS \"table\", d.\"column\", d.dtype, n AS row_count, "
-    "CAST(9 AS BIGINT) AS column_count FROM (VALUES "
-    + ", ".join(f"('{c}', '{t}')" for c, t in _ALBUM_DTYPES.items())
-    + ") d(\"column\", dtype), (SELECT 'albums' AS stage, count(*) AS n FROM albums UNION ALL "
-    "SELECT 'albums with duplicates', count(*) FROM release WHERE album_id IS NOT NULL) c",
+    "shape_dtypes_profile": " UNION ALL ".join(
+        f"SELECT stage AS \"table\", d.\"column\", d.dtype, n AS row_count, CAST({len(columns.split())} AS BIGINT) AS column_count FROM (VALUES "
+        + ", ".join(f"('{c}', '{_DTYPES.get(c, 'string')}')" for c in columns.split())
+        + f") d(\"column\", dtype), (SELECT '{t}' AS stage, count(*) AS n FROM {t} UNION ALL "
+        f"SELECT '{t} with duplicates', count(*) FROM {source} WHERE {columns.split()[0]} IS NOT NULL) c"
+        for (t, columns), source in zip(_SILVER.items(), ("credit", "release", "recording"))
+    ),
     "left_join_song_stats": "SELECT a.artist_id, a.artist_search, s.* EXCLUDE (artist_search) FROM artists a "
     "LEFT JOIN song_stats s ON s.artist_search = a.artist_search",
     "left_join_album_stats": "SELECT a.artist_id, a.artist_search, b.* EXCLUDE (artist_search) FROM artists a "
     "LEFT JOIN album_stats b ON b.artist_search = a.artist_search",
     "order_by_year_releases": "SELECT * FROM yearly ORDER BY release_year DESC, total_releases DESC, country_code",
-    "preview_head": "SELECT * FROM artists ORDER BY artist_id LIMIT 5",
+    "preview_head": " UNION ALL ".join(
+        f"(SELECT '{t}' AS \"table\", {columns.split()[0]} AS id, artist_search, extracted_at FROM {t} ORDER BY id LIMIT 5)"
+        for t, columns in _SILVER.items()
+    ),
     "top_n_per_search": "SELECT * FROM songs QUALIFY row_number() OVER (PARTITION BY artist_search "
     f"ORDER BY score DESC, recording_id) <= {v.RECORDINGS_PER_SEARCH}",
     "stream_dedup_watermark": "SELECT DISTINCT recording_id FROM recording WHERE recording_id IS NOT NULL",
@@ -275,17 +281,17 @@ NESTED = {
     "transform_songs": "SELECT * FROM songs",
     "build_artist_summary": SUMMARY.replace("b.* EXCLUDE (artist_search)", f"b.* EXCLUDE (artist_search), CAST({RUN_EPOCH} AS BIGINT) AS created_at"),
     "build_yearly_release_metrics": f"SELECT *, CAST({RUN_EPOCH} AS BIGINT) AS created_at FROM yearly",
-    "run_bronze_to_silver": "SELECT 'artists' AS \"table\", artist_search, count(*) AS row_count FROM artists GROUP BY ALL "
-    "UNION ALL SELECT 'albums', artist_search, count(*) FROM albums GROUP BY ALL "
-    "UNION ALL SELECT 'songs', artist_search, count(*) FROM songs GROUP BY ALL",
-    "run_silver_to_gold": "SELECT 'artist_summary' AS \"table\", count(*) AS row_count FROM artists "
-    "UNION ALL SELECT 'yearly_release_metrics', count(*) FROM yearly",
-    "legacy_flat_export": " UNION ALL ".join(
-        f"SELECT '{name}' AS \"table\", {key} AS id, {date} AS release_date, {url} AS url, artist_search, extracted_at FROM {source}"
-        for name, key, date, url, source in [
-            ("album", "album_id", "release_date", "album_url", "first_album"),
-            ("artist", "artist_id", "NULL", "artist_url", "first_artist_wide"),
-            ("song", "recording_id", "first_release_date", "NULL", "first_song"),
+    "run_bronze_to_silver": " UNION ALL BY NAME ".join(f"SELECT '{t}' AS \"table\", * FROM {t}" for t in ("artists", "albums", "songs")),
+    "run_silver_to_gold": f"SELECT 'artist_summary' AS \"table\", CAST({RUN_EPOCH} AS BIGINT) AS created_at, * FROM ({SUMMARY}) "
+    f"UNION ALL BY NAME SELECT 'yearly_release_metrics' AS \"table\", CAST({RUN_EPOCH} AS BIGINT) AS created_at, * FROM yearly",
+    "legacy_flat_export": " UNION ALL BY NAME ".join(
+        f"SELECT '{name}' AS \"table\", "
+        + ", ".join(c if c == "extracted_at" else f"CAST({c} AS VARCHAR) AS {c}" for c in columns.split())
+        + f" FROM {source}"
+        for name, columns, source in [
+            ("album", _ALBUM, "first_album"),
+            ("artist", _ARTIST, "first_artist_wide"),
+            ("song", _SONG, "first_song"),
         ]
     ),
     "clean_and_profile": " UNION ALL ".join(
@@ -313,19 +319,19 @@ NESTED = {
     "dq_schema_check": " UNION ALL ".join(
         [
             f"SELECT 'albums' AS \"table\", 'schema' AS rule, '{c}' AS \"column\", CAST(0 AS BIGINT) AS violations"
-            for c in _ALBUM_DTYPES
+            for c in _SILVER["albums"].split()
         ]
         + [
             f"SELECT 'release rows', 'schema', '{c}', "
             + ("CAST(count(*) AS BIGINT) FROM release" if c in ("release_date", "album_url") else "CAST(0 AS BIGINT)")
-            for c in _ALBUM_DTYPES
+            for c in _SILVER["albums"].split()
         ]
     ),
     "inspect_schema": "SELECT p.path, p.type, true AS nullable, n AS record_count FROM (VALUES "
     "('artist_search', 'string'), ('extracted_at', 'string'), ('data', 'struct'), "
     "('data.recordings', 'array'), ('data.recordings[]', 'struct'), ('data.recordings[].id', 'string'), "
-    "('data.recordings[].title', 'string'), ('data.recordings[].length', 'bigint'), "
-    "('data.recordings[].video', 'boolean'), ('data.recordings[].score', 'bigint'), "
+    "('data.recordings[].title', 'string'), ('data.recordings[].length', 'string'), "
+    "('data.recordings[].video', 'string'), ('data.recordings[].score', 'string'), "
     "('data.recordings[].first-release-date', 'string'), ('data.recordings[].artist-credit', 'array'), "
     "('data.recordings[].artist-credit[]', 'struct'), ('data.recordings[].artist-credit[].artist', 'struct'), "
     "('data.recordings[].artist-credit[].artist.id', 'string'), "
@@ -337,7 +343,7 @@ NESTED = {
     "('data.recordings[].releases', 'array'), ('data.recordings[].releases[]', 'struct'), "
     "('data.recordings[].releases[].id', 'string'), ('data.recordings[].releases[].title', 'string'), "
     "('data.recordings[].releases[].date', 'string'), ('data.recordings[].releases[].country', 'string'), "
-    "('data.recordings[].releases[].status', 'string'), ('data.recordings[].releases[].track-count', 'bigint')"
+    "('data.recordings[].releases[].status', 'string'), ('data.recordings[].releases[].track-count', 'string')"
     ") p(path, type), (SELECT count(*) AS n FROM envelope) c",
 }
 

@@ -17,14 +17,15 @@ from stratalake.operators.dedup import keep_any, keep_first
 from stratalake.operators.unions import union_searches
 from stratalake.plans import clean_profile, flat_export, gold, jobs, silver
 from stratalake.registry.stage import Layers, comparable, layers
-from stratalake.schemas import BRONZE, SILVER
+from stratalake.operators.generators import LINEAGE
+from stratalake.schemas import BRONZE, GOLD, SILVER, SILVER_KEYS
 from stratalake.session import work_dir
 from stratalake.sources import catalog, readers, writers
 from stratalake.streaming import ingest, upsert
 
 RUN_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
 EARLIER_RUN_TS = datetime(2024, 1, 31, tzinfo=timezone.utc)
-ENVELOPES_PER_FILE_BITS = 14  # multi-line files of at most 16,384 envelopes, about 8 MB each
+ENVELOPES_PER_FILE_BITS = 10  # multi-line files of at most 1,024 envelopes, each made from one row: about 1 MB
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -77,8 +78,8 @@ def land_two_batches(at: Layers) -> str:
 
 @query
 def scan_bronze_json(at: Layers) -> DataFrame:
-    """Files holding one JSON array each. Neighbouring rows of a scan task share a file, so a file's size is
-    bounded whatever the data looks like."""
+    """Files holding one JSON array each. Neighbouring rows of a scan task share a file. An envelope of the derived data
+    comes from one row of the flat tables, so a file of a thousand is small."""
     chunk = F.shiftright(F.monotonically_increasing_id(), ENVELOPES_PER_FILE_BITS)
     row = F.struct(*BRONZE.fieldNames())
     arrays = at.bronze().groupBy(chunk.alias("chunk")).agg(F.to_json(F.collect_list(row)).alias("value"))
@@ -98,9 +99,30 @@ def inspect_schema(at: Layers) -> DataFrame:
     return readers.inspect_schema(at.spark.read.json(at.bronze_json()))
 
 
+def land_nations_last(at: Layers) -> str:
+    """All of bronze as one run, and a later run of one file: an envelope per nation, which bounds it."""
+    landing = work_dir(at.spark, "landing")
+    writers.land_bronze(at.bronze(), landing, run_ts(EARLIER_RUN_TS))
+    payloads = table(at, "nation").select(c("n_name").alias("artist_search"), F.lit('{"recordings":[]}').alias("payload"))
+    writers.land_bronze(writers.make_envelopes(payloads.coalesce(1), run_ts()), landing, run_ts())
+    return landing
+
+
 @query
 def scan_latest_file(at: Layers) -> DataFrame:
-    return sized(readers.scan_latest_file(at.spark, at.bronze_json()))
+    return sized(readers.scan_latest_file(at.spark, land_nations_last(at)))
+
+
+@query
+def count_unreadable(at: Layers) -> DataFrame:
+    """Landed text of which every tenth order's line is cut off: the job reports how many, and keeps them."""
+    whole = F.concat(F.lit('{"artist_search":"'), c("o_orderkey").cast("string"), F.lit('","data":{"recordings":[]}}'))
+    cut = F.when(c("o_orderkey") % 10 == 0, F.expr("left(value, length(value) - 5)")).otherwise(c("value"))
+    landing, silver_base = work_dir(at.spark, "landing"), work_dir(at.spark, "silver")
+    table(at, "orders").select("o_orderkey", whole.alias("value")).select(cut.alias("value")).write.text(landing)
+    counts = jobs.run_bronze_to_silver(at.spark, landing, silver_base)
+    kept = at.spark.read.schema("text string").parquet(f"{silver_base}/unreadable")
+    return kept.select(F.regexp_extract("text", "[0-9]+", 0).cast("bigint").alias("o_orderkey"), F.lit(counts["unreadable"]).cast("bigint").alias("reported"))
 
 
 @query
@@ -120,12 +142,20 @@ def stream_bronze_ingest(at: Layers) -> DataFrame:
 
 @query
 def archive_processed(at: Layers) -> DataFrame:
-    """Two ingestion runs with archiving on: every envelope arrives, whether its file was moved or not."""
+    """Two ingestion runs with archiving on: where each envelope's file lies afterwards. The second run moves the first run's files."""
     landing, out, state, done = (work_dir(at.spark, n) for n in ("landing", "ingested", "state", "done"))
-    for odd, ts in ((0, EARLIER_RUN_TS), (1, RUN_TS)):
-        writers.land_bronze(half(at, odd), landing, run_ts(ts))
-        ingest.ingest_bronze(at.spark, landing, out, state, archive_dir=done)
-    return sized(at.spark.read.schema(BRONZE).parquet(out))
+    cleaners = "spark.sql.streaming.fileSource.cleaner.numThreads"
+    before = at.spark.conf.get(cleaners)
+    at.spark.conf.set(cleaners, "0")  # move files within the run, not beside it
+    try:
+        for odd, ts in ((0, EARLIER_RUN_TS), (1, RUN_TS)):
+            writers.land_bronze(half(at, odd), landing, run_ts(ts))
+            ingest.ingest_bronze(at.spark, landing, out, state, archive_dir=done)
+    finally:
+        at.spark.conf.set(cleaners, before)
+    reader = at.spark.read.schema(BRONZE).option("recursiveFileLookup", "true")
+    places = {"pending": reader.json(landing), "archived": reader.json(done)}
+    return profile.stack_profiles([sized(df).withColumn("place", F.lit(p)) for p, df in places.items()])
 
 
 @query
@@ -510,13 +540,11 @@ def null_profile(at: Layers) -> DataFrame:
 
 @query
 def shape_dtypes_profile(at: Layers) -> DataFrame:
-    before = silver.silver_view(silver.keyed_rows(at.bronze("albums"), "albums"), "albums")
-    return profile.stack_profiles(
-        [
-            profile.shape_dtypes(at.silver("albums"), "albums"),
-            profile.shape_dtypes(before, "albums with duplicates"),
-        ]
-    )
+    shapes = []
+    for t in SILVER:
+        before = silver.silver_view(silver.keyed_rows(at.bronze(t), t), t)
+        shapes += [profile.shape_dtypes(at.silver(t), t), profile.shape_dtypes(before, f"{t} with duplicates")]
+    return profile.stack_profiles(shapes)
 
 
 # Joins
@@ -545,12 +573,16 @@ def order_by_year_releases(at: Layers) -> DataFrame:
 
 @query
 def newest_file_top1(at: Layers) -> DataFrame:
-    return ordering.newest_top1(readers.list_files(at.spark, at.bronze_json()))
+    newest = ordering.newest_top1(readers.list_files(at.spark, land_nations_last(at)))
+    return newest.select(F.regexp_extract("path", "/batch_id=([^/]+)/", 1).alias("batch_id"))
 
 
 @query
 def preview_head(at: Layers) -> DataFrame:
-    return ordering.preview_head(at.silver("artists"), "artist_id")
+    heads = {t: ordering.preview_head(at.silver(t), key) for t, key in SILVER_KEYS.items()}
+    return profile.stack_profiles(
+        [df.select(F.lit(t).alias("table"), c(SILVER_KEYS[t]).alias("id"), *LINEAGE) for t, df in heads.items()]
+    )
 
 
 @query
@@ -623,45 +655,32 @@ def build_yearly_release_metrics(at: Layers) -> DataFrame:
 def run_bronze_to_silver(at: Layers) -> DataFrame:
     base = work_dir(at.spark, "silver")
     jobs.run_bronze_to_silver(at.spark, at.bronze_json(), base)
-    written = [
-        readers.scan_silver_parquet(at.spark, base, t)
-        .groupBy("artist_search")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .withColumn("table", F.lit(t))
-        for t in SILVER
-    ]
-    return profile.stack_profiles(written)
+    written = {t: readers.scan_silver_parquet(at.spark, base, t).withColumn("table", F.lit(t)) for t in SILVER}
+    artists, albums, songs = written.values()
+    return artists.unionByName(albums, allowMissingColumns=True).unionByName(songs, allowMissingColumns=True)
 
 
 @query
 def run_silver_to_gold(at: Layers) -> DataFrame:
     base = work_dir(at.spark, "gold")
-    counts = jobs.run_silver_to_gold(at.spark, at.silver_base(), base, RUN_TS)
-    return aggregates.table_counts({t: at.spark.read.parquet(f"{base}/{t}") for t in counts})
+    jobs.run_silver_to_gold(at.spark, at.silver_base(), base, RUN_TS)
+    summary, yearly = (
+        at.spark.read.schema(GOLD[t]).parquet(f"{base}/{t}").withColumn("table", F.lit(t))
+        for t in ("artist_summary", "yearly_release_metrics")
+    )
+    return summary.unionByName(yearly, allowMissingColumns=True)
 
 
 @query
 def legacy_flat_export(at: Layers) -> DataFrame:
     folders = flat_export.export_flat(at.spark, at.bronze_parts(), work_dir(at.spark, "export"), RUN_TS)
-    columns = {
-        "album": ("album_id", "release_date", "album_url"),
-        "artist": ("artist_id", None, "artist_url"),
-        "song": ("recording_id", "first_release_date", None),
+    rows = {
+        name: readers.read_csv_export(at.spark, folder).withColumn("table", F.lit(name))
+        for name, folder in folders.items()
     }
-
-    def slim(name: str) -> DataFrame:
-        rows = readers.read_csv_export(at.spark, folders[name])
-        key, date, url = (F.lit(None).cast("string") if n is None else c(n) for n in columns[name])
-        return rows.select(
-            F.lit(name).alias("table"),
-            key.alias("id"),
-            date.alias("release_date"),
-            url.alias("url"),
-            "artist_search",
-            c("extracted_at").cast("timestamp").alias("extracted_at"),
-        )
-
-    return profile.stack_profiles([slim(name) for name in columns])
+    album, artist, song = (rows[n] for n in ("album", "artist", "song"))
+    every = album.unionByName(artist, allowMissingColumns=True).unionByName(song, allowMissingColumns=True)
+    return every.withColumn("extracted_at", c("extracted_at").cast("timestamp"))
 
 
 @query

@@ -26,13 +26,15 @@ def _table(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-_S, _I, _L, _B = T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType()
+# Scalars are read as the text they have in the file: a number may come quoted or with a fraction, and a typed reader would
+# make it null before the projection's cast sees it. Bronze Parquet written by versions with typed leaves must be staged anew.
+_S = T.StringType()
 
 CREDIT = _struct(
     artist=_struct(id=_S, name=_S, sort__name=_S, disambiguation=_S, type=_S, country=_S)
 )
-RELEASE = _struct(id=_S, title=_S, date=_S, country=_S, status=_S, track__count=_I)
-SONG_FIELDS = dict(id=_S, title=_S, length=_L, video=_B, score=_I, first__release__date=_S)
+RELEASE = _struct(id=_S, title=_S, date=_S, country=_S, status=_S, track__count=_S)
+SONG_FIELDS = dict(id=_S, title=_S, length=_S, video=_S, score=_S, first__release__date=_S)
 
 
 def bronze_schema(songs: bool = True, credits: bool = True, releases: bool = True) -> T.StructType:
@@ -50,6 +52,11 @@ def bronze_schema(songs: bool = True, credits: bool = True, releases: bool = Tru
     )
 
 
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """The schema with the column that takes unreadable text."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+
+
 BRONZE = bronze_schema()
 # What each silver table needs of an envelope. Catalyst prunes a generator's input only when a single leaf
 # of it is used, so jobs hand the scan the narrow schema themselves.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.ordering import newest_top1
-from stratalake.schemas import BRONZE, CORRUPT_COLUMN, SILVER
+from stratalake.schemas import BRONZE, CORRUPT_COLUMN, SILVER, with_corrupt
 
 
 def scan_bronze_json(
@@ -20,15 +20,22 @@ def scan_bronze_json(
     """Envelopes from JSON files.
 
     JSON Lines (the default) splits at block borders. `multi_line` reads files that hold one top-level
-    array; each element is a row, but one task must parse the whole file, so keep such files small.
-    `keep_corrupt` adds `_corrupt_record`: unreadable text becomes a row there instead of an error.
+    array or one object over several lines; each element is a row, but one task must parse the whole file, so keep such files small.
+    `keep_corrupt` adds `_corrupt_record`: unreadable text, such as the lines of an array read as JSON Lines, becomes a row there
+    instead of an envelope of nulls.
     """
     if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+        schema = with_corrupt(schema)
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     return reader.option("multiLine", multi_line).json(path)
 
 
+def unreadable(spark: SparkSession, staged: str) -> DataFrame:
+    """The texts in a staged bronze table that were no envelopes."""
+    rows = spark.read.schema(with_corrupt(BRONZE)).parquet(staged)
+    return rows.select(F.col(CORRUPT_COLUMN).alias("text")).filter("text IS NOT NULL")
+
+
 def conform_bronze(inferred: DataFrame) -> DataFrame:
     """A frame whose schema was inferred, brought to the bronze schema by field name at every level: fields
     that no record carried are added as null, further ones dropped."""

@@ -28,6 +28,20 @@ def write_with_count(df: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
+def publish_with_count(df: DataFrame, path: str) -> int:
+    """Replace a table by writing it beside the old one and renaming it when it is complete, so that a run that dies leaves the old
+    table as it was. On stores without atomic rename the change-over is as short as their rename."""
+    aside = f"{path.rstrip('/')}.{uuid.uuid4().hex[:12]}"
+    count = write_with_count(df, aside)
+    spark = df.sparkSession
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, path))
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{aside} is complete but could not be renamed to {path}")
+    return count
+
+
 def export_stamp(ts: Column) -> Column:
     return utc_text(ts, EXPORT_STAMP_FORMAT)
 

@@ -143,3 +143,20 @@ def test_json(spark):
 def test_replace(spark):
     got = apply(spark, lambda x: f.replace_substring(x, "to_processed", "processed"), ["raw/to_processed/a.json"])
     assert got == ["raw/processed/a.json"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_iso_forms_do_not_depend_on_the_session_zone(spark, zone):
+    forms = {
+        "2024-01-31T08:15:00+00": 0, "2024-01-31T08:15": 0, "2024-01-31T08:15:00Z": 0, "2024-01-31 08:15:00": 0,
+        "2024-01-31T08:15:00+0200": -7200, "2024-01-31T10:15:00+02": 0, "2024-01-31T08:15:00-05:00": 18000, "2024-01-31": -29700,
+        "soon": None, "2024-01-31T08:15:00?": None, None: None,
+    }
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in forms], "t string")
+        got = {r[0]: r[1] for r in df.select("t", F.unix_seconds(d.iso_timestamp(F.col("t")))).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {t: None if s is None else 1706688900 + s for t, s in forms.items()}

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from conftest import SF, TABLES, duckdb_over
 from stratalake.registry.oracle import all_sql
+from stratalake.registry.queries import REGISTRY
 from stratalake.session import work_dir
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = REGISTRY
+SQL = all_sql()
 SQL_TYPES = {
     "string": "VARCHAR",
     "bigint": "BIGINT",
@@ -60,8 +61,8 @@ def test_query_equals_sql(spark, con, name):
         assert df.count() > 0
 
 
-def test_only_the_newest_file_queries_have_no_sql():
-    assert set(QUERIES) - set(all_sql()) == {"newest_file_top1", "scan_latest_file"}
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(all_sql())
 
 
 @pytest.fixture(scope="module")

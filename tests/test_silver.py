@@ -235,3 +235,20 @@ def test_tables_equal_plain_loops_on_random_documents(spark, write_bronze):
         columns = [c for c in merged.columns if c not in (*silver.POSITIONS, "extracted_at")]
         assert rows(merged.select(*columns)) == by_hand(envelopes, table)
         assert make(bronze).count() == merged.count()
+
+
+def test_numbers_in_any_json_form_survive(spark, write_bronze):
+    forms = [("180000", 180000), ('"180000"', 180000), ("180000.0", 180000), ("1.8E5", 180000), ('"9007199254740993"', 2**53 + 1),
+             ("12.5", 12), ("-7", -7), ('"x"', None), ("null", None), ('"9223372036854775808"', None)]
+    lines = [
+        f'{{"artist_search":"s","data":{{"recordings":[{{"id":"{i}","length":{text},"score":{text},"video":"true"}}]}}}}'
+        for i, (text, _) in enumerate(forms)
+    ]
+    songs = {r["recording_id"]: r for r in silver.transform_songs(scan_bronze_json(spark, write_bronze("\n".join(lines)))).collect()}
+    assert [songs[str(i)]["length_ms"] for i in range(len(forms))] == [n for _, n in forms]
+    assert songs["0"]["score"] == 180000 and songs["4"]["score"] is None and songs["0"]["video"] is True
+
+
+def test_a_row_with_an_unreadable_time_loses(spark, write_bronze):
+    landing = write_bronze([envelope("s", [{"id": "1", "title": "no time"}], "soon"), envelope("s", [{"id": "1", "title": "dated"}])])
+    assert [r["title"] for r in silver.transform_songs(scan_bronze_json(spark, landing)).collect()] == ["dated"]

@@ -106,6 +106,7 @@ def test_jobs_run_twice_give_the_same_tables(spark, folder):
     for run in ("first", "second"):
         counts = jobs.run_bronze_to_silver(spark, at.bronze_json(), f"{folder}/silver")
         gold = jobs.run_silver_to_gold(spark, f"{folder}/silver", f"{folder}/gold", F.lit("2024-02-01").cast("timestamp"))
+        assert counts.pop("unreadable") == 0
         tables = [f"silver/{t}" for t in counts] + [f"gold/{t}" for t in gold]
         results.append({t: rows(spark.read.parquet(f"{folder}/{t}")) for t in tables})
         assert all(len(results[-1][f"silver/{t}"]) == n for t, n in counts.items())

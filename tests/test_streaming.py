@@ -1,11 +1,16 @@
 import os
+import time
+from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import envelope, rows
 from stratalake.plans import silver
-from stratalake.schemas import SILVER
-from stratalake.sources.readers import scan_bronze_json
+from stratalake.plans.flat_export import export_newest
+from stratalake.plans.jobs import run_bronze_to_silver
+from stratalake.schemas import BRONZE, SILVER
+from stratalake.sources.readers import read_csv_export, scan_bronze_json
 from stratalake.streaming import ingest, upsert
 
 
@@ -27,7 +32,73 @@ def test_each_file_is_read_once(spark, folder, write_bronze):
     assert run() == 1  # nothing new, nothing added
     write_bronze([song("2", "b", DAYS[1]), song("3", "c", DAYS[1])])
     assert run() == 3
-    assert rows(spark.read.parquet(f"{folder}/out")) == rows(scan_bronze_json(spark, landing))
+    assert rows(spark.read.schema(BRONZE).parquet(f"{folder}/out")) == rows(scan_bronze_json(spark, landing))
+
+
+def test_files_with_old_times_are_read_too(spark, folder, write_bronze):
+    landing = write_bronze([song("1", "a", DAYS[0])])
+    ingest.ingest_bronze(spark, landing, f"{folder}/out", f"{folder}/state")
+    write_bronze([song("2", "b", DAYS[1])], "back-fill.json")
+    a_year_ago = time.time() - 365 * 86400
+    os.utime(f"{landing}/back-fill.json", (a_year_ago, a_year_ago))
+    ingest.ingest_bronze(spark, landing, f"{folder}/out", f"{folder}/state")
+    assert spark.read.parquet(f"{folder}/out").count() == 2
+
+
+@pytest.mark.parametrize("lines", [True, False])
+def test_files_of_one_array_are_read_by_the_incremental_job(spark, folder, write_bronze, lines):
+    landing = write_bronze([song("1", "a", DAYS[0]), song("2", "b", DAYS[1])], lines=lines)
+    counts = upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver", multi_line=not lines)
+    assert counts == {"artists": 0, "albums": 2, "songs": 2, "unreadable": 0}
+
+
+def test_unreadable_text_is_kept_and_counted(spark, folder, write_bronze):
+    landing = write_bronze([song("1", "a", DAYS[0])])
+    write_bronze([song("2", "b", DAYS[1])], lines=False)  # an array over several lines, read as JSON Lines
+    write_bronze('{"artist_search": "cut o')
+    counts = upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver")
+    assert counts["songs"] == 1 and counts["unreadable"] > 5
+    batch = run_bronze_to_silver(spark, landing, f"{folder}/batch")
+    assert batch == counts
+    texts = [r["text"] for r in spark.read.parquet(f"{folder}/batch/unreadable").collect()]
+    assert len(texts) == counts["unreadable"] and '{"artist_search": "cut o' in texts
+
+
+def test_a_run_without_news_writes_nothing(spark, folder, write_bronze):
+    landing = write_bronze([song("1", "a", DAYS[0])])
+    run = lambda: upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver")
+
+    def written():
+        every = [os.path.join(d, f) for d, _, files in os.walk(folder) for f in files if f.startswith("part-")]
+        return {f: os.path.getmtime(f) for f in every}
+
+    first, before = run(), written()
+    assert run() == first and written() == before
+
+
+def test_a_table_left_behind_by_a_dead_run_is_published_by_the_next(spark, folder, write_bronze, monkeypatch):
+    landing = write_bronze([song("1", "a", DAYS[0])])
+    run = lambda: upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver")
+    run()
+    write_bronze([song("2", "b", DAYS[1])])
+    with monkeypatch.context() as broken:
+        broken.setattr(upsert, "publish_tables", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    assert spark.read.parquet(f"{folder}/silver/songs").count() == 1  # the old table is still whole
+    assert run()["songs"] == 2
+    assert spark.read.parquet(f"{folder}/silver/songs").count() == 2
+
+
+def test_the_newest_file_is_exported_and_archived(spark, folder, write_bronze):
+    landing = write_bronze([song("1", "old", DAYS[0])], "old.json", lines=False)
+    write_bronze([song("2", "new", DAYS[1])], "new.json", lines=False)
+    os.utime(f"{landing}/old.json", (1, 1))
+    now = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    folders = export_newest(spark, landing, f"{folder}/out", f"{folder}/done", now)
+    assert [r["title"] for r in read_csv_export(spark, folders["song"]).collect()] == ["new"]
+    assert os.listdir(landing) == ["old.json"] or sorted(os.listdir(landing)) == [".old.json.crc", "old.json"]
+    assert "new.json" in os.listdir(f"{folder}/done")
 
 
 def test_files_are_archived_by_a_later_batch(spark, folder, write_bronze):
@@ -74,9 +145,10 @@ def test_incremental_runs_equal_one_batch_run(spark, folder, write_bronze):
         assert rows(stored) == rows(make(bronze))
         assert stored.count() == counts[table]
     # three batches brought something, so there are three snapshots, each named in the log
+    # of which the last two are kept
     snapshots = {f for f in os.listdir(f"{folder}/state/songs/snapshots") if f.startswith("number=")}
     logged = {f"number={r['snapshot']}" for r in spark.read.parquet(f"{folder}/state/songs/log").collect()}
-    assert snapshots == logged and len(logged) == 3
+    assert len(logged) == 3 and snapshots == {"number=2", "number=3"}
     assert ("1", "early") in [(r["recording_id"], r["title"]) for r in silver.transform_songs(bronze).collect()]
 
 
