@@ -29,14 +29,7 @@ def run_together(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict
 
 
 def write_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
-    """Write all tables below `base` and return their row counts."""
-    return run_together(
-        spark, {name: partial(write_with_count, df, f"{base}/{name}") for name, df in tables.items()}
-    )
-
-
-def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
-    """Like `write_tables`, but each old table stays until its successor is complete."""
+    """Write all tables below `base` and return their row counts. Each old table stays until its successor is complete."""
     return run_together(
         spark, {name: partial(publish_with_count, df, f"{base}/{name}") for name, df in tables.items()}
     )

@@ -618,7 +618,7 @@ def incremental_upsert(at: Layers) -> DataFrame:
     landing, base, state = (work_dir(at.spark, n) for n in ("landing", "upsert", "state"))
     for odd, ts in ((1, EARLIER_RUN_TS), (0, RUN_TS)):
         writers.land_bronze(half(at, odd), landing, run_ts(ts))
-        upsert.append_changes(at.spark, landing, f"{base}/changes", state, "songs")
+        upsert.append_changes(at.spark, landing, base, state, "songs")
         merged = upsert.advance_snapshot(at.spark, base, "songs")
     return silver.silver_view(merged, "songs")
 

@@ -43,7 +43,8 @@ def conform_bronze(inferred: DataFrame) -> DataFrame:
 
 
 def scan_silver_parquet(spark: SparkSession, base: str, table: str) -> DataFrame:
-    return spark.read.schema(SILVER[table]).parquet(f"{base}/{table}")
+    """A silver table's own columns, whether or not it lies in bucket folders."""
+    return spark.read.schema(SILVER[table]).parquet(f"{base}/{table}").select(*SILVER[table].fieldNames())
 
 
 def read_csv_export(

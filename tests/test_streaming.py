@@ -9,8 +9,8 @@ from conftest import envelope, rows
 from stratalake.plans import silver
 from stratalake.plans.flat_export import export_newest
 from stratalake.plans.jobs import run_bronze_to_silver
-from stratalake.schemas import BRONZE, SILVER
-from stratalake.sources.readers import read_csv_export, scan_bronze_json
+from stratalake.schemas import BRONZE
+from stratalake.sources.readers import read_csv_export, scan_bronze_json, scan_silver_parquet
 from stratalake.streaming import ingest, upsert
 
 
@@ -82,12 +82,27 @@ def test_a_table_left_behind_by_a_dead_run_is_published_by_the_next(spark, folde
     run()
     write_bronze([song("2", "b", DAYS[1])])
     with monkeypatch.context() as broken:
-        broken.setattr(upsert, "publish_tables", lambda *a: 1 / 0)
+        broken.setattr(upsert, "publish", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             run()
     assert spark.read.parquet(f"{folder}/silver/songs").count() == 1  # the old table is still whole
-    assert run()["songs"] == 2
-    assert spark.read.parquet(f"{folder}/silver/songs").count() == 2
+    write_bronze([song("3", "c", DAYS[1])])  # the next run has news of its own
+    assert run()["songs"] == 3
+    assert spark.read.parquet(f"{folder}/silver/songs").count() == 3
+
+
+def test_only_touched_buckets_are_written(spark, folder, write_bronze):
+    landing = write_bronze([song(str(n), "a", DAYS[0]) for n in range(200)])
+    run = lambda: upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver")
+    files = lambda: {os.path.join(d, f) for d, _, names in os.walk(f"{folder}/silver/songs") for f in names if f.startswith("part-")}
+    run()
+    before = files()
+    write_bronze([song("7", "b", "2023-01-01T00:00:00+00:00")])
+    run()
+    gone = before - files()
+    assert len(gone) == 1 and len(before) > 40
+    titles = {r["recording_id"]: r["title"] for r in scan_silver_parquet(spark, f"{folder}/silver", "songs").collect()}
+    assert len(titles) == 200 and titles["7"] == "b" and titles["8"] == "a"
 
 
 def test_the_newest_file_is_exported_and_archived(spark, folder, write_bronze):
@@ -141,14 +156,14 @@ def test_incremental_runs_equal_one_batch_run(spark, folder, write_bronze):
         counts = upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver")
     bronze = scan_bronze_json(spark, landing)
     for table, make in silver.TRANSFORMS.items():
-        stored = spark.read.schema(SILVER[table]).parquet(f"{folder}/silver/{table}")
+        stored = scan_silver_parquet(spark, f"{folder}/silver", table)
         assert rows(stored) == rows(make(bronze))
         assert stored.count() == counts[table]
-    # three batches brought something, so there are three snapshots, each named in the log
-    # of which the last two are kept
-    snapshots = {f for f in os.listdir(f"{folder}/state/songs/snapshots") if f.startswith("number=")}
-    logged = {f"number={r['snapshot']}" for r in spark.read.parquet(f"{folder}/state/songs/log").collect()}
-    assert len(logged) == 3 and snapshots == {"number=2", "number=3"}
+    # three batches brought something, so there were three snapshots, of which two are kept with all that they refer to
+    kept = upsert.snapshots(spark, f"{folder}/state/songs")
+    assert sorted(kept) == [2, 3]
+    for number, state in kept.items():
+        assert upsert.bucket_rows(spark, f"{folder}/state/songs", "songs", state).count() == (2 if number == 2 else 3)
     assert ("1", "early") in [(r["recording_id"], r["title"]) for r in silver.transform_songs(bronze).collect()]
 
 
@@ -169,21 +184,22 @@ def test_merging_is_associative(spark, write_bronze, folder):
 
 def test_a_snapshot_the_log_does_not_name_is_made_again(spark, folder, write_bronze):
     landing = write_bronze([song("1", "b", DAYS[1])])
-    upsert.append_changes(spark, landing, f"{folder}/changes", f"{folder}/state", "songs")
+    upsert.append_changes(spark, landing, folder, f"{folder}/state", "songs")
     spark.range(3).write.parquet(f"{folder}/snapshots/number=1")  # left over from a run that died
     assert [r["title"] for r in upsert.advance_snapshot(spark, folder, "songs").collect()] == ["b"]
-    assert [r["snapshot"] for r in upsert.snapshot_log(spark, f"{folder}/log").collect()] == [1]
+    assert list(upsert.snapshots(spark, folder)) == [1]
     # nothing new: the same snapshot, no further one
     assert upsert.advance_snapshot(spark, folder, "songs").count() == 1
-    assert [r["snapshot"] for r in upsert.snapshot_log(spark, f"{folder}/log").collect()] == [1]
-
-
-def test_a_batch_with_an_earlier_clock_is_not_lost(spark, folder, write_bronze):
-    for key, arrived in (("1", 10), ("2", 5)):
-        name = f"only-{key}.json"
-        path = write_bronze([song(key, "t", DAYS[0])], name)
-        rows_ = silver.keyed_rows(scan_bronze_json(spark, f"{path}/{name}"), "songs")
-        batch = rows_.withColumn("arrived", F.lit(arrived))
-        batch.write.mode("append").partitionBy("arrived").parquet(f"{folder}/changes")
-        merged = upsert.advance_snapshot(spark, folder, "songs")
-    assert sorted(r["recording_id"] for r in merged.collect()) == ["1", "2"]
+    assert list(upsert.snapshots(spark, folder)) == [1]
+
+
+def test_changes_of_a_run_that_died_are_taken_with_the_next(spark, folder, write_bronze):
+    """The stream has committed, the snapshot has not been made: both runs' rows get the same number."""
+    landing = write_bronze([song("1", "a", DAYS[1])])
+    upsert.append_changes(spark, landing, folder, f"{folder}/state", "songs")
+    write_bronze([song("2", "b", DAYS[1])])
+    upsert.append_changes(spark, landing, folder, f"{folder}/state", "songs")
+    assert sorted(r["title"] for r in upsert.advance_snapshot(spark, folder, "songs").collect()) == ["a", "b"]
+    write_bronze([song("3", "c", DAYS[1])])
+    upsert.append_changes(spark, landing, folder, f"{folder}/state", "songs")
+    assert sorted(r["title"] for r in upsert.advance_snapshot(spark, folder, "songs").collect()) == ["a", "b", "c"]
