@@ -16,6 +16,7 @@ from stratalake.plans.flat_export import export_flat
 from stratalake.registry.stage import layers
 from stratalake.session import build_session, work_dir
 from stratalake.streaming.ingest import ingest_bronze
+from stratalake.streaming.upsert import run_incremental
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -75,6 +76,16 @@ def main() -> None:
     for name, run in headline.items():
         times[name] = statistics.median(seconds(run) for _ in range(RUNS))
 
+    # The incremental job: all files as news, then one more file of a thousand envelopes.
+    landing, runs = at.bronze_json(), {"incremental_first_run": [], "incremental_small_delta": []}
+    few = at.bronze().limit(1000).coalesce(1)
+    for _ in range(RUNS):
+        state, silver_base = work_dir(spark, "state"), work_dir(spark, "silver")
+        runs["incremental_first_run"].append(seconds(lambda: run_incremental(spark, landing, state, silver_base)))
+        few.write.mode("append").json(landing)
+        runs["incremental_small_delta"].append(seconds(lambda: run_incremental(spark, landing, state, silver_base)))
+    times |= {name: statistics.median(values) for name, values in runs.items()}
+
     scale = re.search(r"sf([\d.]+)", SF_DIR)
     print(
         json.dumps(

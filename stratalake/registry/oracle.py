@@ -274,7 +274,8 @@ NESTED = {
     ),
     "top_n_per_search": "SELECT * FROM songs QUALIFY row_number() OVER (PARTITION BY artist_search "
     f"ORDER BY score DESC, recording_id) <= {v.RECORDINGS_PER_SEARCH}",
-    "stream_dedup_watermark": "SELECT DISTINCT recording_id FROM recording WHERE recording_id IS NOT NULL",
+    "stream_dedup_watermark": "SELECT DISTINCT recording_id FROM recording WHERE recording_id IS NOT NULL AND extracted_at % 2 = 0 "
+    "UNION ALL SELECT 'nat-' || n_nationkey FROM nation",
     "incremental_upsert": "SELECT * FROM songs",
     "transform_artists": "SELECT * FROM artists",
     "transform_albums": "SELECT * FROM albums",
