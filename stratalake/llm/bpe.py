@@ -6,7 +6,6 @@ however long it is. Words already met by a task are looked up."""
 
 from __future__ import annotations
 
-import hashlib
 import json
 import unicodedata
 from array import array
@@ -203,9 +202,3 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-
-
-def expected(ids: list[int], decoded: str) -> tuple[int, str, str]:
-    """The query's columns for given ids and text, for tests."""
-    packed = b"".join(i.to_bytes(4, "little") for i in ids)
-    return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()

@@ -6,8 +6,6 @@ Documents are repeated by their count and sorted by another hash, which shuffles
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,14 +90,3 @@ def mix_rows(docs: DataFrame) -> DataFrame:
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix(docs, target_rates(docs)).select("doc_id", "text", "lang", "source", "n_chars", "copy", "order_key")
-
-
-def expected_quantile(rate: float, u: float) -> int:
-    """The same quantile in plain Python, for tests."""
-    p = c = math.exp(-rate)
-    k = 0
-    while c < u and k < TABLE:
-        k += 1
-        p *= rate / k
-        c += p
-    return k
