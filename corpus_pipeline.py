@@ -1,7 +1,8 @@
 """From raw documents to token ids: quality rules, exact dedup, near-dedup, mixing, BPE.
 
-Each stage takes (spark, docs, sf_dir) and returns a frame. `run` writes every stage's rows as Parquet below the shared work folder and reads
-them back for the next, so a lost executor costs one stage's tasks and no stage is computed twice."""
+Each stage takes (spark, docs, sf_dir) and returns a frame. `run` writes every stage's rows as Parquet below the
+shared work folder and reads them back for the next, so a lost executor costs one stage's tasks and no stage is
+computed twice."""
 
 from __future__ import annotations
 
@@ -48,7 +49,8 @@ STAGES = [
     ("bpe_encode", bpe_encode),
 ]
 
-# Posterior votes, similarity components and merges can't be put in SQL; the tests hold the rows against a brute-force version.
+# Posterior votes, similarity components and merges can't be put in SQL; the tests hold the rows against a
+# brute-force version.
 ORACLE_SQL = None
 
 

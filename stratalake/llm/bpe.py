@@ -1,8 +1,9 @@
 """BPE encoding and decoding with the merges of a public tokenizer file.
 
-A text is normalised and cut into words as the file says; each word's symbols are merged with a segment tree over the ranks of adjacent
-pairs. The root holds the leftmost pair of lowest rank; a merge changes three leaves at most, so a word of n symbols takes n log n steps
-however long it is. Words already met by a task are looked up."""
+A text is normalised and cut into words as the file says; each word's symbols are merged with a segment tree
+over the ranks of adjacent pairs. The root holds the leftmost pair of lowest rank; a merge changes three leaves
+at most, so a word of n symbols takes n log n steps however long it is. Words already met by a task are looked
+up."""
 
 from __future__ import annotations
 
@@ -32,14 +33,16 @@ def default_path() -> str:
 
 
 def byte_letters() -> list[str]:
-    """The printable letter that stands for each byte: itself where Latin-1 prints it, else the next free letter from U+0100."""
+    """The printable letter that stands for each byte: itself where Latin-1 prints it, else the next free letter
+    from U+0100."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     spare = iter(range(0x100, 0x200))
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
-# Contractions, runs of letters, single digits, runs of other symbols. Letters that the newest Unicode version added may be symbols
-# to the tokenizers library, whose tables are older or newer than the regex module's; all others agree.
+# Contractions, runs of letters, single digits, runs of other symbols. Letters that the newest Unicode version
+# added may be symbols to the tokenizers library, whose tables are older or newer than the regex module's; all
+# others agree.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 
 
@@ -72,7 +75,8 @@ class PairTree:
 
 
 class WordBpe:
-    """Encoder and decoder for one file of lower-case word BPE with word ends. Only the parts that decide ids are read from it."""
+    """Encoder and decoder for one file of lower-case word BPE with word ends. Only the parts that decide ids
+    are read from it."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -161,8 +165,8 @@ def coder(path: str) -> WordBpe:
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids): the whole texts' ids as little-endian 32-bit integers. A null text is the empty text, which has no
-    tokens. One row per row of the input, whatever its other columns; no shuffle."""
+    """(doc_id, n_tokens, ids): the whole texts' ids as little-endian 32-bit integers. A null text is the empty
+    text, which has no tokens. One row per row of the input, whatever its other columns; no shuffle."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

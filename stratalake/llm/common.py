@@ -19,8 +19,9 @@ SALTS = 32
 
 
 def importable(df: DataFrame) -> DataFrame:
-    """Let Python workers import this package where they see the driver's copy of it (one machine, or a shared disk) but were started
-    elsewhere; other clusters install the package or get it by --py-files. Returns the frame."""
+    """Let Python workers import this package where they see the driver's copy of it (one machine, or a shared
+    disk) but were started elsewhere; other clusters install the package or get it by --py-files. Returns the
+    frame."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = df.sparkSession.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

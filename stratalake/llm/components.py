@@ -9,11 +9,13 @@ from stratalake.llm.common import staged
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of `links` (a, b); root is the smallest node that can be reached. Self-links may occur.
+    """(node, root) for every node of `links` (a, b); root is the smallest node that can be reached. Self-links
+    may occur.
 
-    Each round hooks every node to its smallest neighbour, shortens the hooks to their ends by doubling, and replaces nodes by those ends;
-    at least half of the nodes that still have links go. All steps are joins and minima over narrow rows, staged, so a hub with
-    a third of all links is combined before it is shuffled and long chains take few rounds."""
+    Each round hooks every node to its smallest neighbour, shortens the hooks to their ends by doubling, and
+    replaces nodes by those ends; at least half of the nodes that still have links go. All steps are joins and
+    minima over narrow rows, staged, so a hub with a third of all links is combined before it is shuffled and
+    long chains take few rounds."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = staged(both.where("a <> b").distinct(), "links")
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()

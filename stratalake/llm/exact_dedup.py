@@ -1,8 +1,9 @@
 """Exact de-duplication against a persistent index of text digests.
 
-The index is a table of one row per known text, bucketed and sorted by digest. A batch is first combined to one row per
-digest (on the map side, so a text with a third of all rows sends one row per task), then anti-joined with the
-index, bucket by bucket by sort-merge, without moving the index; the digests that are new are appended."""
+The index is a table of one row per known text, bucketed and sorted by digest. A batch is first combined to one
+row per digest (on the map side, so a text with a third of all rows sends one row per task), then anti-joined
+with the index, bucket by bucket by sort-merge, without moving the index; the digests that are new are
+appended."""
 
 from __future__ import annotations
 
@@ -23,8 +24,9 @@ def text_digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """The digests of all texts taken so far, below one folder. Opening it anew in another session finds them again. The number
-    of buckets is fixed when the index is first made; choose about one per 100 million texts, 16 at least."""
+    """The digests of all texts taken so far, below one folder. Opening it anew in another session finds them
+    again. The number of buckets is fixed when the index is first made; choose about one per 100 million texts,
+    16 at least."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark, self.path = spark, path
@@ -42,20 +44,22 @@ class DigestIndex:
         return digests.join(self.rows().hint("merge"), "digest", "left_anti")
 
     def append(self, groups: DataFrame) -> None:
-        """Add (digest, keep_id) rows, which must be new and one per digest. A repeat after a lost driver adds nothing,
-        since the caller's anti-join finds them."""
+        """Add (digest, keep_id) rows, which must be new and one per digest. A repeat after a lost driver adds
+        nothing, since the caller's anti-join finds them."""
         buckets = self.spark.sql(f"DESCRIBE EXTENDED {self.table}").where("col_name = 'Num Buckets'").first()
         new = groups.select("digest", F.col("keep_id").cast("bigint"))
         new.repartition(int(buckets.data_type), "digest").write.insertInto(self.table)
 
 
 def find_duplicates(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of the batch: tag, the id, keep_id, group_size, kept, text_sha256; new texts go into the index.
-
-    Of equal texts in the batch the row with the smallest id stays (null ids last; of rows with the same id any one,
-    fixed once staged). A text that the index has from an earlier batch stays with the row known there: keep_id names it, and
-    nothing of the batch is kept, but for the row of that same id, so that a batch run twice gives the same answer. group_size counts
-    the batch's rows. A null text is the empty text; an empty batch gives no rows. Extra columns play no part."""
+    """One row per row of the batch: tag, the id, keep_id, group_size, kept, text_sha256; new texts go into the
+    index.
+
+    Of equal texts in the batch the row with the smallest id stays (null ids last; of rows with the same id any
+    one, fixed once staged). A text that the index has from an earlier batch stays with the row known there:
+    keep_id names it, and nothing of the batch is kept, but for the row of that same id, so that a batch run
+    twice gives the same answer. group_size counts the batch's rows. A null text is the empty text; an empty
+    batch gives no rows. Extra columns play no part."""
     tagged = docs.select(
         F.monotonically_increasing_id().alias("tag"),
         F.col(id_col).cast("bigint").alias("doc_id"),
@@ -88,8 +92,8 @@ def _decide(tagged: DataFrame, index: DigestIndex) -> DataFrame:
 def drop_duplicates(
     docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of `docs` that stay, with their own columns; see `find_duplicates`. Without an index, a new one is made
-    in the work folder."""
+    """The rows of `docs` that stay, with their own columns; see `find_duplicates`. Without an index, a new one
+    is made in the work folder."""
     index = index or new_index(docs.sparkSession)
     tag, digest = fresh(docs, "tag"), fresh(docs, "digest")
     rows = docs.withColumn(digest, text_digest(F.col(text_col))).withColumn(tag, F.monotonically_increasing_id())

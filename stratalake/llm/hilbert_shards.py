@@ -1,8 +1,9 @@
 """Shards along a Hilbert curve.
 
-Language, source and length are quantised to six bits each by their place in the order of the corpus, a Hilbert curve joins the three to one
-index, and documents sorted by it are cut into runs of equal row count. Neighbours on the curve are near in all three, so each
-shard's files have narrow bounds in every dimension and a filter on any of them skips most."""
+Language, source and length are quantised to six bits each by their place in the order of the corpus, a Hilbert
+curve joins the three to one index, and documents sorted by it are cut into runs of equal row count. Neighbours
+on the curve are near in all three, so each shard's files have narrow bounds in every dimension and a filter on
+any of them skips most."""
 
 from __future__ import annotations
 
@@ -19,8 +20,9 @@ OVERHEAD = 16
 
 
 def hilbert_index(axes: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """The place on the Hilbert curve of each row of coordinates (n, dimensions), each below 2**bits. Works on whole columns:
-    rotations and reflections from the highest bit down, then a Gray code over the interleaved bits."""
+    """The place on the Hilbert curve of each row of coordinates (n, dimensions), each below 2**bits. Works on
+    whole columns: rotations and reflections from the highest bit down, then a Gray code over the interleaved
+    bits."""
     x = axes.astype(np.int64).T.copy()
     dims = len(x)
     for q in (1 << b for b in range(bits - 1, 0, -1)):
@@ -45,8 +47,9 @@ def hilbert_index(axes: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def quantised(docs: DataFrame, column: str, out: str, bits: int = BITS) -> DataFrame:
-    """The frame with `out` added: the value's place among the column's distinct values in order, scaled to 2**bits cells; nulls are
-    in cell 0. The distinct values are ranked by range partitions, so there may be any number of them."""
+    """The frame with `out` added: the value's place among the column's distinct values in order, scaled to
+    2**bits cells; nulls are in cell 0. The distinct values are ranked by range partitions, so there may be any
+    number of them."""
     distinct = docs.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct()
     ranked, n = global_rank(distinct, ["value"], "rank", "values")
     cells = ranked.select(F.col("value").alias(column), F.floor(F.col("rank") * (1 << bits) / max(n, 1)).cast("int").alias(out))
@@ -60,10 +63,11 @@ def length_cell(size: Column, bits: int = BITS) -> Column:
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
                   dimensions: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """One row per document: doc_id, size, text_crc32, curve, shard, slot. Shard sizes differ by one row at most; slots number each shard's rows from
-    0 along the curve. size is the text's bytes in UTF-8 plus 16, a null text has none and the checksum of the empty text. Rows of one
-    cell are ordered by id (nulls first), then checksum and size; rows equal in all these are interchangeable. Fewer rows than shards leave
-    some shards empty. Texts themselves are not moved."""
+    """One row per document: doc_id, size, text_crc32, curve, shard, slot. Shard sizes differ by one row at
+    most; slots number each shard's rows from 0 along the curve. size is the text's bytes in UTF-8 plus 16, a
+    null text has none and the checksum of the empty text. Rows of one cell are ordered by id (nulls first),
+    then checksum and size; rows equal in all these are interchangeable. Fewer rows than shards leave some
+    shards empty. Texts themselves are not moved."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -89,7 +93,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write the documents as one folder of Parquet per shard, each in slot order. Ids must be unique and not null for this."""
+    """Write the documents as one folder of Parquet per shard, each in slot order. Ids must be unique and not
+    null for this."""
     place = assigned.select(F.col("doc_id").alias(id_col), "shard", "slot")
     rows = docs.drop("shard", "slot").join(place, id_col)
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -1,11 +1,12 @@
 """Main text of web pages by deducing the template of each host.
 
-A page is a sequence of tokens: tags with the containers they stand in, and blocks of text. Tokens that occur equally often as each other on every
-page of a host (equal occurrence vectors) form an equivalence class. The class that occurs once on every page is the page's
-skeleton, if its tags keep one order everywhere; classes that repeat (list items, teasers) are nested in its gaps. Text
-in a class with tags is part of the template, as it never varies. What remains is in the gaps of the skeleton, the slots; a slot is main
-text by the containers around it. Occurrence vectors are kept as sums of page counts with random weights, so that a host of any size takes
-one row per token."""
+A page is a sequence of tokens: tags with the containers they stand in, and blocks of text. Tokens that occur
+equally often as each other on every page of a host (equal occurrence vectors) form an equivalence class. The
+class that occurs once on every page is the page's skeleton, if its tags keep one order everywhere; classes that
+repeat (list items, teasers) are nested in its gaps. Text in a class with tags is part of the template, as it
+never varies. What remains is in the gaps of the skeleton, the slots; a slot is main text by the containers
+around it. Occurrence vectors are kept as sums of page counts with random weights, so that a host of any size
+takes one row per token."""
 
 from __future__ import annotations
 
@@ -70,7 +71,8 @@ def key_of(token: str) -> int:
 
 
 class Page:
-    """A page's tokens (key, state of the slot that follows, whether a tag) and blocks (text, token key, last tag's place, in a link)."""
+    """A page's tokens (key, state of the slot that follows, whether a tag) and blocks (text, token key, last
+    tag's place, in a link)."""
 
     def __init__(self, source: str):
         self.tokens: list[tuple[int, int, bool]] = []
@@ -176,8 +178,8 @@ class Page:
 
 
 def main_text(source: str | None, skeleton: dict[int, int], fixed: set[int]) -> str:
-    """The blocks of a page that are main text, one per line. `skeleton`: state of the slot behind each tag of the template; `fixed`: keys of
-    the template's texts."""
+    """The blocks of a page that are main text, one per line. `skeleton`: state of the slot behind each tag of
+    the template; `fixed`: keys of the template's texts."""
     page = Page(source or "")
     has_main = any(state == CONTENT for _, state, _ in page.tokens) or CONTENT in skeleton.values()
     out, slot, done = [], None, 0
@@ -202,7 +204,8 @@ def host_of(url: str) -> F.Column:
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """host, r1, r2 (random weights of the page), and per distinct token its key, count, first place, slot state and kind."""
+    """host, r1, r2 (random weights of the page), and per distinct token its key, count, first place, slot state
+    and kind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,8 +230,8 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, fixed): for hosts with enough pages, the skeleton's tags with the states of the slots behind them, and the keys of
-    the texts that belong to the template."""
+    """(host, skeleton, fixed): for hosts with enough pages, the skeleton's tags with the states of the slots
+    behind them, and the keys of the texts that belong to the template."""
     rows = staged(page_tokens(pages), "tokens")
     hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("r1").alias("h1"), F.sum("r2").alias("h2"))
     hosts = staged(hosts.where(F.col("pages") >= LEAST_PAGES), "hosts")
@@ -244,7 +247,8 @@ def templates(pages: DataFrame) -> DataFrame:
     root = tokens.where(once & F.col("tag")).groupBy("host").agg(F.sort_array(F.collect_list(F.struct("at", "key", "state"))).alias("root"))
     root = staged(root, "root")
 
-    # The skeleton is valid where its tags keep their order: a tag goes if any page has it at another place among the tags of the class.
+    # The skeleton is valid where its tags keep their order: a tag goes if any page has it at another place
+    # among the tags of the class.
     at_of = lambda key: F.get(F.filter("tokens", lambda t: t["key"] == key), F.lit(0))["at"]
     placed = rows.join(root, "host").select("host", F.transform("root", lambda k: at_of(k["key"])).alias("ats"))
     wrong = F.filter(F.sequence(F.lit(0), F.size("ats") - 1), lambda i: F.size(F.filter("ats", lambda a: a < F.get("ats", i))) != i)
@@ -264,14 +268,16 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) per page: main text in page order, a line per block, with character references decoded and white space
-    inside a block made one space.
+    """(page_id, url, text, n_chars) per page: main text in page order, a line per block, with character
+    references decoded and white space inside a block made one space.
 
-    A null or empty page has an empty text. Hosts with few pages, pages without a host, and pages that don't follow their host's template are read
-    by their elements alone. Repeated pages get equal texts; extra columns play no part."""
+    A null or empty page has an empty text. Hosts with few pages, pages without a host, and pages that don't
+    follow their host's template are read by their elements alone. Repeated pages get equal texts; extra columns
+    play no part."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("host", host_of("url"))
-    # The templates are a written table: Spark broadcasts it if it is small; else it merges, and splits hosts with many pages.
+    # The templates are a written table: Spark broadcasts it if it is small; else it merges, and splits hosts
+    # with many pages.
     rows = rows.join(templates(rows), "host", "left").select("page_id", "url", "host", "html", "skeleton", "fixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,9 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. A three-letter window is the product of its letters' vectors, shifted by two, one and no
-places, so order counts; a text is the sum of its windows, and a language the sum of its texts' unit vectors. The language whose
-prototype has the largest cosine with a text is predicted, and the cosine is the score."""
+Every letter has a random vector of +1 and -1. A three-letter window is the product of its letters' vectors,
+shifted by two, one and no places, so order counts; a text is the sum of its windows, and a language the sum of
+its texts' unit vectors. The language whose prototype has the largest cosine with a text is predicted, and the
+cosine is the score."""
 
 from __future__ import annotations
 
@@ -129,8 +130,9 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           bound: int = TRAINING_TEXTS) -> dict[str, np.ndarray]:
-    """A prototype per non-null language of the given rows. Of a language with more than `bound` rows about that many are taken, by a
-    hash of the id. Languages are few, so the prototypes (4 KB each) come to the driver; texts do not."""
+    """A prototype per non-null language of the given rows. Of a language with more than `bound` rows about that
+    many are taken, by a hash of the id. Languages are few, so the prototypes (4 KB each) come to the driver;
+    texts do not."""
     rows = labelled.where(F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
     )
@@ -163,8 +165,9 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) per document, from its whole text alone. `und` with score 0 if the text is null or has no letter, or
-    if nothing was learned; ties go to the first language by name; a negative cosine scores 0. No shuffle."""
+    """(doc_id, lang_pred, score) per document, from its whole text alone. `und` with score 0 if the text is
+    null or has no letter, or if nothing was learned; ties go to the first language by name; a negative cosine
+    scores 0. No shuffle."""
     names = list(prototypes)
     matrix = unit(np.array([prototypes[n] for n in names]).reshape(len(names), DIMENSIONS)).T.astype(np.float32)
 

@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Poisson replication.
 
-Each source has a rate: how often one of its documents shall occur on average. A document's count is the Poisson quantile, at
-that rate, of a number that a hash of seed and document spreads evenly over (0, 1): the same on every run and on any cluster.
-Documents are repeated by their count and sorted by another hash, which shuffles them globally."""
+Each source has a rate: how often one of its documents shall occur on average. A document's count is the Poisson
+quantile, at that rate, of a number that a hash of seed and document spreads evenly over (0, 1): the same on
+every run and on any cluster. Documents are repeated by their count and sorted by another hash, which shuffles
+them globally."""
 
 from __future__ import annotations
 
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import fresh, left_join_table
 
 SEED = 20240601
-# Rates above this are split into equal parts, whose independent counts are added; a part's quantile table stays short.
+# Rates above this are split into equal parts, whose independent counts are added; a part's quantile table stays
+# short.
 PART_RATE = 16.0
 TABLE = 96
 
@@ -24,8 +26,8 @@ def uniform(*parts: Column) -> Column:
 
 
 def poisson_count(rate: Column, key: Column, seed: int = SEED) -> Column:
-    """The quantile of Poisson(rate) at a hash of (seed, key). Rates up to PART_RATE take one look-up; a null or non-positive
-    rate gives 0."""
+    """The quantile of Poisson(rate) at a hash of (seed, key). Rates up to PART_RATE take one look-up; a null or
+    non-positive rate gives 0."""
     rate = F.greatest(F.coalesce(rate.cast("double"), F.lit(0.0)), F.lit(0.0))
     parts = F.greatest(F.ceil(rate / PART_RATE), F.lit(1))
     part = rate / parts
@@ -48,10 +50,12 @@ def poisson_count(rate: Column, key: Column, seed: int = SEED) -> Column:
 
 def target_rates(docs: DataFrame, weights: dict[str, float] | None = None, size: float = 1.0, smoothing: float = 0.5,
                  source_col: str = "source") -> DataFrame:
-    """(source, rate): how often each source's documents shall occur so that it makes up its share of size * rows.
+    """(source, rate): how often each source's documents shall occur so that it makes up its share of size *
+    rows.
 
-    `weights` names the shares (sources not named get none; they need not add up to 1). Without it, shares follow the
-    sources' row counts to the power `smoothing`. A null source is a source of its own, named only by the second way."""
+    `weights` names the shares (sources not named get none; they need not add up to 1). Without it, shares
+    follow the sources' row counts to the power `smoothing`. A null source is a source of its own, named only by
+    the second way."""
     counts = docs.groupBy(F.col(source_col).alias("source")).agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
         counts = counts.withColumn("weight", F.pow(F.col("n").cast("double"), F.lit(smoothing)))
@@ -65,11 +69,12 @@ def target_rates(docs: DataFrame, weights: dict[str, float] | None = None, size:
 
 def mix(docs: DataFrame, rates: DataFrame, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source",
         text_col: str = "text", copy_col: str = "copy", order_col: str = "order_key") -> DataFrame:
-    """Every document as often as its count says, in globally shuffled order, with columns `copy` (from 1) and `order_key` added;
-    columns of the input by those names are replaced.
+    """Every document as often as its count says, in globally shuffled order, with columns `copy` (from 1) and
+    `order_key` added; columns of the input by those names are replaced.
 
-    A document is known by its id, or by its text's digest where the id is null; repeated rows get the same count. A source without a
-    rate is left out; a null source takes the rate of null. Texts may be null. No documents give no rows."""
+    A document is known by its id, or by its text's digest where the id is null; repeated rows get the same
+    count. A source without a rate is left out; a null source takes the rate of null. Texts may be null. No
+    documents give no rows."""
     key, rate, n = fresh(docs, "key"), fresh(docs, "rate"), fresh(docs, "n")
     rows = docs.drop(copy_col, order_col)
     rows = rows.withColumn(key, F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))

@@ -1,11 +1,12 @@
 """Near-duplicate groups by one-permutation MinHash.
 
-A document's set of five-word shingles is hashed once. The hash range is cut into bins and each bin keeps its least value; an empty
-bin borrows the value of another, chosen by a hash of its own number and an attempt count, the same for all documents (optimal
-densification). Three bins make a band, and documents that agree in a band share a bucket. In a bucket candidates form a star: its
-centre is compared with the others; those that the star leaves apart are compared by further stars among themselves. All
-comparisons are exact, on full sets, and happen inside blocks of bounded size, from which only links that join something come out, so
-neither pairs nor sets pile up for large groups. Linked documents form components."""
+A document's set of five-word shingles is hashed once. The hash range is cut into bins and each bin keeps its
+least value; an empty bin borrows the value of another, chosen by a hash of its own number and an attempt count,
+the same for all documents (optimal densification). Three bins make a band, and documents that agree in a band
+share a bucket. In a bucket candidates form a star: its centre is compared with the others; those that the star
+leaves apart are compared by further stars among themselves. All comparisons are exact, on full sets, and happen
+inside blocks of bounded size, from which only links that join something come out, so neither pairs nor sets
+pile up for large groups. Linked documents form components."""
 
 from __future__ import annotations
 
@@ -28,7 +29,8 @@ BANDS, BAND_BINS = 24, 3
 BINS = BANDS * BAND_BINS
 ATTEMPTS = 4096
 SEED = 20240601
-# A block of sets that one task compares at once holds about this many shingles at most (8 MB), or one larger set and its centre.
+# A block of sets that one task compares at once holds about this many shingles at most (8 MB), or one larger
+# set and its centre.
 BLOCK_SHINGLES = 1_000_000
 WORDS_KEPT = 500_000
 TEXTS_AT_ONCE = 256
@@ -59,8 +61,8 @@ _borrow: list[np.ndarray] = []
 
 
 def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles: five words in a row, or all words if there are fewer. Words are runs without
-    ASCII white space, with A-Z lowered."""
+    """Sorted distinct 64-bit hashes of the text's shingles: five words in a row, or all words if there are
+    fewer. Words are runs without ASCII white space, with A-Z lowered."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
@@ -99,7 +101,8 @@ def bucket_keys(shingles: np.ndarray) -> np.ndarray:
         lender = asked[np.arange(len(empty)), has.argmax(1)]
         values[empty[found]] = values[lender[found]]
         empty = empty[~found]
-    # With so many attempts none stays empty but by a chance far below one in a billion; then the least value stands in.
+    # With so many attempts none stays empty but by a chance far below one in a billion; then the least value
+    # stands in.
     values[empty] = shingles[0]
     key = np.arange(BANDS, dtype=np.uint64)
     for column in values.reshape(BANDS, BAND_BINS).T:
@@ -135,8 +138,9 @@ def linked(a: int, b: int, both: np.ndarray | int) -> np.ndarray | bool:
 
 
 def block_links(nodes: list[int], groups: list[int], sides: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links between the sets of one block that join nodes not yet in one group. Stars are drawn one after the other: a centre is compared
-    at once with all sets of other groups. If there are nodes of side 1, only pairs with one of them are wanted."""
+    """Links between the sets of one block that join nodes not yet in one group. Stars are drawn one after the
+    other: a centre is compared at once with all sets of other groups. If there are nodes of side 1, only pairs
+    with one of them are wanted."""
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -165,8 +169,8 @@ def block_links(nodes: list[int], groups: list[int], sides: list[int], sets: lis
 
 
 def compare_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) found in blocks. `members`: block, node, grp, side; `sets`: node, shingles. A block's rows lie together in one task and
-    are read one block at a time."""
+    """Links (a, b) found in blocks. `members`: block, node, grp, side; `sets`: node, shingles. A block's rows
+    lie together in one task and are read one block at a time."""
     rows = members.join(sets, "node").select("block", "node", "grp", "side", "shingles")
     rows = rows.repartition("block").sortWithinPartitions("block")
 
@@ -212,8 +216,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
 
 
 def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) that connect all nodes whose sets are linked, directly or over others. `nodes`: node, doc_id, text_key, n_shingles,
-    buckets."""
+    """Links (a, b) that connect all nodes whose sets are linked, directly or over others. `nodes`: node,
+    doc_id, text_key, n_shingles, buckets."""
     entries = nodes.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
     who = F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who")
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"), who).where("n > 1")
@@ -223,7 +227,8 @@ def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
     wanted = staged(members.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node"), "wanted")
     sets = staged(shingle_sets(docs, wanted, id_col, text_col), "sets")
 
-    # First blocks: a bucket's members, in parts if it is large, each part with the bucket's centre: the member that meets most others.
+    # First blocks: a bucket's members, in parts if it is large, each part with the bucket's centre: the member
+    # that meets most others.
     large = F.col("size") > BLOCK_SHINGLES
     parts = F.when(large, F.ceil(F.col("size") * 2 / BLOCK_SHINGLES)).otherwise(1)
     placed = members.withColumn("part", F.pmod(F.xxhash64("node", "bucket"), parts)).select("bucket", "part", "node")
@@ -239,8 +244,8 @@ def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
     if not any_split:
         return links
 
-    # Buckets of more than one block may still hold members apart. Those outside a bucket's largest group are compared with all
-    # members of other groups, block by block.
+    # Buckets of more than one block may still hold members apart. Those outside a bucket's largest group are
+    # compared with all members of other groups, block by block.
     apart = split.join(components(links), "node", "left")
     apart = apart.select("bucket", "size", "node", "n_shingles", F.coalesce("root", "node").alias("grp"))
     sizes = apart.groupBy("bucket", "size", "grp").agg(F.sum("n_shingles").alias("of_group"))
@@ -264,9 +269,10 @@ def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
 def group_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: tag, doc_id, text_key, n_shingles, component_id, kept.
 
-    Documents are linked if their sets overlap by 75 % or more of their union; equal sets are linked whatever their size. component_id is the
-    smallest doc_id of the component (null if it has none); kept tells whether that is the row's own id, so rows that repeat an id share the answer. A null text
-    or one without words has an empty set and is alone. An empty table gives no rows."""
+    Documents are linked if their sets overlap by 75 % or more of their union; equal sets are linked whatever
+    their size. component_id is the smallest doc_id of the component (null if it has none); kept tells whether
+    that is the row's own id, so rows that repeat an id share the answer. A null text or one without words has
+    an empty set and is alone. An empty table gives no rows."""
     rows = staged(sketches(docs, id_col, text_col), "sketches")
     first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "tag", "text_key", "n_shingles", "buckets")).alias("f")
     sets = rows.where("set_hash IS NOT NULL").groupBy("set_hash").agg(first)
@@ -283,7 +289,8 @@ def group_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that `group_near_duplicates` keeps, with their own columns. Ids tell documents apart here together with their texts."""
+    """The rows of `docs` that `group_near_duplicates` keeps, with their own columns. Ids tell documents apart
+    here together with their texts."""
     gone = group_near_duplicates(docs, id_col, text_col).where("NOT kept").select(
         F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")
     )

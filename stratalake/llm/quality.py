@@ -1,9 +1,10 @@
 """Quality rules as weak supervision.
 
-Each rule looks at one property of a text and votes good (1), bad (-1) or abstains (0). Nobody says which rule to trust: expectation-
-maximisation over all documents estimates, for either class, how often each rule votes each way, and with it the chance that a document
-is good given all its votes. The votes of all documents are first counted by pattern, of which there are at most 3 to the power of
-the number of rules whatever the corpus; the iterations run over those counts."""
+Each rule looks at one property of a text and votes good (1), bad (-1) or abstains (0). Nobody says which rule
+to trust: expectation- maximisation over all documents estimates, for either class, how often each rule votes
+each way, and with it the chance that a document is good given all its votes. The votes of all documents are
+first counted by pattern, of which there are at most 3 to the power of the number of rules whatever the corpus;
+the iterations run over those counts."""
 
 from __future__ import annotations
 
@@ -23,7 +24,8 @@ COMMON_WORDS = (
     "le les los mit nicht no of on or para pas por pour que qui se sie su sur that the this to un una und une von was with y zu"
 ).split()
 
-# Rules: a ratio of two measures, and the bounds of good and bad. (name, numerator, denominator, bad below, good from, good to, bad above)
+# Rules: a ratio of two measures, and the bounds of good and bad. (name, numerator, denominator, bad below, good
+# from, good to, bad above)
 RULES = (
     ("symbols", "n_symbols", "n_words", None, 0.0, 0.02, 0.1),
     ("repeated words", "n_repeat_words", "n_words", None, 0.0, 0.15, 0.4),
@@ -41,10 +43,12 @@ MEASURES = [*BASE, "n_lines", "n_different_words", "n_letters", "n_common_words"
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """The frame with one struct column of measures and one of votes added; returns it and the two columns' names.
+    """The frame with one struct column of measures and one of votes added; returns it and the two columns'
+    names.
 
-    A null text is an empty one: all measures 0, all rules abstain. Every step is an array or string function, so whole texts are
-    measured without a shuffle; repeated three-word windows are found by sorting a text's window hashes, not by comparing pairs."""
+    A null text is an empty one: all measures 0, all rules abstain. Every step is an array or string function,
+    so whole texts are measured without a shuffle; repeated three-word windows are found by sorting a text's
+    window hashes, not by comparing pairs."""
     t, w, lines, tri, runs, at = (fresh(docs, s) for s in ("text_", "words", "lines", "windows", "runs", "at"))
     names = {"measures": fresh(docs, "measures"), "votes": fresh(docs, "votes")}
     df = docs.withColumn(t, F.coalesce(F.col(text_col), F.lit("")))
@@ -113,7 +117,8 @@ class VoteModel:
         odds = F.lit(math.log(self.good) - math.log1p(-self.good))
         for j, (a, b) in enumerate(zip(self.votes["good"], self.votes["bad"], strict=True)):
             weight = [math.log(p) - math.log(q) for p, q in zip(a, b, strict=True)]
-            # A rule may turn out to be worthless, but its bad vote never speaks for a document nor its good vote against one.
+            # A rule may turn out to be worthless, but its bad vote never speaks for a document nor its good
+            # vote against one.
             weight[0], weight[2] = min(weight[0], 0.0), max(weight[2], 0.0)
             v = F.get(votes, F.lit(j))
             odds = odds + F.when(v == -1, weight[0]).when(v == 1, weight[2]).otherwise(weight[1])
@@ -121,14 +126,16 @@ class VoteModel:
 
 
 def fit_votes(votes: DataFrame, column: str, rounds: int = 40, tolerance: float = 1e-4) -> VoteModel:
-    """Expectation-maximisation from all documents' votes. It starts from the guess that a document with a bad vote is bad.
-    Without documents the model is a flat one, under which everything is good. Half a document is added to each count."""
+    """Expectation-maximisation from all documents' votes. It starts from the guess that a document with a bad
+    vote is bad. Without documents the model is a flat one, under which everything is good. Half a document is
+    added to each count."""
     n_rules = len(RULES)
     patterns = staged(votes.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n")), "patterns")
     posterior = F.when(F.array_contains("v", -1), 0.1).otherwise(0.95)
     model = VoteModel(0.9, {c: [[1 / 3] * 3 for _ in range(n_rules)] for c in ("good", "bad")})
     for k in range(rounds):
-        # One row of sums a round: the expected number of good documents, and of good ones by rule and vote; the rest are bad.
+        # One row of sums a round: the expected number of good documents, and of good ones by rule and vote; the
+        # rest are bad.
         p = patterns.coalesce(1).withColumn("p", posterior * F.col("n"))
         sums = [F.sum("p"), F.sum("n")]
         for j in range(n_rules):
@@ -157,8 +164,9 @@ def base_failed(m: Column) -> Column:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, the base measures, base_failed, kept and quality (the chance that it is good). A document is kept if
-    it passes the base rule and its quality is at least one half; ties count as good. Repeated rows get equal answers."""
+    """One row per document: doc_id, the base measures, base_failed, kept and quality (the chance that it is
+    good). A document is kept if it passes the base rule and its quality is at least one half; ties count as
+    good. Repeated rows get equal answers."""
     df, names = measured(docs, text_col)
     m = F.col(names["measures"])
     rows = df.select(F.col(id_col).alias("doc_id"), *[m[c].alias(c) for c in BASE], base_failed(m).alias("base_failed"), F.col(names["votes"]).alias("votes"))
@@ -169,13 +177,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that `judge` keeps, with their own columns. The votes are counted over all rows first; then each row is judged where it
-    is read, so no text is shuffled or stored."""
+    """The rows that `judge` keeps, with their own columns. The votes are counted over all rows first; then each
+    row is judged where it is read, so no text is shuffled or stored."""
     df, names = measured(docs, text_col)
     model = fit_votes(df, names["votes"])
     kept = ~base_failed(F.col(names["measures"])) & (model.posterior(F.col(names["votes"])) >= 0.5)
-    # A filter moves below the columns it reads, and would repeat their long expressions at each use; it stays above a column
-    # that is not a function of the row.
+    # A filter moves below the columns it reads, and would repeat their long expressions at each use; it stays
+    # above a column that is not a function of the row.
     row = fresh(df, "row")
     return df.withColumn(row, F.monotonically_increasing_id()).where(kept & (F.col(row) >= 0)).select(*docs.columns)
 

@@ -1,8 +1,9 @@
 """Secret scans that look through encodings.
 
-A worklist starts with the text. Each layer is scanned by the base patterns, then unwrapped: percent escapes and Unicode escapes anywhere in
-it, runs that are base64 of a text, and runs that are base64 of gzip or zlib data. What comes out is a new layer, until nothing new comes. Each
-character of a layer knows the span of the original text that it came from, so finds in any depth are reported there."""
+A worklist starts with the text. Each layer is scanned by the base patterns, then unwrapped: percent escapes and
+Unicode escapes anywhere in it, runs that are base64 of a text, and runs that are base64 of gzip or zlib data.
+What comes out is a new layer, until nothing new comes. Each character of a layer knows the span of the original
+text that it came from, so finds in any depth are reported there."""
 
 from __future__ import annotations
 
@@ -43,7 +44,8 @@ Span = tuple[str, int, int]
 
 
 def base_spans(text: str) -> list[Span]:
-    """The matches of the base patterns, leftmost and non-overlapping per kind; matches that are too short are used up but not reported."""
+    """The matches of the base patterns, leftmost and non-overlapping per kind; matches that are too short are
+    used up but not reported."""
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST["assign"]]
     if "AKIA" in text:
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST["access"]]
@@ -55,7 +57,8 @@ class Layer:
     """A decoded text with, for stretches of its characters, where they come from in the original."""
 
     def __init__(self, text: str, starts: list[int], origins: list[tuple[int, int, bool]]):
-        # Stretch k begins at character starts[k]; its origin is (start, end, exact): exact stretches map character by character.
+        # Stretch k begins at character starts[k]; its origin is (start, end, exact): exact stretches map
+        # character by character.
         self.text, self.starts, self.origins = text, starts, origins
 
     def original(self, start: int, end: int) -> tuple[int, int]:
@@ -104,7 +107,8 @@ def replaced(layer: Layer, found: list[tuple[int, int, str]]) -> Layer:
 
 
 def percent_pieces(text: str) -> list[tuple[int, int, str]]:
-    """Each run of percent escapes; one piece per decoded character where the run is UTF-8, else the run is left alone."""
+    """Each run of percent escapes; one piece per decoded character where the run is UTF-8, else the run is left
+    alone."""
     found = []
     for m in PERCENT.finditer(text):
         raw = bytes.fromhex(m.group().replace("%", ""))
@@ -155,8 +159,8 @@ def readable(raw: bytes) -> str | None:
 
 
 def base64_texts(run: str) -> Iterator[str]:
-    """What a run may stand for: text, or compressed text, in either alphabet. Runs often carry a neighbour's letters, such as `=` or a
-    word before a dash, so the parts between dashes and slashes are tried too."""
+    """What a run may stand for: text, or compressed text, in either alphabet. Runs often carry a neighbour's
+    letters, such as `=` or a word before a dash, so the parts between dashes and slashes are tried too."""
     body = run.rstrip("=")
     forms = {body}
     if "-" in body or "_" in body or "/" in body:
@@ -194,8 +198,8 @@ def order(span: Span) -> tuple[int, int, int]:
 
 
 def scan(text: str | None) -> tuple[list[Span], list[Span]]:
-    """(base spans, all spans), each in order. A layer that was seen before at the same place is not unwrapped again, so texts that unfold to
-    themselves end."""
+    """(base spans, all spans), each in order. A layer that was seen before at the same place is not unwrapped
+    again, so texts that unfold to themselves end."""
     text = text or ""
     base = sorted(base_spans(text), key=order)
     spans, seen = set(base), set()
@@ -216,8 +220,9 @@ def joined(spans: list[Span]) -> str:
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, the counts of base finds by kind, base_sha256, all spans, and how many of them only decoding showed.
-    Offsets are code points of the original, ends exclusive. A null text is the empty one; repeated rows get equal answers. No shuffle."""
+    """One row per document: doc_id, the counts of base finds by kind, base_sha256, all spans, and how many of
+    them only decoding showed. Offsets are code points of the original, ends exclusive. A null text is the empty
+    one; repeated rows get equal answers. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,9 +1,10 @@
 r"""Web archives: writing pages as WARC records, and reading archives whose payloads may hold anything.
 
-Reading cuts files at the magic line `WARC/1.1\r\n`, wherever it stands. Each piece that begins with a sound record header is a candidate, and
-its length tells where its successor must start. Only what can be reached from a file's start by these steps is a record: candidates
-point to their successors, and pointer jumping (each round doubles the step) marks the chain from offset 0. Magic inside a payload
-starts a piece that nothing reachable points to; its bytes belong to the record before it."""
+Reading cuts files at the magic line `WARC/1.1\r\n`, wherever it stands. Each piece that begins with a sound
+record header is a candidate, and its length tells where its successor must start. Only what can be reached from
+a file's start by these steps is a record: candidates point to their successors, and pointer jumping (each round
+doubles the step) marks the chain from offset 0. Magic inside a payload starts a piece that nothing reachable
+points to; its bytes belong to the record before it."""
 
 from __future__ import annotations
 
@@ -36,7 +37,8 @@ def urn(page_id: Column) -> Column:
 
 
 def record_text(kind: str, page_id: Column, url: Column, size: Column, digest: Column, refers: Column | None = None) -> Column:
-    """A record up to where its payload begins. The HTTP header tells the full payload's length also where the payload itself is left out."""
+    """A record up to where its payload begins. The HTTP header tells the full payload's length also where the
+    payload itself is left out."""
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), size.cast("string"), F.lit(CRLF * 2))
     block = F.length(http) + (size if kind == "response" else F.lit(0))
     # White space and control characters can't stand in a header line; an address keeps its other characters.
@@ -51,11 +53,13 @@ def record_text(kind: str, page_id: Column, url: Column, size: Column, digest: C
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Write one record per page. Of pages with equal payloads (a null one is empty) the one with the smallest page_id is a response with the
-    payload (null ids come last; of equal ids, the smallest url), the others revisit it. No pages make no archives.
+    """Write one record per page. Of pages with equal payloads (a null one is empty) the one with the smallest
+    page_id is a response with the payload (null ids come last; of equal ids, the smallest url), the others
+    revisit it. No pages make no archives.
 
-    Payloads are read where they lie: only pages whose payload occurs more than once take part in a join, and only its first
-    occurrence carries the payload there. Spark's text writer ends each record with the two line ends that the format asks for."""
+    Payloads are read where they lie: only pages whose payload occurs more than once take part in a join, and
+    only its first occurrence carries the payload there. Spark's text writer ends each record with the two line
+    ends that the format asks for."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("size", F.octet_length("html").cast("bigint")).withColumn("digest", base32_sha1(F.col("html").cast("binary")))
@@ -70,7 +74,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
     firsts = rows.join(groups, "digest").where(is_first).groupBy("digest", "size", "page_id", "url").agg(F.first("html").alias("html"))
     response = record_text("response", F.col("page_id"), F.col("url"), F.col("size"), F.col("digest"))
     responses = single.unionByName(firsts).select(F.concat(response, F.col("html")).alias("value"))
-    # Rows equal in page, url and payload are one key that occurs n times; the first key's first occurrence is the response.
+    # Rows equal in page, url and payload are one key that occurs n times; the first key's first occurrence is
+    # the response.
     again = keys.join(groups, "digest").withColumn("n", F.col("n") - is_first.cast("int"))
     again = again.withColumn("copy", F.explode(F.when(F.col("n") > 0, F.sequence(F.lit(1).cast("bigint"), F.col("n")))))
     revisit = record_text("revisit", F.col("page_id"), F.col("url"), F.col("size"), F.col("digest"), F.col("first_id"))
@@ -91,8 +96,8 @@ def header_field(header: Column, name: str) -> Column:
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """What each piece says of itself: bytes, and for a sound header its fields, where the record must end, and the payload's
-    digest if the piece holds all of it."""
+    """What each piece says of itself: bytes, and for a sound header its fields, where the record must end, and
+    the payload's digest if the piece holds all of it."""
     value = F.col("value")
     header = F.substring_index(value, CRLF * 2, 1)
     df = pieces(spark, path).withColumn("header", header).withColumn("bytes", F.octet_length("value").cast("bigint"))
@@ -125,8 +130,8 @@ def http_parts(http: Column) -> list[Column]:
 
 
 def with_offsets(found: DataFrame) -> DataFrame:
-    """Where in its file each piece begins. Sizes are summed per block first, then within the block, so a window holds the pieces of
-    one block or the blocks of one file."""
+    """Where in its file each piece begins. Sizes are summed per block first, then within the block, so a window
+    holds the pieces of one block or the blocks of one file."""
     step = F.col("bytes") + len(MAGIC)
     in_block = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -138,8 +143,9 @@ def with_offsets(found: DataFrame) -> DataFrame:
 
 
 def reachable(records: DataFrame) -> DataFrame:
-    """The (file, at) of the candidates that the chain from offset 0 meets. `records`: file, at, next. Each round staged: every node's
-    pointer jumps to its target's target, and what a marked node points to is marked."""
+    """The (file, at) of the candidates that the chain from offset 0 meets. `records`: file, at, next. Each
+    round staged: every node's pointer jumps to its target's target, and what a marked node points to is
+    marked."""
     nodes = staged(records.select("file", "at", "next", (F.col("at") == 0).alias("marked")), "chain")
     count = nodes.where("marked").count()
     while True:
@@ -154,8 +160,9 @@ def reachable(records: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record: file, at (its offset), header, kind, payload_size, payload_sha1, told_size (the full length that the HTTP header tells).
-    Damaged ends of files are no records; a missing or empty folder is an error of the reader or gives no rows."""
+    """One row per record: file, at (its offset), header, kind, payload_size, payload_sha1, told_size (the full
+    length that the HTTP header tells). Damaged ends of files are no records; a missing or empty folder is an
+    error of the reader or gives no rows."""
     found = staged(with_offsets(candidates(spark, path)), "pieces")
     good = found.where("kind IS NOT NULL").withColumn("next", F.col("at") + len(MAGIC) + F.col("head") + F.col("length") + 4)
     chain = staged(good.join(reachable(good), ["file", "at"]), "records")
@@ -164,8 +171,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     broken = chain.where("payload_sha1 IS NULL").select("file", "at", "next", "head", "length", "header", "kind")
     if broken.isEmpty():
         return whole
-    # Records cut by magic in their payload: join them with the pieces in their range and put the bytes together again. A record's
-    # pieces are found by the number of the record's first piece, counted along the file: `owner` is the last record at or before it.
+    # Records cut by magic in their payload: join them with the pieces in their range and put the bytes together
+    # again. A record's pieces are found by the number of the record's first piece, counted along the file:
+    # `owner` is the last record at or before it.
     cut = broken.select("file", F.col("at").alias("owner"), "next", "head", "length", F.col("header").alias("of"), F.col("kind").alias("is"))
     spans = found.select("file", "block", "line", "at").join(F.broadcast(cut) if cut.count() <= 10_000 else cut, "file")
     spans = spans.where("at >= owner AND at < next")
@@ -188,8 +196,8 @@ def page_of(field: Column) -> Column:
 
 
 def page_records(records: DataFrame) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to of records written by `write_archives`. A response's figures come from
-    the payload that was read, a revisit's from its headers."""
+    """page_id, url, payload_bytes, payload_digest, record_type, refers_to of records written by
+    `write_archives`. A response's figures come from the payload that was read, a revisit's from its headers."""
     revisit = F.col("kind") == "revisit"
     return records.where(F.col("kind").isin("response", "revisit")).select(
         page_of(header_field(F.col("header"), "WARC-Record-ID")).alias("page_id"),
