@@ -35,8 +35,8 @@ def date_precision(raw: Column) -> Column:
 
 
 def iso_timestamp(text: Column) -> Column:
-    """ISO-8601 text to timestamp. An offset in the text (`Z`, `+hh`, `+hhmm`, `+hh:mm`) counts; without one the text is UTC,
-    whatever the session zone. Seconds may be missing."""
+    """ISO-8601 text to timestamp. An offset in the text (`Z`, `+hh`, `+hhmm`, `+hh:mm`) counts; without one the
+    text is UTC, whatever the session zone. Seconds may be missing."""
     has_offset = text.rlike(r"[T ].*(Z|[+-]\d{2}(:?\d{2})?)$")
     wall_clock = text.try_cast("timestamp_ntz").cast("string")
     return F.when(has_offset, text.try_cast("timestamp")).otherwise(

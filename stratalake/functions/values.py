@@ -33,8 +33,8 @@ def safe_cast(value: Column, to: str | T.DataType) -> Column:
 
 
 def number_of_text(text: Column, to: str) -> Column:
-    """An integer from text such as `12`, `12.0` or `1.8E5`, exact up to the type's bounds; a fraction is cut off (12.5 gives 12),
-    anything else gives null. The decimal in between holds every bigint."""
+    """An integer from text such as `12`, `12.0` or `1.8E5`, exact up to the type's bounds; a fraction is cut
+    off (12.5 gives 12), anything else gives null. The decimal in between holds every bigint."""
     return text.try_cast("decimal(38,10)").try_cast(to)
 
 

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 def left_join_stats(rows: DataFrame, stats: DataFrame, spread_by: str, parts: int = 32) -> DataFrame:
     """`rows` left-joined with a table that has one row per `artist_search`.
 
-    Each search's rows are spread over up to `parts` parts, so no task gets a whole hot search, and `stats` is repeated for the parts
-    that really occur: at most `parts` times per search, and never more often than `rows` has rows. A null search matches nothing,
-    as in any equi-join.
-    """
+    Each search's rows are spread over up to `parts` parts, so no task gets a whole hot search, and `stats` is
+    repeated for the parts that really occur: at most `parts` times per search, and never more often than `rows`
+    has rows. A null search matches nothing, as in any equi-join."""
     left = rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(parts)))
     occurring = left.select("artist_search", "_part").filter(F.col("artist_search").isNotNull()).distinct()
     right = occurring.join(stats, "artist_search")

@@ -38,7 +38,8 @@ SONG_FIELDS = {
 
 
 def project_fields(df: DataFrame, fields: dict[str, tuple[str, str]], *carry: str | Column) -> DataFrame:
-    """One projection: the mapped leaves, which are text, cast to their types; then the carried columns as they are."""
+    """One projection: the mapped leaves, which are text, cast to their types; then the carried columns as they
+    are."""
     cast = {"int": number_of_text, "bigint": number_of_text}
     leaves = [cast.get(kind, safe_cast)(F.col(path), kind).alias(name) for name, (path, kind) in fields.items()]
     return df.select(*leaves, *carry)

@@ -62,8 +62,9 @@ def export_flat(spark: SparkSession, bronze: Bronze, out: str, run_ts: datetime)
 def export_newest(
     spark: SparkSession, landing: str, out: str, archive: str, run_ts: datetime, multi_line: bool = True
 ) -> dict[str, str]:
-    """The newest raw file of a landing folder to CSV, then the file to the archive folder; returns the export's folders. The file is moved last, so a
-    run that dies is run again on the same file. One file is what one extraction wrote; use the incremental job for many."""
+    """The newest raw file of a landing folder to CSV, then the file to the archive folder; returns the export's
+    folders. The file is moved last, so a run that dies is run again on the same file. One file is what one
+    extraction wrote; use the incremental job for many."""
     newest = latest_file(spark, landing)["path"]
     staged = work_dir(spark, "bronze")
     try:

@@ -29,7 +29,8 @@ def run_together(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict
 
 
 def write_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
-    """Write all tables below `base` and return their row counts. Each old table stays until its successor is complete."""
+    """Write all tables below `base` and return their row counts. Each old table stays until its successor is
+    complete."""
     return run_together(
         spark, {name: partial(publish_with_count, df, f"{base}/{name}") for name, df in tables.items()}
     )
@@ -61,9 +62,10 @@ def run_bronze_to_silver(
     multi_line: bool = False,
     stage_path: str | None = None,
 ) -> dict[str, int]:
-    """Rebuild artists, albums and songs from all raw files; returns the row count per table, and under `unreadable` how many texts
-    were no envelopes. Those texts are written to `<silver_base>/unreadable` if there are any. The staged copy is kept where
-    `stage_path` says; without one it is removed at the end, also of a failed run."""
+    """Rebuild artists, albums and songs from all raw files; returns the row count per table, and under
+    `unreadable` how many texts were no envelopes. Those texts are written to `<silver_base>/unreadable` if
+    there are any. The staged copy is kept where `stage_path` says; without one it is removed at the end, also
+    of a failed run."""
     staged = stage_path or work_dir(spark, "bronze")
     try:
         stage_bronze(scan_bronze_json(spark, bronze_path, multi_line=multi_line, keep_corrupt=True), staged)

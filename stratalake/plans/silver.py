@@ -14,8 +14,8 @@ from stratalake.operators.dedup import keep_first
 from stratalake.operators.filters import key_not_null
 from stratalake.schemas import SILVER, SILVER_KEYS
 
-# Which of two duplicates wins: earliest extraction (an unreadable time comes after all others), then search, then position in the document, then the
-# remaining columns as projected (dates still as source text).
+# Which of two duplicates wins: earliest extraction (an unreadable time comes after all others), then search,
+# then position in the document, then the remaining columns as projected (dates still as source text).
 DOCUMENT_ORDER = ["extracted_at", "artist_search", "recording_pos", "item_pos"]
 POSITIONS = ["recording_pos", "item_pos"]
 

@@ -78,8 +78,8 @@ def land_two_batches(at: Layers) -> str:
 
 @query
 def scan_bronze_json(at: Layers) -> DataFrame:
-    """Files holding one JSON array each. Neighbouring rows of a scan task share a file. An envelope of the derived data
-    comes from one row of the flat tables, so a file of a thousand is small."""
+    """Files holding one JSON array each. Neighbouring rows of a scan task share a file. An envelope of the
+    derived data comes from one row of the flat tables, so a file of a thousand is small."""
     chunk = F.shiftright(F.monotonically_increasing_id(), ENVELOPES_PER_FILE_BITS)
     row = F.struct(*BRONZE.fieldNames())
     arrays = at.bronze().groupBy(chunk.alias("chunk")).agg(F.to_json(F.collect_list(row)).alias("value"))
@@ -142,7 +142,8 @@ def stream_bronze_ingest(at: Layers) -> DataFrame:
 
 @query
 def archive_processed(at: Layers) -> DataFrame:
-    """Two ingestion runs with archiving on: where each envelope's file lies afterwards. The second run moves the first run's files."""
+    """Two ingestion runs with archiving on: where each envelope's file lies afterwards. The second run moves
+    the first run's files."""
     landing, out, state, done = (work_dir(at.spark, n) for n in ("landing", "ingested", "state", "done"))
     cleaners = "spark.sql.streaming.fileSource.cleaner.numThreads"
     before = at.spark.conf.get(cleaners)

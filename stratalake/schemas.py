@@ -26,8 +26,9 @@ def _table(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-# Scalars are read as the text they have in the file: a number may come quoted or with a fraction, and a typed reader would
-# make it null before the projection's cast sees it. Bronze Parquet written by versions with typed leaves must be staged anew.
+# Scalars are read as the text they have in the file: a number may come quoted or with a fraction, and a typed
+# reader would make it null before the projection's cast sees it. Bronze Parquet written by versions with typed
+# leaves must be staged anew.
 _S = T.StringType()
 
 CREDIT = _struct(

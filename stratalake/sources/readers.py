@@ -19,11 +19,10 @@ def scan_bronze_json(
 ) -> DataFrame:
     """Envelopes from JSON files.
 
-    JSON Lines (the default) splits at block borders. `multi_line` reads files that hold one top-level
-    array or one object over several lines; each element is a row, but one task must parse the whole file, so keep such files small.
-    `keep_corrupt` adds `_corrupt_record`: unreadable text, such as the lines of an array read as JSON Lines, becomes a row there
-    instead of an envelope of nulls.
-    """
+    JSON Lines (the default) splits at block borders. `multi_line` reads files that hold one top-level array or
+    one object over several lines; each element is a row, but one task must parse the whole file, so keep such
+    files small. `keep_corrupt` adds `_corrupt_record`: unreadable text, such as the lines of an array read as
+    JSON Lines, becomes a row there instead of an envelope of nulls."""
     if keep_corrupt:
         schema = with_corrupt(schema)
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")

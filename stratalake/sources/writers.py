@@ -29,8 +29,9 @@ def write_with_count(df: DataFrame, path: str) -> int:
 
 
 def publish_with_count(df: DataFrame, path: str) -> int:
-    """Replace a table by writing it beside the old one and renaming it when it is complete, so that a run that dies leaves the old
-    table as it was. On stores without atomic rename the change-over is as short as their rename."""
+    """Replace a table by writing it beside the old one and renaming it when it is complete, so that a run that
+    dies leaves the old table as it was. On stores without atomic rename the change-over is as short as their
+    rename."""
     aside = f"{path.rstrip('/')}.{uuid.uuid4().hex[:12]}"
     count = write_with_count(df, aside)
     spark = df.sparkSession
