@@ -29,17 +29,20 @@ ROWS_AT_ONCE = 256
 # Roles of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math canvas audio video object select".split())
-CONTAINERS = frozenset("html head body main article section div nav header footer aside form ul ol dl table figure details dialog menu".split())
+CONTAINERS = frozenset(
+    "html head body main article section div nav header footer aside form ul ol dl table figure details dialog menu".split()
+)
 BLOCKS = CONTAINERS | frozenset(
-    "p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption thead tbody tfoot blockquote pre address fieldset figcaption summary hr center option legend".split()
+    "p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption thead tbody tfoot blockquote pre address fieldset figcaption summary hr "
+    "center option legend".split()
 )
 BOILERPLATE = frozenset("head nav header footer aside form menu dialog button label fieldset".split())
 MAIN = frozenset(("main", "article"))
 HINT_WORDS = (
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright disclaimer "
-    "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo "
-    "promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
-    "subscription teaser toolbar widget alert"
+    "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments consent cookie "
+    "cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
+    "notification pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing "
+    "sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar widget"
 ).split()
 HINT_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
@@ -220,7 +223,8 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                         else:
                             seen[key] = [1, place, state, is_tag]
                     rows.append([{"key": k, "n": v[0], "at": v[1], "state": v[2], "tag": v[3]} for k, v in seen.items()])
-                kind = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64()), ("at", pa.int64()), ("state", pa.int32()), ("tag", pa.bool_())]))
+                fields = [("key", pa.int64()), ("n", pa.int64()), ("at", pa.int64()), ("state", pa.int32()), ("tag", pa.bool_())]
+                kind = pa.list_(pa.struct(fields))
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(rows, kind)], ["host", "r1", "r2", "tokens"])
 
     weight = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "page_id", "url", F.xxhash64("html")), F.lit(1 << 31))
@@ -238,32 +242,38 @@ def templates(pages: DataFrame) -> DataFrame:
     each = rows.select("host", "r1", "r2", F.explode("tokens").alias("t"))
     # Sums stay below 2**63 for 2**32 occurrences of a token on one host.
     tokens = each.groupBy("host", F.col("t.key").alias("key")).agg(
-        F.count(F.lit(1)).alias("found_on"), F.sum("t.n").alias("total"), F.sum(F.col("t.n") * F.col("r1")).alias("v1"),
-        F.sum(F.col("t.n") * F.col("r2")).alias("v2"), F.sum("t.at").alias("at"), F.min("t.state").alias("state"), F.max("t.tag").alias("tag"),
+        F.count(F.lit(1)).alias("found_on"),
+        F.sum("t.n").alias("total"),
+        F.sum(F.col("t.n") * F.col("r1")).alias("v1"),
+        F.sum(F.col("t.n") * F.col("r2")).alias("v2"),
+        F.sum("t.at").alias("at"),
+        F.min("t.state").alias("state"),
+        F.max("t.tag").alias("tag"),
     )
     # Most texts occur on one page and are no template; the rest is one small row per token.
     tokens = staged(tokens.where(F.col("found_on") >= LEAST_PAGES).join(hosts, "host"), "vectors")
-    once = (F.col("found_on") == F.col("pages")) & (F.col("v1") == F.col("h1")) & (F.col("v2") == F.col("h2")) & (F.col("total") == F.col("pages"))
-    root = tokens.where(once & F.col("tag")).groupBy("host").agg(F.sort_array(F.collect_list(F.struct("at", "key", "state"))).alias("root"))
-    root = staged(root, "root")
+    once = "found_on = pages AND total = pages AND v1 = h1 AND v2 = h2"
+    in_order = F.sort_array(F.collect_list(F.struct("at", "key", "state"))).alias("root")
+    root = staged(tokens.where(once).where("tag").groupBy("host").agg(in_order), "root")
 
     # The skeleton is valid where its tags keep their order: a tag goes if any page has it at another place
     # among the tags of the class.
     at_of = lambda key: F.get(F.filter("tokens", lambda t: t["key"] == key), F.lit(0))["at"]
     placed = rows.join(root, "host").select("host", F.transform("root", lambda k: at_of(k["key"])).alias("ats"))
-    wrong = F.filter(F.sequence(F.lit(0), F.size("ats") - 1), lambda i: F.size(F.filter("ats", lambda a: a < F.get("ats", i))) != i)
+    rank = lambda i: F.size(F.filter("ats", lambda a: a < F.get("ats", i)))
+    wrong = F.filter(F.sequence(F.lit(0), F.size("ats") - 1), lambda i: rank(i) != i)
     wrong = placed.select("host", F.explode(wrong).alias("i")).groupBy("host").agg(F.collect_set("i").alias("wrong"))
-    skeleton = root.join(wrong, "host", "left").select(
-        "host",
-        F.filter("root", lambda k, i: ~F.array_contains(F.coalesce("wrong", F.array().cast("array<int>")), i)).alias("valid"),
-    )
-    skeleton = skeleton.select("host", F.transform("valid", lambda k: F.struct(k["key"].alias("key"), k["state"].alias("state"))).alias("skeleton"))
-    # Other classes are nested in the skeleton's gaps. Text that shares its vector with tags, on most pages, is fixed.
-    classes = tokens.groupBy("host", "found_on", "total", "v1", "v2").agg(
-        F.max("tag").alias("with_tag"), F.max("pages").alias("pages"), F.collect_set(F.when(~F.col("tag"), F.col("key"))).alias("texts")
+    none = F.array().cast("array<int>")
+    valid = F.filter("root", lambda k, i: ~F.array_contains(F.coalesce("wrong", none), i))
+    with_state = F.transform(valid, lambda k: F.struct(k["key"].alias("key"), k["state"].alias("state")))
+    skeleton = root.join(wrong, "host", "left").select("host", with_state.alias("skeleton"))
+    # Other classes are nested in the skeleton's gaps. Text that shares its vector with tags is fixed if it is on most pages; there
+    # are no more such tokens than a page has.
+    on_most = (F.col("found_on") >= LEAST_PAGES_TEXT) & (F.col("found_on") * 2 > F.col("pages"))
+    classes = tokens.where(on_most).groupBy("host", "found_on", "total", "v1", "v2").agg(
+        F.max("tag").alias("with_tag"), F.collect_set(F.when(~F.col("tag"), F.col("key"))).alias("texts")
     )
-    on_most = (F.col("found_on") >= LEAST_PAGES_TEXT) & (F.col("found_on") * 2 > F.col("pages")) & F.col("with_tag")
-    fixed = classes.where(on_most).groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("fixed"))
+    fixed = classes.where("with_tag").groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("fixed"))
     return staged(skeleton.join(fixed, "host", "full"), "templates")
 
 
@@ -274,7 +284,8 @@ def extract(pages: DataFrame) -> DataFrame:
     A null or empty page has an empty text. Hosts with few pages, pages without a host, and pages that don't
     follow their host's template are read by their elements alone. Repeated pages get equal texts; extra columns
     play no part."""
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    types = {"page_id": "bigint", "url": "string", "html": "string"}
+    rows = pages.select(*[F.col(c).cast(kind).alias(c) for c, kind in types.items()])
     rows = rows.withColumn("host", host_of("url"))
     # The templates are a written table: Spark broadcasts it if it is small; else it merges, and splits hosts
     # with many pages.
@@ -293,7 +304,8 @@ def extract(pages: DataFrame) -> DataFrame:
                         fixed = set(part.column(5)[k].as_py() or ())
                     texts.append(main_text(source, skeleton, fixed))
                 sizes = pa.array([len(t) for t in texts], pa.int64())
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
+                columns = [*part.columns[:2], pa.array(texts, pa.string()), sizes]
+                yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
     return map_arrow(rows, run, "page_id bigint, url string, text string, n_chars bigint")
 

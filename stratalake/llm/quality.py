@@ -20,8 +20,9 @@ SYMBOLS = r"[#*$%&|<>]"
 
 # Very common words of English, French, German and Spanish.
 COMMON_WORDS = (
-    "a al an and are as at be by das de del den der des die du ein el elle en es est et for from für hat he il in is ist it la las "
-    "le les los mit nicht no of on or para pas por pour que qui se sie su sur that the this to un una und une von was with y zu"
+    "a al an and are as at be by das de del den der des die du ein el elle en es est et for from für hat he il in is ist it "
+    "la las le les los mit nicht no of on or para pas por pour que qui se sie su sur that the this to un una und une von was "
+    "with y zu"
 ).split()
 
 # Rules: a ratio of two measures, and the bounds of good and bad. (name, numerator, denominator, bad below, good
