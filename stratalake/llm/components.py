@@ -25,8 +25,8 @@ def components(links: DataFrame) -> DataFrame:
         hooks = staged(hooks.select("node", F.least("node", "least").alias("to")), "hooks")
         while True:
             target = hooks.select(F.col("node").alias("to"), F.col("to").alias("end"))
-            longer = hooks.join(target, "to").select("node", F.col("end").alias("to"), (F.col("end") != F.col("to")).alias("moved"))
-            longer = staged(longer, "hooks")
+            moved = (F.col("end") != F.col("to")).alias("moved")
+            longer = staged(hooks.join(target, "to").select("node", F.col("end").alias("to"), moved), "hooks")
             hooks = longer.select("node", "to")
             if longer.where("moved").isEmpty():
                 break

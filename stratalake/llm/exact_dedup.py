@@ -98,7 +98,8 @@ def drop_duplicates(
     tag, digest = fresh(docs, "tag"), fresh(docs, "digest")
     rows = docs.withColumn(digest, text_digest(F.col(text_col))).withColumn(tag, F.monotonically_increasing_id())
     rows = staged(rows, "tagged")
-    narrow = rows.select(F.col(tag).alias("tag"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(digest).alias("digest"))
+    doc_id = F.col(id_col).cast("bigint").alias("doc_id")
+    narrow = rows.select(F.col(tag).alias("tag"), doc_id, F.col(digest).alias("digest"))
     gone = staged(_decide(narrow, index).where(~F.col("kept")).select(F.col("tag").alias(tag)), "dropped")
     # The dropped tags are a written table: Spark broadcasts them if that file is small, and merges otherwise.
     return rows.join(gone, tag, "left_anti").select(*docs.columns)

@@ -119,10 +119,11 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 part = batch.slice(at, TEXTS_AT_ONCE)
                 sets = [shingle_set(t) for t in part.column(3).to_pylist()]
                 sizes = pa.array([len(s) for s in sets], pa.int64())
-                hashes = pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary())
+                digest = lambda s: hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                hashes = pa.array([digest(s) if len(s) else None for s in sets], pa.binary())
                 buckets = pa.array([bucket_keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64()))
-                columns = [part.column(0), part.column(1), part.column(2), sizes, hashes, buckets]
-                yield pa.RecordBatch.from_arrays(columns, ["tag", "doc_id", "text_key", "n_shingles", "set_hash", "buckets"])
+                names = ["tag", "doc_id", "text_key", "n_shingles", "set_hash", "buckets"]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], sizes, hashes, buckets], names)
 
     text = F.col(text_col).cast("string")
     rows = docs.select(
@@ -200,9 +201,11 @@ def compare_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, shingles) of the documents in `wanted` (doc_id, text_key, node), read again from their texts."""
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.alias("text"))
+    key = F.xxhash64(F.coalesce(text, F.lit("")))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), key.alias("key"), text.alias("text"))
     # Near-duplicates grow with the corpus, so they are merged with it and not broadcast, at any size.
-    rows = rows.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))).select("node", "text")
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    rows = rows.join(wanted.hint("merge"), same).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,9 +223,11 @@ def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
     doc_id, text_key, n_shingles, buckets."""
     entries = nodes.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
     who = F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who")
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"), who).where("n > 1")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"), who]
+    shared = entries.groupBy("bucket").agg(*sums).where("n > 1")
     # Copies meet in many buckets with the same members; one of those is enough.
-    shared = staged(shared.groupBy("n", "size", "who").agg(F.min("bucket").alias("bucket")).select("bucket", "n", "size"), "buckets")
+    shared = shared.groupBy("n", "size", "who").agg(F.min("bucket").alias("bucket")).select("bucket", "n", "size")
+    shared = staged(shared, "buckets")
     members = staged(entries.join(shared, "bucket"), "members")
     wanted = staged(members.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node"), "wanted")
     sets = staged(shingle_sets(docs, wanted, id_col, text_col), "sets")
@@ -240,7 +245,8 @@ def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
         centre = centre.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
         placed = placed.unionByName(centre.select("bucket", "part", F.col("c.node").alias("node"))).distinct()
     block = F.xxhash64("bucket", "part").alias("block")
-    links = staged(compare_blocks(placed.select(block, "node", F.col("node").alias("grp"), F.lit(0).alias("side")), sets), "links")
+    placed = placed.select(block, "node", F.col("node").alias("grp"), F.lit(0).alias("side"))
+    links = staged(compare_blocks(placed, sets), "links")
     if not any_split:
         return links
 
@@ -249,8 +255,9 @@ def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
     apart = split.join(components(links), "node", "left")
     apart = apart.select("bucket", "size", "node", "n_shingles", F.coalesce("root", "node").alias("grp"))
     sizes = apart.groupBy("bucket", "size", "grp").agg(F.sum("n_shingles").alias("of_group"))
-    main = sizes.groupBy("bucket", "size").agg(F.max(F.struct("of_group", "grp")).alias("m"), F.count(F.lit(1)).alias("groups"))
-    main = main.where("groups > 1").select("bucket", F.col("m.grp").alias("main"), (F.col("size") - F.col("m.of_group")).alias("outside"))
+    largest = F.max(F.struct("of_group", "grp")).alias("m")
+    main = sizes.groupBy("bucket", "size").agg(largest, F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    main = main.selectExpr("bucket", "m.grp AS main", "size - m.of_group AS outside")
     apart = staged(apart.join(main, "bucket"), "apart")
     if apart.isEmpty():
         return links
@@ -258,8 +265,9 @@ def set_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
     spread = lambda k, seed: F.pmod(F.xxhash64("node", F.lit(seed)), k)
     numbers = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1))
     # Each outsider is a centre in every part of the bucket; every member is looked at by every part of the outsiders.
-    ones = apart.where("grp <> main").withColumn("o", spread(outer, 1)).withColumn("i", numbers(inner)).withColumn("side", F.lit(1))
-    alls = apart.withColumn("i", spread(inner, 2)).withColumn("o", numbers(outer)).withColumn("side", F.lit(0))
+    ones = apart.where("grp <> main").withColumn("o", spread(outer, 1)).withColumn("i", numbers(inner))
+    alls = apart.withColumn("i", spread(inner, 2)).withColumn("o", numbers(outer))
+    ones, alls = ones.withColumn("side", F.lit(1)), alls.withColumn("side", F.lit(0))
     # An outsider that is both in a block stays a centre.
     placed = ones.unionByName(alls).groupBy("bucket", "o", "i", "node", "grp").agg(F.max("side").alias("side"))
     placed = placed.select(F.xxhash64("bucket", "o", "i").alias("block"), "node", "grp", "side")
@@ -274,12 +282,15 @@ def group_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     that is the row's own id, so rows that repeat an id share the answer. A null text or one without words has
     an empty set and is alone. An empty table gives no rows."""
     rows = staged(sketches(docs, id_col, text_col), "sketches")
-    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "tag", "text_key", "n_shingles", "buckets")).alias("f")
+    # The first row stands for all with its set: the smallest id, null ids last, and of equal ids any one.
+    about = ["doc_id", "tag", "text_key", "n_shingles", "buckets"]
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), *about)).alias("f")
     sets = rows.where("set_hash IS NOT NULL").groupBy("set_hash").agg(first)
-    sets = staged(sets.select("set_hash", F.col("f.tag").alias("node"), "f.doc_id", "f.text_key", "f.n_shingles", "f.buckets"), "nodes")
+    sets = staged(sets.select("set_hash", *[F.col(f"f.{c}").alias(c) for c in about]).withColumnRenamed("tag", "node"), "nodes")
     roots = components(set_links(docs, sets, id_col, text_col))
     # The smallest id of a component is not always that of its root node, since tags follow the files.
-    named = sets.select("set_hash", "node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = sets.select("set_hash", "node", "doc_id").join(roots, "node", "left")
+    named = named.withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = staged(named.join(smallest, "root").select("set_hash", "component_id"), "names")
     rows = rows.join(named.withColumn("named", F.lit(True)), "set_hash", "left")

@@ -39,16 +39,27 @@ def urn(page_id: Column) -> Column:
 def record_text(kind: str, page_id: Column, url: Column, size: Column, digest: Column, refers: Column | None = None) -> Column:
     """A record up to where its payload begins. The HTTP header tells the full payload's length also where the
     payload itself is left out."""
-    http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), size.cast("string"), F.lit(CRLF * 2))
+    status = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "
+    http = F.concat(F.lit(status), size.cast("string"), F.lit(CRLF * 2))
     block = F.length(http) + (size if kind == "response" else F.lit(0))
     # White space and control characters can't stand in a header line; an address keeps its other characters.
     uri = F.regexp_replace(F.coalesce(url, F.lit("")), r"[\x00-\x20\x7F]", "%20")
-    lines = [F.lit(f"WARC-Type: {kind}"), F.concat(F.lit("WARC-Record-ID: "), urn(page_id)), F.concat(F.lit("WARC-Target-URI: "), uri),
-             F.lit("WARC-Date: 2024-06-01T00:00:00Z"), F.concat(F.lit("WARC-Payload-Digest: sha1:"), digest)]
+    lines = [
+        F.lit(f"WARC-Type: {kind}"),
+        F.concat(F.lit("WARC-Record-ID: "), urn(page_id)),
+        F.concat(F.lit("WARC-Target-URI: "), uri),
+        F.lit("WARC-Date: 2024-06-01T00:00:00Z"),
+        F.concat(F.lit("WARC-Payload-Digest: sha1:"), digest),
+    ]
     if refers is not None:
-        lines += [F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                  F.concat(F.lit("WARC-Refers-To: "), urn(refers))]
-    lines += [F.lit("Content-Type: application/http; msgtype=response"), F.concat(F.lit("Content-Length: "), block.cast("string"))]
+        lines += [
+            F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+            F.concat(F.lit("WARC-Refers-To: "), urn(refers)),
+        ]
+    lines += [
+        F.lit("Content-Type: application/http; msgtype=response"),
+        F.concat(F.lit("Content-Length: "), block.cast("string")),
+    ]
     return F.concat(F.lit("WARC/1.1"), *[F.concat(F.lit(CRLF), x) for x in lines], F.lit(CRLF * 2), http)
 
 
@@ -62,16 +73,18 @@ def write_archives(pages: DataFrame, path: str) -> None:
     ends that the format asks for."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    rows = rows.withColumn("size", F.octet_length("html").cast("bigint")).withColumn("digest", base32_sha1(F.col("html").cast("binary")))
+    rows = rows.withColumn("size", F.octet_length("html").cast("bigint"))
+    rows = rows.withColumn("digest", base32_sha1(F.col("html").cast("binary")))
     keys = staged(rows.groupBy("digest", "size", "page_id", "url").agg(F.count(F.lit(1)).alias("n")), "payloads")
     first = F.min(F.struct(F.isnull("page_id").alias("none"), "page_id", "url")).alias("first")
     groups = keys.groupBy("digest").agg(first, F.sum("n").alias("pages")).where("pages > 1")
-    groups = staged(groups.select("digest", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url")), "repeated")
+    groups = staged(groups.selectExpr("digest", "first.page_id AS first_id", "first.url AS first_url"), "repeated")
 
     # `groups` is a written table: Spark broadcasts it if it is small, and merges otherwise.
     single = rows.join(groups, "digest", "left_anti").select("digest", "size", "page_id", "url", "html")
     is_first = F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url"))
-    firsts = rows.join(groups, "digest").where(is_first).groupBy("digest", "size", "page_id", "url").agg(F.first("html").alias("html"))
+    firsts = rows.join(groups, "digest").where(is_first)
+    firsts = firsts.groupBy("digest", "size", "page_id", "url").agg(F.first("html").alias("html"))
     response = record_text("response", F.col("page_id"), F.col("url"), F.col("size"), F.col("digest"))
     responses = single.unionByName(firsts).select(F.concat(response, F.col("html")).alias("value"))
     # Rows equal in page, url and payload are one key that occurs n times; the first key's first occurrence is
@@ -87,7 +100,10 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     """Every file cut at the magic: file, block (where the task's part of the file begins), value."""
     lines = spark.read.option("lineSep", MAGIC).text(path)
     return lines.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("line")
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
+        F.monotonically_increasing_id().alias("line"),
     )
 
 
@@ -139,7 +155,8 @@ def with_offsets(found: DataFrame) -> DataFrame:
     blocks = blocks.withColumn("before", F.coalesce(F.sum("size").over(in_file), F.lit(0))).drop("size")
     rows = found.withColumn("within", F.coalesce(F.sum(step).over(in_block), F.lit(0)))
     # The piece begins after the magic that it was cut at; the record begins with the magic.
-    return rows.join(blocks, ["file", "block"]).withColumn("at", F.col("before") + F.col("within") - len(MAGIC)).drop("before", "within")
+    rows = rows.join(blocks, ["file", "block"])
+    return rows.withColumn("at", F.col("before") + F.col("within") - len(MAGIC)).drop("before", "within")
 
 
 def reachable(records: DataFrame) -> DataFrame:
@@ -152,8 +169,8 @@ def reachable(records: DataFrame) -> DataFrame:
         target = nodes.select("file", F.col("at").alias("next"), F.col("next").alias("after"))
         hit = nodes.where("marked").select("file", F.col("next").alias("at")).distinct().withColumn("hit", F.lit(True))
         nodes = nodes.join(target, ["file", "next"], "left").join(hit, ["file", "at"], "left")
-        nodes = nodes.select("file", "at", F.col("after").alias("next"), (F.col("marked") | F.col("hit").isNotNull()).alias("marked"))
-        nodes = staged(nodes, "chain")
+        marked = (F.col("marked") | F.col("hit").isNotNull()).alias("marked")
+        nodes = staged(nodes.select("file", "at", F.col("after").alias("next"), marked), "chain")
         before, count = count, nodes.where("marked").count()
         if count == before:
             return nodes.where("marked").select("file", "at")
@@ -174,7 +191,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     # Records cut by magic in their payload: join them with the pieces in their range and put the bytes together
     # again. A record's pieces are found by the number of the record's first piece, counted along the file:
     # `owner` is the last record at or before it.
-    cut = broken.select("file", F.col("at").alias("owner"), "next", "head", "length", F.col("header").alias("of"), F.col("kind").alias("is"))
+    cut = broken.selectExpr("file", "at AS owner", "next", "head", "length", "header AS of", "kind AS is")
     spans = found.select("file", "block", "line", "at").join(F.broadcast(cut) if cut.count() <= 10_000 else cut, "file")
     spans = spans.where("at >= owner AND at < next")
     # Lines are numbered by task; the same number within (file, block) names the same piece on a second read.
@@ -183,11 +200,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     spans = spans.join(ranks, ["file", "block", "line"])
     text = pieces(spark, path).withColumn("rank", rank).select("file", "block", "rank", "value")
     joined = spans.join(text, ["file", "block", "rank"])
-    parts = joined.groupBy("file", "owner", "head", "length", "of", "is").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"))
+    in_order = F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts")
+    parts = joined.groupBy("file", "owner", "head", "length", "of", "is").agg(in_order)
     body = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC)
     http = F.expr("substring(cast(body AS binary), cast(head + 1 AS int), cast(length AS int))")
-    parts = parts.withColumn("body", body).withColumn("http", F.when(F.octet_length("body") >= F.col("head") + F.col("length"), http))
-    parts = parts.where("http IS NOT NULL").select("file", F.col("owner").alias("at"), F.col("of").alias("header"), F.col("is").alias("kind"), *http_parts(F.col("http")))
+    parts = parts.withColumn("body", body).where("octet_length(body) >= head + length").withColumn("http", http)
+    renamed = [F.col(a).alias(b) for a, b in {"file": "file", "owner": "at", "of": "header", "is": "kind"}.items()]
+    parts = parts.select(*renamed, *http_parts(F.col("http")))
     return whole.unionByName(parts)
 
 
@@ -199,11 +218,12 @@ def page_records(records: DataFrame) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to of records written by
     `write_archives`. A response's figures come from the payload that was read, a revisit's from its headers."""
     revisit = F.col("kind") == "revisit"
+    told = F.regexp_replace(header_field(F.col("header"), "WARC-Payload-Digest"), "^sha1:", "")
     return records.where(F.col("kind").isin("response", "revisit")).select(
         page_of(header_field(F.col("header"), "WARC-Record-ID")).alias("page_id"),
         header_field(F.col("header"), "WARC-Target-URI").alias("url"),
         F.when(revisit, F.col("told_size")).otherwise(F.col("payload_size")).alias("payload_bytes"),
-        F.when(revisit, F.regexp_replace(header_field(F.col("header"), "WARC-Payload-Digest"), "^sha1:", "")).otherwise(F.col("payload_sha1")).alias("payload_digest"),
+        F.when(revisit, told).otherwise(F.col("payload_sha1")).alias("payload_digest"),
         F.col("kind").alias("record_type"),
         page_of(header_field(F.col("header"), "WARC-Refers-To")).alias("refers_to"),
     )
