@@ -32,7 +32,7 @@ SEED = 20240601
 # A block of sets that one task compares at once holds about this many shingles at most (8 MB), or one larger
 # set and its centre.
 BLOCK_SHINGLES = 1_000_000
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 TEXTS_AT_ONCE = 256
 
 M1, M2, ODD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
