@@ -27,8 +27,8 @@ c = F.col
 
 
 def _record(schema: T.StructType, **values: Column) -> Column:
-    """A struct of the schema's fields; fields not given are null (`__` stands for a hyphen)."""
-    given = {name.replace("__", "-"): v for name, v in values.items()}
+    """A struct of the schema's fields; fields not given are null."""
+    given = dict(values)
     return F.struct(
         *(given.pop(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema), *given.values()
     )
@@ -86,7 +86,7 @@ def _order_recording(key: Column, item: Column) -> Column:
         ARTIST,
         id=_unless(key % 89 == 7, _tag("art-", c("o_custkey"))),
         name=c("c_name"),
-        sort__name=F.upper("c_name"),
+        **{"sort-name": F.upper("c_name")},
         disambiguation=c("c_mktsegment"),
         type=c("o_orderstatus"),
         country=_unless(c("o_custkey") % 4 == 0, _tag("C", c("c_nationkey"))),
@@ -101,7 +101,7 @@ def _order_recording(key: Column, item: Column) -> Column:
         date=_mixed_date(item + 5, c("l_shipdate")),
         country=_unless(item == 3, c("l_returnflag")),
         status=c("l_linestatus"),
-        track__count=_number_text(key, c("l_quantity")),
+        **{"track-count": _number_text(key, c("l_quantity"))},
     )
     of_supplier = _record(
         RELEASE,
@@ -118,11 +118,13 @@ def _order_recording(key: Column, item: Column) -> Column:
         length=_unless(key % 7 == 0, _number_text(item, F.floor("o_totalprice"))),
         video=_unless(key % 3 == 0, key % 2 == 0),
         score=_number_text(key + 1, (key + item) % 101),
-        first__release__date=_mixed_date(key, c("o_orderdate")),
-        artist__credit=_unless(
-            key % 83 == 3,
-            _some(_record(CREDIT, artist=main), F.when(key % 5 == 0, _record(CREDIT, artist=featured))),
-        ),
+        **{
+            "first-release-date": _mixed_date(key, c("o_orderdate")),
+            "artist-credit": _unless(
+                key % 83 == 3,
+                _some(_record(CREDIT, artist=main), F.when(key % 5 == 0, _record(CREDIT, artist=featured))),
+            ),
+        },
         releases=F.when(item > 0, _some(of_part, F.when(item % 3 == 0, of_supplier))).when(
             key % 8 == 7, no_release
         ),
@@ -139,8 +141,10 @@ def _part_recording(item: Column) -> Column:
         title=_tag("Track ", c("l_partkey")),
         length=F.floor("l_extendedprice"),
         score=item,
-        first__release__date=F.date_format("l_shipdate", "yyyy-MM"),
-        artist__credit=F.array(_record(CREDIT, artist=supplier)),
+        **{
+            "first-release-date": F.date_format("l_shipdate", "yyyy-MM"),
+            "artist-credit": F.array(_record(CREDIT, artist=supplier)),
+        },
     )
 
 

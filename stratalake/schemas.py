@@ -7,7 +7,7 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name.replace("__", "-"), t) for name, t in fields.items()])
+    return T.StructType([T.StructField(name, t) for name, t in fields.items()])
 
 
 _TYPES = {
@@ -31,19 +31,24 @@ def _table(columns: str) -> T.StructType:
 # leaves must be staged anew.
 _S = T.StringType()
 
+
+def _texts(*names: str) -> T.StructType:
+    return _struct(**dict.fromkeys(names, _S))
+
+
 CREDIT = _struct(
-    artist=_struct(id=_S, name=_S, sort__name=_S, disambiguation=_S, type=_S, country=_S)
+    artist=_texts("id", "name", "sort-name", "disambiguation", "type", "country")
 )
-RELEASE = _struct(id=_S, title=_S, date=_S, country=_S, status=_S, track__count=_S)
-SONG_FIELDS = dict(id=_S, title=_S, length=_S, video=_S, score=_S, first__release__date=_S)
+RELEASE = _texts("id", "title", "date", "country", "status", "track-count")
+SONG_FIELDS = ("id", "title", "length", "video", "score", "first-release-date")
 
 
 def bronze_schema(songs: bool = True, credits: bool = True, releases: bool = True) -> T.StructType:
     """Envelope schema. The JSON reader parses every field it is given a type for, so a job that needs
     only one of the three parts should ask for that part alone."""
-    fields: dict[str, T.DataType] = dict(SONG_FIELDS) if songs else {}
+    fields: dict[str, T.DataType] = dict.fromkeys(SONG_FIELDS, _S) if songs else {}
     if credits:
-        fields["artist__credit"] = T.ArrayType(CREDIT)
+        fields["artist-credit"] = T.ArrayType(CREDIT)
     if releases:
         fields["releases"] = T.ArrayType(RELEASE)
     return _struct(
