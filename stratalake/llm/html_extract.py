@@ -191,7 +191,8 @@ def main_text(source: str | None, skeleton: dict[int, int], fixed: set[int]) ->
             if is_tag and token in skeleton:
                 slot = skeleton[token]
         done = place
-        if state == OUTSIDE or key in fixed or slot == OUTSIDE:
+        # What is inside an element for the main text stays, however often it repeats.
+        if state == OUTSIDE or state != CONTENT and (key in fixed or slot == OUTSIDE):
             continue
         if has_main:
             if state == CONTENT:
@@ -207,15 +208,16 @@ def host_of(url: str) -> F.Column:
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """host, r1, r2 (random weights of the page), and per distinct token its key, count, first place, slot state
-    and kind."""
+    """One row per distinct page of a host: host, digest, r1, r2 (random weights of the page), and per distinct token
+    its key, count, first place, slot state and kind. Copies tell nothing about what varies, and pages without a host
+    have no template in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
                 rows = []
-                for source in part.column(3).to_pylist():
+                for source in part.column(4).to_pylist():
                     seen: dict[int, list[int]] = {}
                     for place, (key, state, is_tag) in enumerate(Page(source or "").tokens):
                         if key in seen:
@@ -225,12 +227,14 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     rows.append([{"key": k, "n": v[0], "at": v[1], "state": v[2], "tag": v[3]} for k, v in seen.items()])
                 fields = [("key", pa.int64()), ("n", pa.int64()), ("at", pa.int64()), ("state", pa.int32()), ("tag", pa.bool_())]
                 kind = pa.list_(pa.struct(fields))
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(rows, kind)], ["host", "r1", "r2", "tokens"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(rows, kind)], ["host", "digest", "r1", "r2", "tokens"])
 
-    weight = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "page_id", "url", F.xxhash64("html")), F.lit(1 << 31))
-    rows = pages.select("host", weight(1).alias("r1"), weight(2).alias("r2"), "html")
+    weight = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "digest"), F.lit(1 << 31))
+    rows = pages.where("host <> ''").withColumn("digest", F.unhex(F.md5(F.coalesce("html", F.lit("")))))
+    rows = rows.select("host", "digest", weight(1).alias("r1"), weight(2).alias("r2"), "html")
     token = "struct<key:bigint,n:bigint,at:bigint,state:int,tag:boolean>"
-    return map_arrow(rows, run, f"host string, r1 bigint, r2 bigint, tokens array<{token}>")
+    rows = map_arrow(rows, run, f"host string, digest binary, r1 bigint, r2 bigint, tokens array<{token}>")
+    return rows.dropDuplicates(["host", "digest"])
 
 
 def templates(pages: DataFrame) -> DataFrame:

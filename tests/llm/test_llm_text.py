@@ -302,3 +302,24 @@ def test_given_pages_give_the_article(spark):
         parts = [re.sub(r"</?b>", "", x).replace("<br>", " ") for x in re.split(r"</?(?:p|h1)>", inner)]
         want = [" ".join(unescape(x).split()) for x in parts]
         assert r.text == "\n".join(x for x in want if x) and r.n_chars == len(r.text)
+
+
+def extracted(spark, pages):
+    rows = html_extract.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()
+    return {r.page_id: r.text for r in rows}
+
+
+def test_repeated_text_of_articles_stays(spark):
+    page = "<html><body><nav>Menu</nav><article id='post-{0}'><h1>Introduction</h1><p>{0}</p><p>Shared</p></article></body></html>"
+    pages = [(i, "http://copies.example/", page.format(1)) for i in range(7)]
+    pages += [(10 + i, "http://most.example/", page.format(0 if i < 6 else i)) for i in range(9)]
+    pages += [(20 + i, "http://shared.example/", page.format(i)) for i in range(8)]
+    # Copies of a page that has no element for the main text, and pages without a host.
+    bare = "<html><body><h1>Title</h1><p>{}</p></body></html>"
+    pages += [(30 + i, "http://bare.example/", bare.format("text")) for i in range(7)]
+    pages += [(40 + i, "no host", bare.format(i)) for i in range(7)]
+    want = {i: "Introduction\n1\nShared" for i in range(7)}
+    want |= {10 + i: f"Introduction\n{0 if i < 6 else i}\nShared" for i in range(9)}
+    want |= {20 + i: f"Introduction\n{i}\nShared" for i in range(8)}
+    want |= {30 + i: "Title\ntext" for i in range(7)} | {40 + i: f"Title\n{i}" for i in range(7)}
+    assert extracted(spark, pages) == want
