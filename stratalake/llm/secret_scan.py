@@ -36,6 +36,9 @@ UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U000[0-9A-Fa-f]{5}|\\u\{[0-9A-Fa-f
 ONE_UNICODE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|u\{([0-9A-Fa-f]{1,6})\}|x([0-9A-Fa-f]{2}))")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
+# Every find, and every run that decodes to one, is at least so many ASCII characters in a row.
+ASCII_RUN = re.compile(rb"[\t\n\r\x20-\x7e]{12}")
+
 # A compressed layer may unfold to this many bytes; beyond it the layer counts as hostile and is not unwrapped.
 LARGEST_LAYER = 64 << 20
 ROWS_AT_ONCE = 256
@@ -151,11 +154,8 @@ def unfolded(raw: bytes) -> bytes | None:
 
 
 def readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r\f\v" for c in text) else None
+    """The bytes as text, with replacement characters for what is not UTF-8; None if nothing can be found in it."""
+    return raw.decode("utf-8", "replace") if ASCII_RUN.search(raw) else None
 
 
 def base64_texts(run: str) -> Iterator[str]:

@@ -141,6 +141,13 @@ def test_secrets_show_through_encodings(kind):
     assert all(9 <= a < b <= 9 + len(hidden) for _, a, b in spans)
 
 
+@pytest.mark.parametrize("raw", [f"\ufeffprix : 5\u00a0€ {SECRET}".encode(), f"a\u00ad\u200b\u3000 {SECRET}".encode(), b"\0\1" + SECRET.encode(), "é ".encode("latin-1") + SECRET.encode()])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_layers_need_not_be_printable(raw, pack):
+    hidden = base64.b64encode(pack(raw)).decode()
+    assert {s[0] for s in secret_scan.scan(f"x {hidden} y")[1]} == {"assign", "access"}
+
+
 def test_escapes_map_to_their_own_characters():
     text = "x token%3Dabc%64ef123 y"
     (span,) = secret_scan.scan(text)[1]
