@@ -8,7 +8,7 @@ import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
-from urllib.parse import quote
+from urllib.parse import quote, quote_plus
 
 import numpy as np
 import pytest
@@ -148,6 +148,58 @@ def test_layers_need_not_be_printable(raw, pack):
     assert {s[0] for s in secret_scan.scan(f"x {hidden} y")[1]} == {"assign", "access"}
 
 
+def compressed_layers(text):
+    raw = text.encode()
+    zipped = gzip.compress(raw)
+    five = raw
+    for _ in range(5):
+        five = gzip.compress(five)
+    # What does not shrink fills several lines.
+    noise = "".join(chr(0x4E00 + b) for b in random.Random(2).randbytes(300))
+    wrapped = base64.encodebytes(gzip.compress((noise + text).encode())).decode()
+    return {
+        "five times": base64.b64encode(five).decode(),
+        "percent": quote(zipped),
+        "percent zlib": quote(zlib.compress(raw)),
+        "form": quote_plus(zlib.compress(raw)),
+        "all percent": "".join(f"%{b:02X}" for b in zipped),
+        "hex escapes": "".join(f"\\x{b:02x}" for b in zipped),
+        "bytes literal": repr(zipped)[2:-1],
+        "bad byte": "%E9" + "".join(f"%{b:02X}" for b in raw) + "%FF",
+        "members": base64.b64encode(gzip.compress(b"first") + zipped).decode(),
+        "across members": base64.b64encode(gzip.compress(raw[:15]) + gzip.compress(raw[15:])).decode(),
+        "lines": wrapped,
+        "lines in json": wrapped.replace("\n", "\\n"),
+        "text in lines": base64.encodebytes((noise + text).encode()).decode(),
+        "after another line": "A" * 20 + "\n" + wrapped,
+        "cut off": base64.b64encode(gzip.compress((text + noise).encode())[:-9]).decode(),
+    }
+
+
+@pytest.mark.parametrize("kind", sorted(compressed_layers(SECRET)))
+def test_compressed_layers_unfold_to_the_end(kind):
+    hidden = compressed_layers(SECRET)[kind]
+    spans = secret_scan.scan(f"é before {hidden} after")[1]
+    assert {k for k, _, _ in spans} == {"assign", "access"}
+    assert all(9 <= a < b <= 9 + len(hidden) for _, a, b in spans)
+
+
+def test_large_layers_are_read_in_windows(monkeypatch):
+    monkeypatch.setattr(secret_scan, "WINDOW", 1000)
+    line = "some, text\n" * 90
+    text = line + SECRET + line * 50 + SECRET[:26] + base64.b64encode(gzip.compress(SECRET.encode() * 2)).decode() + line
+    seen = []
+    stream = secret_scan.Stream(lambda raw, large: seen.append(len(raw)))
+    stream.feed(gzip.compress(gzip.compress(text.encode())))
+    stream.end()
+    assert max(seen) < 1200 and sum(seen) > len(text)
+    for times in (1, 2, 3):
+        raw = text.encode()
+        for _ in range(times):
+            raw = gzip.compress(raw)
+        assert {s[0] for s in secret_scan.scan(base64.b64encode(raw).decode())[1]} == {"assign", "access"}
+
+
 def test_escapes_map_to_their_own_characters():
     text = "x token%3Dabc%64ef123 y"
     (span,) = secret_scan.scan(text)[1]
