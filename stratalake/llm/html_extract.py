@@ -28,7 +28,7 @@ ROWS_AT_ONCE = 256
 
 # Roles of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math canvas audio video object select".split())
+RAW = frozenset("script style textarea title noscript iframe template canvas audio video select".split())
 CONTAINERS = frozenset(
     "html head body main article section div nav header footer aside form ul ol dl table figure details dialog menu".split()
 )
@@ -38,6 +38,8 @@ BLOCKS = CONTAINERS | frozenset(
 )
 BOILERPLATE = frozenset("head nav header footer aside form menu dialog button label fieldset".split())
 MAIN = frozenset(("main", "article"))
+# What holds the page or its main text is never beside it, whatever its names.
+WHOLE = MAIN | {"html", "body"}
 HINT_WORDS = (
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments consent cookie "
     "cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
@@ -50,22 +52,44 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:_-]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z)""", re.DOTALL
 )
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
-HINT = re.compile(r"(?:^|[^a-z])(?:" + "|".join(HINT_WORDS) + r")(?![a-z])")
+HINTS = frozenset(HINT_WORDS)
+# Name parts that only say that something is a box, that speak of the layout around it, or that head a text.
+BOXES = frozenset("area bar block box container div holder inner outer panel section wrap wrapper".split())
+LAYOUT = frozenset("has no not with without".split())
+HEADED = frozenset("article content entry page post story".split())
 ENDS = {name: re.compile(rf"</{name}(?![A-Za-z0-9:_-])[^>]*>?", re.IGNORECASE) for name in RAW}
 NEUTRAL, CONTENT, OUTSIDE = 0, 1, -1
 
-def hinted(attributes: str) -> tuple[str, bool]:
-    """(class, id and role as one string, whether they speak of something beside the main text)."""
+def hint_of(name: str) -> str | None:
+    """The hint word that a class or id is or ends with, boxes and numbers aside."""
+    parts = re.findall(r"[a-z]+", name)
+    if not LAYOUT.isdisjoint(parts):
+        return None
+    for words in (parts[-2:], parts[-1:]):
+        if (word := "".join(words)) in HINTS:
+            return word
+    while len(parts) > 1 and parts[-1] in BOXES:
+        parts.pop()
+    word = parts[-1] if parts else None
+    return word if word in HINTS else None
+
+
+def hinted(attributes: str) -> tuple[str, frozenset[str]]:
+    """(class, id and role as one string, the words in them that speak of something beside the main text)."""
     if not attributes.strip():
-        return "", False
+        return "", frozenset()
     found = [(k.lower(), v.strip("\"'").lower()) for k, v in ATTRIBUTE.findall(attributes)]
     if not found:
-        return "", False
+        return "", frozenset()
     # camelCase names are parted first, so that adBox and sideBar are seen.
     spelled = re.sub(r"([a-z])([A-Z])", r"\1-\2", attributes)
-    names = [v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(spelled) if k.lower() != "role"]
-    beside = any(k == "role" and v in HINT_ROLES for k, v in found) or any(HINT.search(n) for n in names)
-    return ";".join(f"{k}={' '.join(v.split())}" for k, v in sorted(found)), beside
+    names = [n for k, v in ATTRIBUTE.findall(spelled) if k.lower() != "role" for n in v.strip("\"'").lower().split()]
+    words = {f"role {v}" for k, v in found if k == "role" and v in HINT_ROLES}
+    for name in names:
+        word = hint_of(name)
+        if word and not (word == "header" and re.match("[a-z]*", name).group() in HEADED):
+            words.add(word)
+    return ";".join(f"{k}={' '.join(v.split())}" for k, v in sorted(found)), frozenset(words)
 
 
 def key_of(token: str) -> int:
@@ -132,8 +156,11 @@ class Page:
         self.state = OUTSIDE if beside else CONTENT if any(m for *_, m in self.stack) else NEUTRAL
 
     def open(self, name: str, attributes: str, source: str, at: int) -> int:
-        label, beside = hinted(attributes)
-        if name in RAW:
+        label, words = hinted(attributes)
+        inside = any(m for *_, m in self.stack)
+        # A header inside the main text holds its headings.
+        beside = name not in WHOLE and bool(words - {"header"} if inside else words)
+        if name in RAW and not (name == "noscript" and inside):
             # Everything up to the end tag is the element's own; without one, all that follows a script or style is.
             if attributes.rstrip().endswith("/"):
                 return at
@@ -148,8 +175,6 @@ class Page:
         elif name == "a":
             self.links += 1
         if name in CONTAINERS:
-            # A header inside the main text holds its headings.
-            inside = any(m for *_, m in self.stack)
             outside = beside or (name in BOILERPLATE and not (name == "header" and inside))
             self.stack.append((name, f"{name}[{label}]" if label else name, outside, name in MAIN))
             self.place()

@@ -382,3 +382,29 @@ def test_repeated_text_of_articles_stays(spark):
     want |= {20 + i: f"Introduction\n{i}\nShared" for i in range(8)}
     want |= {30 + i: "Title\ntext" for i in range(7)} | {40 + i: f"Title\n{i}" for i in range(7)}
     assert extracted(spark, pages) == want
+
+
+HINTED = [
+    "<html class='no-ads'><body class='has-sidebar'><article class='post category-search'><p>t</p></article>",
+    "<body class='no-sidebar'><main id='search-results'><p>t</p></main>",
+    "<body id=menu role=search><div class='content ad-free'><p>t</p></div>",
+    "<div class='with-sidebar'><div class='searchable social-science'><p>t</p></div></div>",
+    "<div class=post><div class='entry-header'><h1>t</h1></div></div>",
+    "<article><div class='entry-header header'><h1 class='header'>t</h1></div></article>",
+    "<article><header class='entry-header'><h1>t</h1></header></article>",
+    "<article><noscript><p>t</p></noscript></article>",
+    "<article><p><math><mi>t</mi></math></p></article>",
+    "<article><object><p>t</p></object></article>",
+    "<article><svg><style>x</style><text>t</text></svg></article>",
+]
+BESIDE = ["ad", "top ad", "site-footer", "adBox", "menuBox", "sideBar", "sidebar-2", "cookie-notice", "ad-container", "header"]
+
+
+@pytest.mark.parametrize("source", HINTED)
+def test_hints_leave_the_main_text(source):
+    assert html_extract.main_text(source, {}, set()) == "t"
+
+
+@pytest.mark.parametrize("name", BESIDE)
+def test_hints_mark_what_is_beside(name):
+    assert html_extract.main_text(f"<body><div class='{name}'>ad</div><p>t</p>", {}, set()) == "t"
