@@ -2,17 +2,19 @@
 
 A page is a sequence of tokens: tags with the containers they stand in, and blocks of text. Tokens that occur
 equally often as each other on every page of a host (equal occurrence vectors) form an equivalence class. The
-class that occurs once on every page is the page's skeleton, if its tags keep one order everywhere; classes that
-repeat (list items, teasers) are nested in its gaps. Text in a class with tags is part of the template, as it
-never varies. What remains is in the gaps of the skeleton, the slots; a slot is main text by the containers
-around it. Occurrence vectors are kept as sums of page counts with random weights, so that a host of any size
-takes one row per token."""
+class on the most pages that occurs once on each is the skeleton, if it keeps one order everywhere; another class
+is nested in it if it keeps one order inside one gap of the skeleton on every page where it occurs. Text in a valid
+class with tags is part of the template, as it never varies. What remains are the slots; a slot is main text by the
+containers around it. Occurrence vectors are kept as sums of page counts with random weights, so that a host of any
+size takes one row per token."""
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
@@ -21,8 +23,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.common import map_arrow, staged
 
-# Fewer pages than this tell nothing about a template; text must be found on more of them than tags.
-LEAST_PAGES = 3
+# Fewer distinct pages than this tell nothing about a template.
 LEAST_PAGES_TEXT = 6
 ROWS_AT_ONCE = 256
 
@@ -205,25 +206,17 @@ class Page:
         self.tokens.append((key_of(f">{path}>{name}"), self.state, True))
 
 
-def main_text(source: str | None, skeleton: dict[int, int], fixed: set[int]) -> str:
-    """The blocks of a page that are main text, one per line. `skeleton`: state of the slot behind each tag of
-    the template; `fixed`: keys of the template's texts."""
+def main_text(source: str | None, fixed: set[int]) -> str:
+    """The blocks of a page that are main text, one per line. `fixed`: keys of the template's texts."""
     page = Page(source or "")
-    has_main = any(state == CONTENT for _, state, _ in page.tokens) or CONTENT in skeleton.values()
-    out, slot, done = [], None, 0
-    for text, key, place, state, linked in page.blocks:
-        for token, _, is_tag in page.tokens[done:place]:
-            if is_tag and token in skeleton:
-                slot = skeleton[token]
-        done = place
+    has_main = any(state == CONTENT for _, state, _ in page.tokens)
+    out = []
+    for text, key, _, state, linked in page.blocks:
         # What is inside an element for the main text stays, however often it repeats.
-        if state == OUTSIDE or state != CONTENT and (key in fixed or slot == OUTSIDE):
-            continue
-        if has_main:
-            if state == CONTENT:
-                out.append(text)
+        if state == CONTENT:
+            out.append(text)
         # Without an element for the main text, all that is not beside it counts, but for mere links.
-        elif not linked:
+        elif state == NEUTRAL and not has_main and not linked and key not in fixed:
             out.append(text)
     return "\n".join(out)
 
@@ -234,8 +227,8 @@ def host_of(url: str) -> F.Column:
 
 def page_tokens(pages: DataFrame) -> DataFrame:
     """One row per distinct page of a host: host, digest, r1, r2 (random weights of the page), and per distinct token
-    its key, count, first place, slot state and kind. Copies tell nothing about what varies, and pages without a host
-    have no template in common."""
+    its key, count, first and last place, and kind. Copies tell nothing about what varies, pages without a host have
+    no template in common, and pages without tokens follow none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,30 +237,73 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                 rows = []
                 for source in part.column(4).to_pylist():
                     seen: dict[int, list[int]] = {}
-                    for place, (key, state, is_tag) in enumerate(Page(source or "").tokens):
+                    for place, (key, _, is_tag) in enumerate(Page(source or "").tokens):
                         if key in seen:
                             seen[key][0] += 1
+                            seen[key][2] = place
                         else:
-                            seen[key] = [1, place, state, is_tag]
-                    rows.append([{"key": k, "n": v[0], "at": v[1], "state": v[2], "tag": v[3]} for k, v in seen.items()])
-                fields = [("key", pa.int64()), ("n", pa.int64()), ("at", pa.int64()), ("state", pa.int32()), ("tag", pa.bool_())]
+                            seen[key] = [1, place, place, is_tag]
+                    rows.append([{"key": k, "n": v[0], "at": v[1], "last": v[2], "tag": v[3]} for k, v in seen.items()])
+                fields = [("key", pa.int64()), ("n", pa.int64()), ("at", pa.int64()), ("last", pa.int64()), ("tag", pa.bool_())]
                 kind = pa.list_(pa.struct(fields))
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(rows, kind)], ["host", "digest", "r1", "r2", "tokens"])
 
     weight = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "digest"), F.lit(1 << 31))
     rows = pages.where("host <> ''").withColumn("digest", F.unhex(F.md5(F.coalesce("html", F.lit("")))))
     rows = rows.select("host", "digest", weight(1).alias("r1"), weight(2).alias("r2"), "html")
-    token = "struct<key:bigint,n:bigint,at:bigint,state:int,tag:boolean>"
+    token = "struct<key:bigint,n:bigint,at:bigint,last:bigint,tag:boolean>"
     rows = map_arrow(rows, run, f"host string, digest binary, r1 bigint, r2 bigint, tokens array<{token}>")
-    return rows.dropDuplicates(["host", "digest"])
+    return rows.where(F.size("tokens") > 0).dropDuplicates(["host", "digest"])
+
+
+def places_of_classes(rows: DataFrame, plans: DataFrame) -> DataFrame:
+    """host, class, gap, bad: for each page and class of its host's plan that is on it, the gap of the skeleton that
+    holds the class (-1 without one), and whether its tokens leave that gap or their order. Equal rows of a batch
+    are one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, plan = None, []
+        for batch in batches:
+            found: dict[tuple[str, int, int, bool], None] = {}
+            columns = [batch.column(k) for k in range(4)]
+            for k, name in enumerate(columns[0].to_pylist()):
+                if name != host:
+                    host, plan = name, batch.column(4)[k].as_py()
+                keys = columns[1][k].as_py()
+                span = dict(zip(keys, zip(columns[2][k].as_py(), columns[3][k].as_py(), strict=True), strict=True))
+                by_class: dict[int, list[tuple[int, int]]] = {}
+                for t in plan:
+                    if t["key"] in span:
+                        by_class.setdefault(t["class"], []).append(span[t["key"]])
+                # Class 0 is the skeleton; a class keeps the order of its tokens' mean places.
+                skeleton = [a for a, _ in by_class.get(0, [])]
+                for number, spans in by_class.items():
+                    in_order = all(a[0] < b[0] and a[1] < b[1] for a, b in pairwise(spans))
+                    if number == 0:
+                        found[name, 0, 0, not in_order] = None
+                        continue
+                    ordered = sorted(skeleton)
+                    first = bisect_right(ordered, min(a for a, _ in spans))
+                    last = bisect_right(ordered, max(b for _, b in spans))
+                    gap = first if skeleton else -1
+                    found[name, number, gap, not in_order or first != last or not skeleton] = None
+            rows_out = list(zip(*found, strict=True)) or [(), (), (), ()]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_())
+            arrays = [pa.array(c, kind) for c, kind in zip(rows_out, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["host", "class", "gap", "bad"])
+
+    pages = rows.join(plans, "host").select("host", "tokens.key", "tokens.at", "tokens.last", "plan")
+    return map_arrow(pages, run, "host string, class bigint, gap bigint, bad boolean")
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, fixed): for hosts with enough pages, the skeleton's tags with the states of the slots
-    behind them, and the keys of the texts that belong to the template."""
+    """(host, fixed): for hosts with enough pages, the keys of the texts that belong to the template. Classes with
+    tags on most pages count, so that some odd pages hide nothing: the one on the most pages whose tokens are there
+    once is the skeleton. A text of it is fixed if the skeleton keeps its order on every page that has it; a text of
+    another class, if that class keeps its order and lies in the same gap of the skeleton on every page that has it."""
     rows = staged(page_tokens(pages), "tokens")
-    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("r1").alias("h1"), F.sum("r2").alias("h2"))
-    hosts = staged(hosts.where(F.col("pages") >= LEAST_PAGES), "hosts")
+    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    hosts = staged(hosts.where(F.col("pages") >= LEAST_PAGES_TEXT), "hosts")
     each = rows.select("host", "r1", "r2", F.explode("tokens").alias("t"))
     # Sums stay below 2**63 for 2**32 occurrences of a token on one host.
     tokens = each.groupBy("host", F.col("t.key").alias("key")).agg(
@@ -276,34 +312,30 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum(F.col("t.n") * F.col("r1")).alias("v1"),
         F.sum(F.col("t.n") * F.col("r2")).alias("v2"),
         F.sum("t.at").alias("at"),
-        F.min("t.state").alias("state"),
         F.max("t.tag").alias("tag"),
     )
-    # Most texts occur on one page and are no template; the rest is one small row per token.
-    tokens = staged(tokens.where(F.col("found_on") >= LEAST_PAGES).join(hosts, "host"), "vectors")
-    once = "found_on = pages AND total = pages AND v1 = h1 AND v2 = h2"
-    in_order = F.sort_array(F.collect_list(F.struct("at", "key", "state"))).alias("root")
-    root = staged(tokens.where(once).where("tag").groupBy("host").agg(in_order), "root")
-
-    # The skeleton is valid where its tags keep their order: a tag goes if any page has it at another place
-    # among the tags of the class.
-    at_of = lambda key: F.get(F.filter("tokens", lambda t: t["key"] == key), F.lit(0))["at"]
-    placed = rows.join(root, "host").select("host", F.transform("root", lambda k: at_of(k["key"])).alias("ats"))
-    rank = lambda i: F.size(F.filter("ats", lambda a: a < F.get("ats", i)))
-    wrong = F.filter(F.sequence(F.lit(0), F.size("ats") - 1), lambda i: rank(i) != i)
-    wrong = placed.select("host", F.explode(wrong).alias("i")).groupBy("host").agg(F.collect_set("i").alias("wrong"))
-    none = F.array().cast("array<int>")
-    valid = F.filter("root", lambda k, i: ~F.array_contains(F.coalesce("wrong", none), i))
-    with_state = F.transform(valid, lambda k: F.struct(k["key"].alias("key"), k["state"].alias("state")))
-    skeleton = root.join(wrong, "host", "left").select("host", with_state.alias("skeleton"))
-    # Other classes are nested in the skeleton's gaps. Text that shares its vector with tags is fixed if it is on most pages; there
-    # are no more such tokens than a page has.
-    on_most = (F.col("found_on") >= LEAST_PAGES_TEXT) & (F.col("found_on") * 2 > F.col("pages"))
-    classes = tokens.where(on_most).groupBy("host", "found_on", "total", "v1", "v2").agg(
-        F.max("tag").alias("with_tag"), F.collect_set(F.when(~F.col("tag"), F.col("key"))).alias("texts")
+    # Most texts occur on one page and are no template; those on most pages are no more than twice a page's tokens.
+    tokens = tokens.where(F.col("found_on") >= LEAST_PAGES_TEXT).join(hosts, "host").where(F.col("found_on") * 2 > F.col("pages"))
+    classes = tokens.groupBy("host", "found_on", "total", "v1", "v2").agg(
+        F.max("tag").alias("with_tag"), F.sort_array(F.collect_list(F.struct("at", "key", "tag"))).alias("members")
+    )
+    # Per host: classes by pages, those whose tokens are there once first.
+    listed = F.struct((F.col("total") > F.col("found_on")).alias("repeats"), (-F.col("found_on")).alias("less"), "v1", "v2", "members")
+    listed = classes.where("with_tag").groupBy("host").agg(F.sort_array(F.collect_list(listed)).alias("classes"))
+    # A host whose classes all repeat has no skeleton, and so no template.
+    listed = listed.where(~F.col("classes")[0]["repeats"])
+    token = lambda m, i: F.struct(m["key"].alias("key"), m["tag"].alias("tag"), i.cast("bigint").alias("class"))
+    plan = F.flatten(F.transform("classes", lambda c, i: F.transform(c["members"], lambda m: token(m, i))))
+    plans = staged(listed.select("host", plan.alias("plan")), "plans")
+    placed = places_of_classes(rows, plans).groupBy("host", "class").agg(
+        F.max("bad").alias("bad"), F.min("gap").alias("low"), F.max("gap").alias("high")
     )
-    fixed = classes.where("with_tag").groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("fixed"))
-    return staged(skeleton.join(fixed, "host", "full"), "templates")
+    good = placed.where("NOT bad AND low = high").groupBy("host").agg(F.collect_set("class").alias("good"))
+    is_fixed = lambda t: ~t["tag"] & F.array_contains("good", t["class"])
+    # Without an ordered skeleton there are no gaps.
+    nested = plans.join(good.where(F.array_contains("good", F.lit(0).cast("bigint"))), "host")
+    fixed = F.transform(F.filter("plan", is_fixed), lambda t: t["key"])
+    return staged(nested.select("host", fixed.alias("fixed")), "templates")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -318,10 +350,10 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("host", host_of("url"))
     # The templates are a written table: Spark broadcasts it if it is small; else it merges, and splits hosts
     # with many pages.
-    rows = rows.join(templates(rows), "host", "left").select("page_id", "url", "host", "html", "skeleton", "fixed")
+    rows = rows.join(templates(rows), "host", "left").select("page_id", "url", "host", "html", "fixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, skeleton, fixed = None, {}, set()
+        host, fixed = None, set()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
@@ -329,9 +361,8 @@ def extract(pages: DataFrame) -> DataFrame:
                 for k, (name, source) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
                     if name != host:
                         host = name
-                        skeleton = {t["key"]: t["state"] for t in part.column(4)[k].as_py() or ()}
-                        fixed = set(part.column(5)[k].as_py() or ())
-                    texts.append(main_text(source, skeleton, fixed))
+                        fixed = set(part.column(4)[k].as_py() or ())
+                    texts.append(main_text(source, fixed))
                 sizes = pa.array([len(t) for t in texts], pa.int64())
                 columns = [*part.columns[:2], pa.array(texts, pa.string()), sizes]
                 yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])

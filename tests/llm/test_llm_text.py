@@ -402,9 +402,28 @@ BESIDE = ["ad", "top ad", "site-footer", "adBox", "menuBox", "sideBar", "sidebar
 
 @pytest.mark.parametrize("source", HINTED)
 def test_hints_leave_the_main_text(source):
-    assert html_extract.main_text(source, {}, set()) == "t"
+    assert html_extract.main_text(source, set()) == "t"
 
 
 @pytest.mark.parametrize("name", BESIDE)
 def test_hints_mark_what_is_beside(name):
-    assert html_extract.main_text(f"<body><div class='{name}'>ad</div><p>t</p>", {}, set()) == "t"
+    assert html_extract.main_text(f"<body><div class='{name}'>ad</div><p>t</p>", set()) == "t"
+
+
+def test_template_texts_are_nested_in_the_skeleton(spark):
+    def page(i, *parts):
+        return f"<html><body><div id=top>{parts[0]}</div><div id=mid><p>text {i}</p></div><div id=end>{parts[1]}</div></body></html>"
+
+    box, name = "<div class=offer><p>Our offer</p></div>", "http://{}.example/"
+    # In one gap of the skeleton it is template, although there are odd pages without the skeleton; else it is a slot's text.
+    one = [(i, name.format("one"), page(i, box, "") if i < 8 else page(i, "", "")) for i in range(10)]
+    odd = [(10, name.format("one"), ""), (11, name.format("one"), None), (12, name.format("one"), "<p>not found")]
+    two = [(20 + i, name.format("two"), page(i, box, "") if i % 2 else page(i, "", box)) for i in range(10)]
+    want = {i: f"text {i}" for i in range(10)} | {10: "", 11: "", 12: "not found"}
+    want |= {20 + i: f"Our offer\ntext {i}" if i % 2 else f"text {i}\nOur offer" for i in range(10)}
+    # Texts of the skeleton that change places are no template.
+    swap = ["<div id=a><p>alpha</p></div>", "<div id=b><p>beta</p></div>"]
+    for i in range(8):
+        one.append((40 + i, name.format("swap"), f"<html><body>{''.join(swap[:: 1 if i % 2 else -1])}<p>{i}</p></body></html>"))
+        want[40 + i] = f"alpha\nbeta\n{i}" if i % 2 else f"beta\nalpha\n{i}"
+    assert extracted(spark, one + odd + two) == want
