@@ -7,8 +7,9 @@ computed twice."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratalake.llm.bpe import encode_documents
+from stratalake.llm.bpe import decode_documents, encode_documents
 from stratalake.llm.common import staged
 from stratalake.llm.exact_dedup import drop_duplicates
 from stratalake.llm.mixing import mix_rows
@@ -37,8 +38,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of every remaining copy."""
-    return encode_documents(docs)
+    """doc_id, n_tokens and ids of every remaining copy, and the SHA-256 of the text that its ids decode to."""
+    rows = decode_documents(encode_documents(docs))
+    return rows.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -1,8 +1,10 @@
 """Queries against their SQL, and hard or empty input through every operator and stage."""
 
+import hashlib
+
 import pytest
 from conftest import SF, duckdb_over
-from llm_cases import CLASHING, ROWS, hard_documents, no_documents
+from llm_cases import CLASHING, PROSE, ROWS, hard_documents, no_documents
 
 import corpus_pipeline
 from stratalake.llm import (
@@ -102,3 +104,12 @@ def test_pages_operators_take_hard_pages(spark, folder):
     assert sorted(repr(r.page_id) for r in records) == sorted(repr(p[0]) for p in PAGES)
     warc.write_archives(pages.where("false"), f"{folder}/none")
     assert warc.read_archives(spark, f"{folder}/none").collect() == []
+
+
+def test_last_stage_decodes_what_it_encodes(spark):
+    docs = spark.createDataFrame([(1, PROSE), (2, ""), (3, None)], "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in corpus_pipeline.bpe_encode(spark, docs, None).collect()}
+    coder = bpe.coder(bpe.default_path())
+    for i, text in ((1, PROSE), (2, ""), (3, "")):
+        ids = coder.encode(text)
+        assert (rows[i].ids, rows[i].decoded_sha256) == (ids, hashlib.sha256(coder.decode(ids).encode()).hexdigest())
