@@ -53,4 +53,30 @@ SELECT page_id, payload_bytes, d.payload_digest, CASE WHEN page_id = first_id TH
 FROM d JOIN g USING (payload_digest)
 """
 
-ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_mix_sources": OP3, "op5_warc": OP5}
+# Words of items and texts; every window of an item is looked up among the texts' runs of as many words.
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT *, least(10, len(w)) AS m FROM b WHERE len(w) > 0))
+), runs AS (
+  SELECT r, i, m, array_to_string(w[i:i + m - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM windows))
+), found AS (
+  SELECT r, i, m, item_id FROM runs JOIN windows USING (m, win)
+), hits AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT r, i, m FROM found)) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+"""
+
+ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_mix_sources": OP3, "op5_warc": OP5, "op13_decontaminate": OP13}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stratalake.llm.bpe import op9_bpe
+from stratalake.llm.decontaminate import op13_decontaminate
 from stratalake.llm.exact_dedup import op1_exact_dedup
 from stratalake.llm.hilbert_shards import op4_hilbert_shards
 from stratalake.llm.html_extract import op10_html_text
@@ -27,6 +28,7 @@ QUERIES = {
         op8_secret_scan,
         op9_bpe,
         op10_html_text,
+        op13_decontaminate,
     )
 }
 
