@@ -79,4 +79,59 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_mix_sources": OP3, "op5_warc": OP5, "op13_decontaminate": OP13}
+OP11 = r"""
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) <= 5
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id, s.b)::INTEGER AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+# Every run of one to four words inside a piece, counted per language; then the cuts of what is frequent.
+OP12 = r"""
+WITH pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), runs AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, 5) AS sizes(m) WHERE len(w) >= m)
+), n AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), f AS (
+  SELECT lang, m, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 30
+), around AS (
+  SELECT lang, phrase, max(f) AS most FROM (
+    SELECT lang, regexp_replace(phrase, ' [^ ]+$', '') AS phrase, f FROM f WHERE m > 2
+    UNION ALL SELECT lang, regexp_replace(phrase, '^[^ ]+ ', ''), f FROM f WHERE m > 2
+    UNION ALL SELECT lang, array_to_string(string_split(phrase, ' ')[i:i + 1], ' '), f FROM f, range(1, 4) AS t(i) WHERE m = 4
+  ) GROUP BY ALL
+), kept AS (
+  SELECT f.* FROM f LEFT JOIN around USING (lang, phrase) WHERE m > 1 AND (most IS NULL OR 100 * most::HUGEINT < 80 * f::HUGEINT)
+), cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:], ' ') AS q
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM kept)
+), scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, (2000000 * a::HUGEINT // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON c.lang = x.lang AND c.p = x.phrase JOIN f y ON c.lang = y.lang AND c.q = y.phrase
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS place FROM best
+)
+SELECT lang, place::INTEGER AS rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE place <= 2000
+"""
+
+ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_mix_sources": OP3, "op5_warc": OP5, "op11_hard_negatives": OP11, "op12_collocations": OP12, "op13_decontaminate": OP13}
