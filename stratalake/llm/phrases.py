@@ -12,10 +12,10 @@ it lets through too much at times, never too little, and all counts are exact.""
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -34,24 +34,21 @@ SUBSUMED_PERCENT = 80
 UNKNOWN_LANG = "und"
 # Bytes of text whose stripes a task holds at once, about 150 MB of work space; a longer text is counted by itself.
 HELD_BYTES = 16_000_000
-# Parts of a stripe, by a hash of the next word: the words themselves are the stripe of the empty prefix.
-FIRST_PARTS, PARTS = 256, 8
+# A hot stripe comes in so many parts, by a hash of the next word. Hot are the empty prefix and prefixes that are at
+# least one in HOT_SHARE of all words, so there are at most that many.
+PARTS, HOT_SHARE = 256, 1000
 # Bits of a filter for each frequent phrase, and at most: 32 MB.
 FILTER_BITS, MOST_BITS = 16, 28
 CHUNK_BYTES = 1 << 16
 
 # A-Z lowered, ends of pieces made a dot, tabs a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 46 if b in b".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else b for b in range(256))
-STRIPES = "lang string, prefix string, part int, words array<string>, counts array<bigint>"
+# Next words with a space between them, and their counts as 32-bit integers.
+STRIPES = "lang string, prefix string, part int, words string, counts binary"
 
 ODD, MULTIPLY, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(32)
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """The words of a text, with a dot for each end of a piece."""
-    return (text or b"").translate(_FOLD).replace(b".", b" . ").split()
-
-
 def joined_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The hash of a phrase from those of its first words and its last word."""
     h = (left * ODD ^ (left >> SHIFT)) + right
@@ -80,38 +77,51 @@ class Filter:
         return out
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 for equal keys, and a place of each number."""
+    numbers, kinds = pd.factorize(keys)
+    place = np.empty(len(kinds), np.int64)
+    place[numbers] = np.arange(len(keys))
+    return numbers, place
+
+
 class Held:
-    """The words of some texts as numbers, 0 at the ends of pieces and texts."""
+    """Texts by language, until their stripes are made."""
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = defaultdict()
-        self.numbers.default_factory = self.numbers.__len__
-        self.numbers[b"."] = 0
-        self.langs: dict[str, int] = {}
-        self.parts: list[np.ndarray] = []
-        self.of_lang: list[int] = []
+        self.texts: dict[str, list[bytes]] = {}
         self.bytes = 0
 
     def add(self, lang: str, text: bytes | None) -> None:
-        words = tokens(text)
-        ids = np.zeros(len(words) + 1, np.int64)
-        ids[:-1] = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        self.parts.append(ids)
-        self.of_lang.append(self.langs.setdefault(lang, len(self.langs)))
-        self.bytes += len(text or b"")
-
-    def stripes(self, size: int, known: Filter | None) -> pa.RecordBatch:
-        """The stripes of all prefixes of `size` - 1 words, next words in order of their numbers."""
-        words = list(self.numbers)
-        ids = np.concatenate(self.parts)
-        lang = np.repeat(np.array(self.of_lang), [len(p) for p in self.parts])
-        n, kinds = len(ids), len(words)
+        if text:
+            self.texts.setdefault(lang, []).append(text)
+            self.bytes += len(text)
+
+    def words(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The different words, with a dot first, and all words by number, 0 at the ends of pieces and texts; with the
+        number of words of each language."""
+        parts = [pa.array(["."])]
+        for texts in self.texts.values():
+            joined = b".".join([b"", *texts, b""]).translate(_FOLD).replace(b".", b" . ")
+            text = pa.Array.from_buffers(pa.string(), 1, [None, pa.py_buffer(np.array([0, len(joined)], np.int32)), pa.py_buffer(joined)])
+            found = pc.ascii_split_whitespace(text).flatten()
+            parts.append(found.filter(pc.not_equal(found, "")))
+        coded = pa.concat_arrays(parts).dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy()[1:].astype(np.int64), np.array([len(p) for p in parts[1:]])
+
+    def stripes(self, size: int, known: Filter | None, hot: set[tuple[str, str]]) -> pa.RecordBatch:
+        """The stripes of all prefixes of `size` - 1 words."""
+        names, ids, sizes = self.words()
+        langs = list(self.texts)
+        lang = np.repeat(np.arange(len(langs), dtype=np.int32), sizes)
+        n, kinds = len(ids), len(names)
+        word_hashes = np.fromiter((word_hash(w.encode()) for w in names.to_pylist()), np.uint64, kinds)
         if known is None:
             at = np.flatnonzero(ids)
         else:
             # Places where both shorter phrases may be frequent.
-            hashes = np.fromiter(map(word_hash, words), np.uint64, kinds)[ids]
-            h = joined_hash(np.fromiter((word_hash(x.encode()) for x in self.langs), np.uint64, len(self.langs))[lang], hashes)
+            hashes = word_hashes[ids]
+            h = joined_hash(np.fromiter((word_hash(x.encode()) for x in langs), np.uint64, len(langs))[lang], hashes)
             whole = ids > 0
             for k in range(1, size - 1):
                 h = joined_hash(h[: n - k], hashes[k:])
@@ -120,34 +130,40 @@ class Held:
             may = np.zeros(len(whole) + 1, bool)
             may[where] = known.has(h[where])
             at = np.flatnonzero(may[:-1] & may[1:])
+            del h, hashes, whole, where, may
         # Prefixes get numbers level by level, so that keys are exact and fit 64 bits. `origin`: a place of each prefix.
-        prefix, origin = lang[at], None
+        prefix, origin = lang[at].astype(np.int64), at
         for k in range(size - 1):
-            _, origin, prefix = np.unique(prefix * kinds + ids[at + k], return_index=True, return_inverse=True)
-            prefix = prefix.reshape(-1)
-        codes, counts = np.unique(prefix * kinds + ids[at + size - 1], return_counts=True)
-        prefix, following = codes // kinds, codes % kinds
-        parts = FIRST_PARTS if size == 1 else PARTS
-        part_of = np.fromiter(map(word_hash, words), np.uint64, kinds) % np.uint64(parts)
-        key = prefix * parts + part_of[following].astype(np.int64)
-        order = np.argsort(key, kind="stable")
-        key, following, counts = key[order], following[order], counts[order]
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
-        prefix, part = key[begin] // parts, key[begin] % parts
-        names, langs = pa.array(words, pa.binary()).cast(pa.string()), pa.array(list(self.langs), pa.string())
+            prefix, origin = numbered(prefix * kinds + ids[at + k])
+        entry, place = numbered(prefix * kinds + ids[at + size - 1])
+        counts = np.bincount(entry, minlength=len(place))
+        prefix, following = prefix[place], ids[at + size - 1][place]
+        of_langs = pa.array(langs, pa.string())
         if size == 1:
-            of_lang, text = langs.take(pa.array(prefix)), pa.array([""] * len(begin), pa.string())
+            many = np.arange(len(langs))
+            of_lang, texts = of_langs, pa.array([""] * len(langs), pa.string())
+            is_hot = np.ones(len(langs), bool)
         else:
-            place = at[origin[prefix]]
-            of_lang = langs.take(pa.array(lang[place]))
-            text = pc.binary_join_element_wise(*[names.take(pa.array(ids[place + k])) for k in range(size - 1)], " ")
-        offsets = pa.array(np.concatenate([begin, [len(key)]]), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, x) for x in (names.take(pa.array(following)), pa.array(counts, pa.int64()))]
-        columns = [of_lang, text, pa.array(part, pa.int32()), *lists]
+            many = at[origin]
+            of_lang = of_langs.take(pa.array(lang[many]))
+            texts = pc.binary_join_element_wise(*[names.take(pa.array(ids[many + k])) for k in range(size - 1)], " ")
+            is_hot = np.zeros(len(many), bool)
+            if hot:
+                wanted = pa.array([f"{x} {y}" for x, y in hot])
+                is_hot = pc.is_in(pc.binary_join_element_wise(of_lang, texts, " "), wanted).to_numpy(zero_copy_only=False)
+        part = np.where(is_hot[prefix], (word_hashes % np.uint64(PARTS))[following].astype(np.int64), 0)
+        order = np.argsort(prefix * PARTS + part)
+        prefix, part, following, counts = prefix[order], part[order], following[order], counts[order]
+        begin = np.flatnonzero(np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])])[: len(prefix)])
+        ends = np.append(begin, len(prefix)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), names.take(pa.array(following)))
+        numbers = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends * 4), pa.py_buffer(counts.astype("<u4"))])
+        place = pa.array(prefix[begin])
+        columns = [of_lang.take(place), texts.take(place), pa.array(part[begin], pa.int32()), pc.binary_join(lists, " "), numbers]
         return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "words", "counts"])
 
 
-def partial_stripes(docs: DataFrame, size: int, known: Broadcast | None) -> DataFrame:
+def partial_stripes(docs: DataFrame, size: int, known: Broadcast | None, hot: set[tuple[str, str]]) -> DataFrame:
     """The stripes that tasks find in their documents (lang, text as bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,52 +175,73 @@ def partial_stripes(docs: DataFrame, size: int, known: Broadcast | None) -> Data
                 for lang, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     held.add(lang, text)
                     if held.bytes >= HELD_BYTES:
-                        yield held.stripes(size, check)
+                        yield held.stripes(size, check, hot)
                         held = Held()
-        if held.parts:
-            yield held.stripes(size, check)
+        if held.texts:
+            yield held.stripes(size, check, hot)
 
     return map_arrow(docs, run, STRIPES)
 
 
 def merged_stripes(partial: DataFrame, least: int) -> DataFrame:
     """Stripes of equal lang, prefix and part added up word by word: a row (lang, prefix, word, f) for each entry that
-    is not rarer than `least`, and one with a null word for the stripe's total. A stripe is merged while its parts
-    are read, one after the other, so only the words of one stripe are in memory."""
+    is not rarer than `least`, and one with a null word for the stripe's total. Stripes are merged while they are read,
+    one key after the other; what is in memory is a batch and the sums of the key that goes on behind it."""
     rows = partial.repartition("lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
-    names = ["lang", "prefix", "word", "f"]
+    keys = ["lang", "prefix", "part"]
+
+    def entries(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.Table]:
+        """The batch's keys, and (key, word, n) with the keys by number."""
+        change = np.zeros(batch.num_rows, bool)
+        for name in keys:
+            column = batch.column(name)
+            change[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        number = np.cumsum(change)
+        change[0] = True
+        words = pc.split_pattern(batch.column("words"), " ")
+        counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<u4").astype(np.int64)
+        of_key = np.repeat(number, pc.list_value_length(words).to_numpy())
+        names = batch.select(keys).take(pa.array(np.flatnonzero(change)))
+        return names, pa.table({"key": of_key, "word": words.flatten(), "n": counts})
+
+    def added(table: pa.Table) -> pa.Table:
+        return table.group_by(["key", "word"]).aggregate([("n", "sum")]).rename_columns(["key", "word", "n"])
+
+    def finished(names: pa.RecordBatch, sums: pa.Table) -> pa.RecordBatch:
+        """`names`: the keys (lang, prefix) by number."""
+        key, n = sums["key"].to_numpy(), sums["n"].to_numpy()
+        totals = np.bincount(key, n.astype(np.float64), names.num_rows) if n.sum() < 1 << 52 else None
+        if totals is None:
+            totals = np.zeros(names.num_rows, np.int64)
+            np.add.at(totals, key, n)
+        kept = np.flatnonzero(n >= least)
+        place = pa.array(np.concatenate([key[kept], np.arange(names.num_rows)]))
+        words = pa.concat_arrays([sums["word"].combine_chunks().take(pa.array(kept)), pa.nulls(names.num_rows, pa.string())])
+        f = pa.array(np.concatenate([n[kept], totals.astype(np.int64)]))
+        columns = [names.column("lang").take(place), names.column("prefix").take(place), words, f]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "word", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, sums, out = None, {}, ([], [], [], [])
-
-        def close() -> None:
-            kept = [(w, c) for w, c in sums.items() if c >= least]
-            kept.append((None, sum(sums.values())))
-            for column, values in zip(out, ([key[0]] * len(kept), [key[1]] * len(kept), *zip(*kept, strict=True)), strict=True):
-                column.extend(values)
-
-        def batch_of() -> pa.RecordBatch:
-            kinds = [pa.string()] * 3 + [pa.int64()]
-            done = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
-            for column in out:
-                column.clear()
-            return done
-
+        # The last key of a batch may go on in the next: its sums so far, and its name.
+        held: tuple[pa.RecordBatch, pa.Table] | None = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                for lang, prefix, part, words, counts in zip(*(c.to_pylist() for c in batch.slice(at, 1024).columns), strict=True):
-                    if (lang, prefix, part) != key:
-                        if key:
-                            close()
-                        key, sums = (lang, prefix, part), dict(zip(words, counts, strict=True))
-                        continue
-                    for word, count in zip(words, counts, strict=True):
-                        sums[word] = sums.get(word, 0) + count
-                if len(out[0]) > 10_000:
-                    yield batch_of()
-        if key:
-            close()
-            yield batch_of()
+            if not batch.num_rows:
+                continue
+            names, table = entries(batch)
+            if held:
+                if held[0].to_pylist() == names.slice(0, 1).to_pylist():
+                    table = pa.concat_tables([held[1], table])
+                else:
+                    yield finished(held[0], held[1])
+            sums = added(table)
+            last = names.num_rows - 1
+            open_ = np.asarray(sums["key"]) == last
+            if last:
+                yield finished(names.slice(0, last), sums.filter(pa.array(~open_)))
+            rest = sums.filter(pa.array(open_))
+            held = names.slice(last, 1), rest.set_column(0, "key", pa.array(np.zeros(rest.num_rows, np.int64)))
+        if held:
+            yield finished(*held)
 
     return map_arrow(rows, run, "lang string, prefix string, word string, f bigint")
 
@@ -250,14 +287,18 @@ def frequent_phrases(docs: DataFrame, lang_col: str, text_col: str, longest: int
     """For each length the merged stripes' entries (lang, prefix, word, f), and (lang, n) for all words."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG)).alias("lang")
     texts = docs.select(lang, F.col(text_col).cast("string").cast("binary").alias("text"))
-    levels, known, totals = [], None, None
+    levels, known, hot, totals, words = [], None, set(), None, 0
     for size in range(1, longest + 1):
-        stripes = staged(merged_stripes(partial_stripes(texts, size, known), least), f"stripes{size}")
-        levels.append(stripes.where("word IS NOT NULL"))
+        stripes = staged(merged_stripes(partial_stripes(texts, size, known, hot), least), f"stripes{size}")
+        entries = stripes.where("word IS NOT NULL")
+        levels.append(entries)
         if size == 1:
-            totals = stripes.where("word IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
+            totals = staged(stripes.where("word IS NULL").groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+            words = totals.agg(F.sum("n")).first()[0] or 0
         if size < longest:
             known = filter_of(stripes, size)
+            often = entries.where(F.col("f").cast("decimal(28,0)") * HOT_SHARE >= words).select("lang", phrase().alias("phrase"))
+            hot = {tuple(r) for r in often.collect()}  # at most HOT_SHARE rows
     return levels, totals
 
 
