@@ -13,11 +13,11 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from stratalake.plans.flat_export import export_flat, export_newest
-from stratalake.plans.jobs import run_bronze_to_silver, run_silver_to_gold, stage_bronze, staged_parts
-from stratalake.session import build_session, drop_work_dir, work_dir
-from stratalake.sources.readers import inspect_schema, scan_bronze_json
-from stratalake.streaming.upsert import run_incremental
+from stratalake.plans.flat_export import export_files, export_newest
+from stratalake.plans.jobs import run_bronze_to_silver, run_silver_to_gold
+from stratalake.session import build_session
+from stratalake.sources.readers import infer_bronze, inspect_schema
+from stratalake.streaming.upsert import BUCKET_BYTES, BUCKETS, run_incremental
 
 
 def main() -> None:
@@ -35,9 +35,11 @@ def main() -> None:
         for folder in folders:
             job.add_argument(folder)
         if folders[0] in ("bronze", "landing"):
-            job.add_argument("--multi-line", action="store_true", help="files hold one JSON array or object each")
+            job.add_argument("--multi-line", action="store_true", help="files of any layout: arrays, values over several lines or one per line")
         if name == "incremental":
             job.add_argument("--archive", help="folder that files are moved to once a later run has begun")
+            job.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a new table")
+            job.add_argument("--bucket-bytes", type=int, default=BUCKET_BYTES, help="average size at which buckets are split")
     args = parser.parse_args()
     spark = build_session(f"stratalake {args.job}")
 
@@ -46,18 +48,15 @@ def main() -> None:
     elif args.job == "silver-to-gold":
         print(run_silver_to_gold(spark, args.silver, args.gold, datetime.now(timezone.utc)))
     elif args.job == "incremental":
-        print(run_incremental(spark, args.landing, args.state, args.silver, args.multi_line, args.archive))
+        sizes = {"buckets": args.buckets, "bucket_bytes": args.bucket_bytes}
+        print(run_incremental(spark, args.landing, args.state, args.silver, args.multi_line, args.archive, **sizes))
     elif args.job == "export-newest":
         now = datetime.now(timezone.utc)
         print(export_newest(spark, args.landing, args.out, args.archive, now, args.multi_line))
     elif args.job == "export-csv":
-        staged = work_dir(spark, "bronze")
-        stage_bronze(scan_bronze_json(spark, args.bronze, multi_line=args.multi_line), staged)
-        print(export_flat(spark, staged_parts(spark, staged), args.out, datetime.now(timezone.utc)))
-        drop_work_dir(spark, staged)
+        print(export_files(spark, args.bronze, args.out, datetime.now(timezone.utc), args.multi_line))
     else:
-        raw = spark.read.option("multiLine", args.multi_line).json(args.bronze)
-        inspect_schema(raw).show(1000, truncate=False)
+        inspect_schema(infer_bronze(spark, args.bronze, args.multi_line)).show(1000, truncate=False)
 
 
 if __name__ == "__main__":

@@ -14,10 +14,10 @@ from stratalake.operators.dedup import keep_first
 from stratalake.operators.projections import ALBUM_FIELDS, ARTIST_FIELDS_WIDE, SONG_FIELDS
 from stratalake.plans import silver as s
 from stratalake.plans.jobs import run_together, stage_bronze, staged_parts
-from stratalake.schemas import SILVER_KEYS
+from stratalake.schemas import BRONZE, CORRUPT_COLUMN, SILVER_KEYS, with_corrupt
 from stratalake.session import drop_work_dir, work_dir
-from stratalake.sources.readers import latest_file, scan_bronze_json
-from stratalake.sources.writers import export_stamp, write_csv_export
+from stratalake.sources.readers import latest_file, scan_bronze_json, unreadable
+from stratalake.sources.writers import export_stamp, write_csv_export, write_with_count
 
 RAW_DATES = {"album": "release_date_raw", "song": "first_release_date_raw"}
 
@@ -59,23 +59,39 @@ def export_flat(spark: SparkSession, bronze: Bronze, out: str, run_ts: datetime)
     return folders
 
 
-def export_newest(
-    spark: SparkSession, landing: str, out: str, archive: str, run_ts: datetime, multi_line: bool = True
-) -> dict[str, str]:
-    """The newest raw file of a landing folder to CSV, then the file to the archive folder; returns the export's
-    folders. The file is moved last, so a run that dies is run again on the same file. One file is what one
-    extraction wrote; use the incremental job for many."""
-    newest = latest_file(spark, landing)["path"]
+def export_files(
+    spark: SparkSession, path: str | list[str], out: str, run_ts: datetime, multi_line: bool = True
+) -> dict[str, str | int]:
+    """Raw files to CSV: the folder of each table's export, and under `unreadable` how many texts were no envelopes.
+    Those texts are kept in `<out>/unreadable/unreadable_<stamp>` (Parquet), which is written whether or not there are
+    any. Files of which nothing can be read are an error: then no table is written."""
     staged = work_dir(spark, "bronze")
     try:
-        stage_bronze(scan_bronze_json(spark, newest, multi_line=multi_line), staged)
-        folders = export_flat(spark, staged_parts(spark, staged), out, run_ts)
+        stage_bronze(scan_bronze_json(spark, path, multi_line=multi_line, keep_corrupt=True), staged)
+        stamp = spark.range(1).select(export_stamp(F.lit(run_ts))).first()[0]
+        kept = f"{out}/unreadable/unreadable_{stamp}"
+        count = write_with_count(unreadable(spark, staged), kept)
+        readable = spark.read.schema(with_corrupt(BRONZE)).parquet(staged).where(F.col(CORRUPT_COLUMN).isNull())
+        if count and readable.isEmpty():
+            raise ValueError(f"no envelope in {path}, only {count} texts that can't be read, kept in {kept}")
+        return export_flat(spark, staged_parts(spark, staged), out, run_ts) | {"unreadable": count}
     finally:
         drop_work_dir(spark, staged)
+
+
+def export_newest(
+    spark: SparkSession, landing: str, out: str, archive: str, run_ts: datetime, multi_line: bool = True
+) -> dict[str, str | int]:
+    """The newest raw file of a landing folder to CSV, then the file to the archive folder; returns what
+    `export_files` does. The file is moved last, and only if all that it holds is exported or kept as unreadable, so a
+    run that dies is run again on the same file. One file is what one extraction wrote; use the incremental job for
+    many."""
+    newest = latest_file(spark, landing)["path"]
+    result = export_files(spark, newest, out, run_ts, multi_line)
     path = spark._jvm.org.apache.hadoop.fs.Path
     source, target = path(newest), path(archive)
     files = source.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(target)
     if not files.rename(source, path(target, source.getName())):
         raise OSError(f"{newest} is exported but could not be moved to {archive}")
-    return folders
+    return result

@@ -16,7 +16,7 @@ from stratalake.plans.silver import TRANSFORMS
 from stratalake.schemas import BRONZE, BRONZE_FOR
 from stratalake.session import drop_work_dir, work_dir
 from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet, unreadable
-from stratalake.sources.writers import publish_with_count, write_parquet_overwrite, write_with_count
+from stratalake.sources.writers import publish_with_count, write_parquet_overwrite
 
 T = TypeVar("T")
 
@@ -63,15 +63,14 @@ def run_bronze_to_silver(
     stage_path: str | None = None,
 ) -> dict[str, int]:
     """Rebuild artists, albums and songs from all raw files; returns the row count per table, and under
-    `unreadable` how many texts were no envelopes. Those texts are written to `<silver_base>/unreadable` if
-    there are any. The staged copy is kept where `stage_path` says; without one it is removed at the end, also
-    of a failed run."""
+    `unreadable` how many texts were no envelopes. `<silver_base>/unreadable` holds those texts of this run, and
+    is empty if there are none. The staged copy is kept where `stage_path` says; without one it is removed at the
+    end, also of a failed run."""
     staged = stage_path or work_dir(spark, "bronze")
     try:
         stage_bronze(scan_bronze_json(spark, bronze_path, multi_line=multi_line, keep_corrupt=True), staged)
         counts = write_tables(spark, silver_from_staged(spark, staged), silver_base)
-        bad = unreadable(spark, staged)
-        counts["unreadable"] = 0 if bad.isEmpty() else write_with_count(bad, f"{silver_base}/unreadable")
+        counts["unreadable"] = publish_with_count(unreadable(spark, staged), f"{silver_base}/unreadable")
     finally:
         if stage_path is None:
             drop_work_dir(spark, staged)

@@ -21,7 +21,8 @@ from stratalake.operators.generators import LINEAGE
 from stratalake.schemas import BRONZE, GOLD, SILVER, SILVER_KEYS
 from stratalake.session import work_dir
 from stratalake.sources import catalog, readers, writers
-from stratalake.streaming import ingest, upsert
+from stratalake.streaming import changefeed, ingest, upsert
+from stratalake.streaming import gold as gold_deltas
 
 RUN_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
 EARLIER_RUN_TS = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -88,6 +89,14 @@ def scan_bronze_json(at: Layers) -> DataFrame:
     return sized(readers.scan_bronze_json(at.spark, path, multi_line=True))
 
 
+@query
+def scan_array_splits(at: Layers) -> DataFrame:
+    """All of bronze in four array files, which many tasks read, each its splits."""
+    path = work_dir(at.spark, "arrays")
+    writers.write_json_arrays(at.bronze().repartition(4), path)
+    return sized(readers.scan_bronze_json(at.spark, path, multi_line=True))
+
+
 @query
 def scan_silver_parquet(at: Layers) -> DataFrame:
     return at.silver("albums")
@@ -99,18 +108,19 @@ def inspect_schema(at: Layers) -> DataFrame:
     return readers.inspect_schema(at.spark.read.json(at.bronze_json()))
 
 
-def land_nations_last(at: Layers) -> str:
-    """All of bronze as one run, and a later run of one file: an envelope per nation, which bounds it."""
+def land_eighth_last(at: Layers) -> str:
+    """Bronze in two runs, of which the later one, an eighth, is a single file: it grows with the input, is written as
+    its rows pass by, and is read in splits."""
     landing = work_dir(at.spark, "landing")
-    writers.land_bronze(at.bronze(), landing, run_ts(EARLIER_RUN_TS))
-    payloads = table(at, "nation").select(c("n_name").alias("artist_search"), F.lit('{"recordings":[]}').alias("payload"))
-    writers.land_bronze(writers.make_envelopes(payloads.coalesce(1), run_ts()), landing, run_ts())
+    last = F.unix_seconds(d.iso_timestamp(c("extracted_at"))) % 8 == 7
+    writers.land_bronze(at.bronze().filter(~last), landing, run_ts(EARLIER_RUN_TS))
+    writers.land_bronze(at.bronze().filter(last).coalesce(1), landing, run_ts())
     return landing
 
 
 @query
 def scan_latest_file(at: Layers) -> DataFrame:
-    return sized(readers.scan_latest_file(at.spark, land_nations_last(at)))
+    return sized(readers.scan_latest_file(at.spark, land_eighth_last(at)))
 
 
 @query
@@ -574,7 +584,7 @@ def order_by_year_releases(at: Layers) -> DataFrame:
 
 @query
 def newest_file_top1(at: Layers) -> DataFrame:
-    newest = ordering.newest_top1(readers.list_files(at.spark, land_nations_last(at)))
+    newest = ordering.newest_top1(readers.list_files(at.spark, land_eighth_last(at)))
     return newest.select(F.regexp_extract("path", "/batch_id=([^/]+)/", 1).alias("batch_id"))
 
 
@@ -630,6 +640,34 @@ def incremental_upsert(at: Layers) -> DataFrame:
     return silver.silver_view(merged, "songs")
 
 
+def two_incremental_runs(at: Layers, after_each: Callable[[str], None]) -> str:
+    """The later half of bronze arrives first, then the earlier; buckets are few and small, so that they split."""
+    landing, state, base = (work_dir(at.spark, n) for n in ("landing", "state", "silver"))
+    for odd, ts in ((1, EARLIER_RUN_TS), (0, RUN_TS)):
+        writers.land_bronze(half(at, odd), landing, run_ts(ts))
+        upsert.run_incremental(at.spark, landing, state, base, buckets=3, bucket_bytes=100_000)
+        after_each(state)
+    return state
+
+
+@query
+def change_feed(at: Layers) -> DataFrame:
+    """What the second of two incremental runs changed in the songs, as the rows that go and those that come."""
+    state = two_incremental_runs(at, lambda state: None)
+    return changefeed.signed_rows(changefeed.change_feed(at.spark, f"{state}/songs", "songs", 1, 2))
+
+
+@query
+def incremental_gold(at: Layers) -> DataFrame:
+    """Gold kept by deltas over two incremental runs."""
+    base = work_dir(at.spark, "gold")
+    two_incremental_runs(at, lambda state: gold_deltas.run_gold_incremental(at.spark, state, base, RUN_TS, buckets=3, bucket_bytes=100_000))
+    summary, yearly = (
+        at.spark.read.schema(GOLD[t]).parquet(f"{base}/{t}").select(*GOLD[t].fieldNames()).withColumn("table", F.lit(t)) for t in GOLD
+    )
+    return summary.unionByName(yearly, allowMissingColumns=True)
+
+
 # Whole jobs
 
 

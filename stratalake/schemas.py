@@ -21,7 +21,7 @@ _TYPES = {
 }
 
 
-def _table(columns: str) -> T.StructType:
+def table_schema(columns: str) -> T.StructType:
     pairs = (column.split() for column in columns.split(","))
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
@@ -74,15 +74,15 @@ BRONZE_FOR = {
 PAYLOAD = BRONZE["data"].dataType
 
 SILVER = {
-    "artists": _table(
+    "artists": table_schema(
         "artist_id string, artist_name string, artist_sort_name string, artist_disambiguation string, "
         "artist_search string, extracted_at timestamp, artist_url string"
     ),
-    "albums": _table(
+    "albums": table_schema(
         "album_id string, album_name string, country string, status string, track_count int, "
         "artist_search string, extracted_at timestamp, release_date date, album_url string"
     ),
-    "songs": _table(
+    "songs": table_schema(
         "recording_id string, title string, length_ms bigint, video boolean, score int, "
         "artist_search string, extracted_at timestamp, first_release_date date"
     ),
@@ -91,14 +91,14 @@ SILVER = {
 SILVER_KEYS = {"artists": "artist_id", "albums": "album_id", "songs": "recording_id"}
 
 GOLD = {
-    "artist_summary": _table(
+    "artist_summary": table_schema(
         "artist_search string, artist_id string, artist_name string, artist_sort_name string, "
         "artist_disambiguation string, extracted_at timestamp, artist_url string, "
         "total_recordings bigint, avg_song_length_min double, earliest_song_release date, "
         "latest_song_release date, total_albums bigint, distinct_release_countries bigint, "
         "earliest_album_release date, latest_album_release date, created_at timestamp"
     ),
-    "yearly_release_metrics": _table(
+    "yearly_release_metrics": table_schema(
         "release_year int, country_code string, total_releases bigint, avg_tracks_per_album double, "
         "distinct_artists bigint, created_at timestamp"
     ),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -59,3 +60,15 @@ def drop_work_dir(spark: SparkSession, path: str) -> None:
         raise ValueError(f"not a work folder of this session: {path}")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def importable(df: DataFrame) -> DataFrame:
+    """Let Python workers import this package where they see the driver's copy of it (one machine, or a shared
+    disk) but were started elsewhere; other clusters install the package or get it by --py-files. Returns the
+    frame."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df

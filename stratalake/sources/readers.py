@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from stratalake.operators.ordering import newest_top1
 from stratalake.schemas import BRONZE, CORRUPT_COLUMN, SILVER, with_corrupt
+from stratalake.session import work_dir
+from stratalake.sources.json_values import parsed, scan_fragments, value_texts
 
 
 def scan_bronze_json(
@@ -19,14 +21,16 @@ def scan_bronze_json(
 ) -> DataFrame:
     """Envelopes from JSON files.
 
-    JSON Lines (the default) splits at block borders. `multi_line` reads files that hold one top-level array or
-    one object over several lines; each element is a row, but one task must parse the whole file, so keep such
-    files small. `keep_corrupt` adds `_corrupt_record`: unreadable text, such as the lines of an array read as
-    JSON Lines, becomes a row there instead of an envelope of nulls."""
+    By default each line is a value (JSON Lines), as `land_bronze` writes them. With `multi_line` files may have any
+    layout, each its own: an array, values over several lines, or a value per line; see `json_values`. Both ways split
+    files, so that many tasks share a large one; JSON Lines take one pass, the other three. `keep_corrupt` adds
+    `_corrupt_record`: unreadable text, such as the lines of an array read as JSON Lines, becomes a row there instead
+    of an envelope of nulls."""
+    if multi_line:
+        return parsed(value_texts(scan_fragments(spark, path)), schema, keep_corrupt)
     if keep_corrupt:
         schema = with_corrupt(schema)
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
-    return reader.option("multiLine", multi_line).json(path)
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
 def unreadable(spark: SparkSession, staged: str) -> DataFrame:
@@ -108,6 +112,17 @@ def flatten_schema(schema: T.StructType) -> list[tuple[str, str, bool]]:
     return walk(schema, "", True)
 
 
+def infer_bronze(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Raw files under the schema that Spark infers from all their values. `multi_line`: files of any layout, whose
+    values are written one per line first."""
+    if multi_line:
+        # A line break inside a JSON string is escaped, so those that stand there are only layout.
+        lines = value_texts(scan_fragments(spark, path)).select(F.regexp_replace("text", "[\r\n]+", " "))
+        path = work_dir(spark, "values")
+        lines.write.text(path)
+    return spark.read.json(path)
+
+
 def inspect_schema(df: DataFrame) -> DataFrame:
     """(path, type, nullable, record_count): the frame's nested schema next to its row count."""
     fields = F.array(

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Observation
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.dates import iso_utc, utc_text
 from stratalake.functions.values import decode_json
 from stratalake.schemas import PAYLOAD
 from stratalake.fixed_values import EXPORT_STAMP_FORMAT, LANDING_STAMP_FORMAT
+from stratalake.session import importable
 
 
 def write_parquet_overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -21,13 +24,24 @@ def write_parquet_overwrite(df: DataFrame, path: str, partition_by: str | None =
     writer.parquet(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame, and what will hold its number of rows under `n` once it has been written."""
+    seen = Observation(f"written-{uuid.uuid4().hex}")
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 def write_with_count(df: DataFrame, path: str) -> int:
     """Replace a Parquet table and return how many rows were written, without running the plan twice."""
-    seen = Observation(f"written-{uuid.uuid4().hex}")
-    write_parquet_overwrite(df.observe(seen, F.count(F.lit(1)).alias("n")), path)
+    rows, seen = counted(df)
+    write_parquet_overwrite(rows, path)
     return seen.get["n"]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def publish_with_count(df: DataFrame, path: str) -> int:
     """Replace a table by writing it beside the old one and renaming it when it is complete, so that a run that
     dies leaves the old table as it was. On stores without atomic rename the change-over is as short as their
@@ -61,6 +75,23 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """JSON files that hold one array each: a file per partition, written as the rows pass by."""
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "["
+        for batch in batches:
+            lines = []
+            for text in batch.column(0).to_pylist():
+                lines.append(lead + text)
+                lead = ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "]"])], ["value"])
+
+    texts = importable(df.select(F.to_json(F.struct(*df.columns)).alias("value")))
+    texts.mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)
+
+
 def make_envelopes(payloads: DataFrame, extracted_at: Column) -> DataFrame:
     """(artist_search, payload text) to envelopes. Unreadable payload text gives an envelope with null
     `data`: it stays countable in bronze and gives no silver rows."""

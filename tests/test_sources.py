@@ -161,3 +161,19 @@ def test_only_work_folders_can_be_dropped(spark, folder):
         drop_work_dir(spark, "/tmp/elsewhere")
     drop_work_dir(spark, folder)
     assert not os.path.exists(folder)
+
+
+def test_inspection_counts_all_values(spark, folder, write_bronze):
+    path = write_bronze(TWO * 10)
+    write_bronze(TWO, lines=False)
+    df = readers.inspect_schema(readers.infer_bronze(spark, path, multi_line=True))
+    assert {r["record_count"] for r in df.collect()} == {22}
+
+
+def test_array_files_round_trip(spark, folder):
+    df = spark.range(1000).selectExpr("id", "concat('a[\"{', id) AS t").repartition(3)
+    writers.write_json_arrays(df, folder)
+    got = spark.read.option("multiLine", True).schema("id bigint, t string").json(folder)
+    assert rows(got) == rows(df)
+    writers.write_json_arrays(df.where("false"), f"{folder}/none")
+    assert spark.read.option("multiLine", True).schema("id bigint").json(f"{folder}/none").count() == 0

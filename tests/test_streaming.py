@@ -1,3 +1,4 @@
+import json
 import os
 import time
 from datetime import datetime, timezone
@@ -8,10 +9,10 @@ from pyspark.sql import functions as F
 from conftest import envelope, rows
 from stratalake.plans import silver
 from stratalake.plans.flat_export import export_newest
-from stratalake.plans.jobs import run_bronze_to_silver
-from stratalake.schemas import BRONZE
+from stratalake.plans.jobs import run_bronze_to_silver, run_silver_to_gold
+from stratalake.schemas import BRONZE, GOLD
 from stratalake.sources.readers import read_csv_export, scan_bronze_json, scan_silver_parquet
-from stratalake.streaming import ingest, upsert
+from stratalake.streaming import changefeed, gold, ingest, upsert
 
 
 def song(key, title, at):
@@ -116,6 +117,65 @@ def test_the_newest_file_is_exported_and_archived(spark, folder, write_bronze):
     assert "new.json" in os.listdir(f"{folder}/done")
 
 
+NOW = datetime(2024, 2, 1, tzinfo=timezone.utc)
+
+
+def titles_of(spark, result):
+    return sorted(r["title"] for r in read_csv_export(spark, result["song"]).collect())
+
+
+@pytest.mark.parametrize("layout", ["lines", "array", "objects"])
+def test_any_layout_is_exported_whole(spark, folder, write_bronze, layout):
+    songs = [song(str(n), f"t{n:02}", DAYS[0]) for n in range(20)]
+    texts = {"lines": "\n".join(map(json.dumps, songs)), "array": json.dumps(songs), "objects": "\n".join(json.dumps(s, indent=1) for s in songs)}
+    landing = write_bronze(texts[layout], "new.json")
+    result = export_newest(spark, landing, f"{folder}/out", f"{folder}/done", NOW)
+    assert titles_of(spark, result) == [f"t{n:02}" for n in range(20)] and result["unreadable"] == 0
+    assert "new.json" in os.listdir(f"{folder}/done")
+
+
+def test_a_truncated_file_leaves_its_text(spark, folder, write_bronze):
+    landing = write_bronze(json.dumps([song("1", "a", DAYS[0]), song("2", "b", DAYS[0])])[:-30], "cut.json")
+    result = export_newest(spark, landing, f"{folder}/out", f"{folder}/done", NOW)
+    assert titles_of(spark, result) == ["a"] and result["unreadable"] == 1
+    (kept,) = spark.read.parquet(f"{folder}/out/unreadable/*").collect()
+    assert '"s-b"' in kept["text"]
+
+
+def test_a_file_of_which_nothing_can_be_read_stays(spark, folder, write_bronze):
+    landing = write_bronze([song("1", "a", DAYS[0]), song("2", "b", DAYS[0])], "array.json", lines=False)
+    with pytest.raises(ValueError):
+        export_newest(spark, landing, f"{folder}/out", f"{folder}/done", NOW, multi_line=False)
+    assert "array.json" in os.listdir(landing) and not os.path.exists(f"{folder}/out/song_data")
+    assert spark.read.parquet(f"{folder}/out/unreadable/*").count() > 5
+
+
+def test_texts_that_were_unreadable_before_are_not_reported_again(spark, folder, write_bronze):
+    landing = write_bronze([song("1", "a", DAYS[0])], "a.json")
+    write_bronze("broken", "b.json")
+    assert run_bronze_to_silver(spark, landing, f"{folder}/silver")["unreadable"] == 1
+    assert run_bronze_to_silver(spark, f"{landing}/a.json", f"{folder}/silver")["unreadable"] == 0
+    assert spark.read.parquet(f"{folder}/silver/unreadable").count() == 0
+
+
+def test_batch_and_incremental_runs_take_mixed_layouts(spark, folder, write_bronze):
+    landing = write_bronze([song(str(n), f"t{n}", DAYS[0]) for n in range(20)])
+    write_bronze([song(str(n), f"t{n}", DAYS[0]) for n in range(20, 30)], lines=False)
+    want = {"artists": 0, "albums": 30, "songs": 30, "unreadable": 0}
+    assert run_bronze_to_silver(spark, landing, f"{folder}/batch", multi_line=True) == want
+    run = lambda: upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver", multi_line=True)
+    assert run() == want and run() == want
+    write_bronze(json.dumps(song("99", "more", DAYS[1]), indent=2) + "\n{broken")
+    assert run() == {"artists": 0, "albums": 31, "songs": 31, "unreadable": 1}
+
+
+def test_a_run_without_files(spark, folder):
+    os.makedirs(f"{folder}/in")
+    for any_layout in (False, True):
+        counts = upsert.run_incremental(spark, f"{folder}/in", f"{folder}/state", f"{folder}/silver", multi_line=any_layout)
+        assert set(counts.values()) == {0}
+
+
 def test_files_are_archived_by_a_later_batch(spark, folder, write_bronze):
     spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")  # clean within the batch
     try:
@@ -203,3 +263,135 @@ def test_changes_of_a_run_that_died_are_taken_with_the_next(spark, folder, write
     write_bronze([song("3", "c", DAYS[1])])
     upsert.append_changes(spark, landing, folder, f"{folder}/state", "songs")
     assert sorted(r["title"] for r in upsert.advance_snapshot(spark, folder, "songs").collect()) == ["a", "b", "c"]
+
+
+def incremental(spark, folder, landing, **sizes):
+    return upsert.run_incremental(spark, landing, f"{folder}/state", f"{folder}/silver", **sizes)
+
+
+def test_linear_hashing_moves_rows_only_from_their_parents(spark):
+    df = spark.range(20_000).selectExpr("cast(id as string) k")
+    for old, new in ((1, 2), (3, 5), (64, 65), (64, 300), (100, 300), (7, 7)):
+        places = df.select(upsert.bucket_of("k", old).alias("a"), upsert.bucket_of("k", new).alias("b")).collect()
+        assert all(0 <= p.a < old and 0 <= p.b < new and upsert.parent(p.b, old) == p.a for p in places)
+        assert len({p.b for p in places}) == new
+
+
+def test_buckets_split_as_the_table_grows(spark, folder, write_bronze):
+    songs = lambda a, b, title: [song(str(n), title, DAYS[0]) for n in range(a, b)]
+    sizes = {"buckets": 2, "bucket_bytes": 5_000}
+    landing = write_bronze(songs(0, 50, "a"))
+    incremental(spark, folder, landing, **sizes)
+    base = f"{folder}/state/songs"
+    assert upsert.state_of(spark, base).buckets == 2
+    write_bronze(songs(50, 5000, "b"))
+    counts = incremental(spark, folder, landing, **sizes)
+    state = upsert.state_of(spark, base)
+    assert state.buckets > 4 and max(state.bytes.values()) < 3 * 5_000
+    assert counts["songs"] == 5000 == sum(state.rows.values()) == scan_silver_parquet(spark, f"{folder}/silver", "songs").count()
+    # One more row: its bucket is written, and what a further split takes; all others stay.
+    write_bronze([song("7", "first", "2023-01-01T00:00:00+00:00")])
+    incremental(spark, folder, landing, **sizes)
+    after = upsert.state_of(spark, base)
+    changed = [b for b in after.holder if after.holder[b] != state.holder.get(b)]
+    assert len(changed) <= 1 + 2 * (after.buckets - state.buckets)
+    for table, make in silver.TRANSFORMS.items():
+        assert rows(scan_silver_parquet(spark, f"{folder}/silver", table)) == rows(make(scan_bronze_json(spark, landing)))
+
+
+def test_a_run_that_dies_in_a_split_is_made_good(spark, folder, write_bronze, monkeypatch):
+    sizes = {"buckets": 1, "bucket_bytes": 5_000}
+    landing = write_bronze([song(str(n), "a", DAYS[1]) for n in range(100)])
+    incremental(spark, folder, landing, **sizes)
+    for step in ("write_parquet_overwrite", "replace_buckets", "touch"):
+        n = len(os.listdir(landing)) * 1000
+        write_bronze([song(str(n + i), "b", DAYS[0]) for i in range(400)])
+        with monkeypatch.context() as broken:
+            broken.setattr(upsert, step, lambda *a, **b: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                incremental(spark, folder, landing, **sizes)
+        counts = incremental(spark, folder, landing, **sizes)
+        stored = scan_silver_parquet(spark, f"{folder}/silver", "songs")
+        assert rows(stored) == rows(silver.transform_songs(scan_bronze_json(spark, landing)))
+        assert counts["songs"] == stored.count()
+    assert upsert.state_of(spark, f"{folder}/state/songs").buckets > 1
+
+
+def test_feed_leads_from_one_snapshot_to_the_next(spark, folder, write_bronze):
+    sizes = {"buckets": 2, "bucket_bytes": 8_000}
+    landing = write_bronze([song(str(n), "a", DAYS[3]) for n in range(300)])
+    incremental(spark, folder, landing, **sizes)
+    write_bronze([song(str(n), "b", DAYS[1]) for n in range(250, 900)])
+    incremental(spark, folder, landing, **sizes)
+    base = f"{folder}/state/songs"
+    feed = changefeed.change_feed(spark, base, "songs", 1, 2)
+    assert {r["change"]: r["count"] for r in feed.groupBy("change").count().collect()} == {"update": 50, "insert": 600}
+    old, new = (changefeed.as_of(spark, base, "songs", n) for n in (1, 2))
+    assert rows(changefeed.apply_feed(old, feed, "songs")) == rows(new) and old.count() == 300
+    back = changefeed.change_feed(spark, base, "songs", 2, 1)
+    assert back.where("change = 'delete'").count() == 600
+    assert rows(changefeed.apply_feed(new, back, "songs")) == rows(old)
+    assert rows(changefeed.apply_feed(new.limit(0), changefeed.change_feed(spark, base, "songs", 0, 2), "songs")) == rows(new)
+    with pytest.raises(LookupError):
+        changefeed.change_feed(spark, base, "songs", 1, 7)
+
+
+def full(search, key, at, artists=(), country="X", date="2001-05", length=60000, tracks=3):
+    release = {"id": f"l{key}", "date": date, "country": country, "track-count": tracks}
+    credits = [{"artist": {"id": a, "name": a}} for a in artists]
+    return envelope(search, [{"id": f"r{key}", "length": length, "first-release-date": date, "releases": [release], "artist-credit": credits}], at)
+
+
+def test_gold_by_deltas_equals_a_rebuild(spark, folder, write_bronze):
+    """Rows that come, move between searches, years and countries, or lose the least or largest date of a group."""
+    arrivals = [
+        [full("s1", 1, DAYS[3], ["a", "b"]), full("s1", 2, DAYS[3], ["a"], date="1990"), full("s2", 3, DAYS[3], ["c"], country=None, tracks=None)],
+        [full("s2", 2, DAYS[1], ["a"], date="1995", country="Y"), full("s3", 4, DAYS[1], ["d"], date=None)],
+        [full("s1", 1, DAYS[0], ["b"], date="2010-01-01", length=None), full("s9", 3, DAYS[0], ["c"], date="bad")],
+        [],
+        [full(f"t{n}", n, DAYS[0], [f"x{n}"], date=str(1960 + n % 40)) for n in range(100, 300)],
+    ]
+    sizes = {"buckets": 2, "bucket_bytes": 6_000}
+    for n, batch in enumerate(arrivals):
+        landing = write_bronze(batch) if batch else landing  # noqa: F821
+        incremental(spark, folder, landing, **sizes)
+        if n == 2:
+            continue  # two silver snapshots in one go
+        counts = gold.run_gold_incremental(spark, f"{folder}/state", f"{folder}/gold", NOW, **sizes)
+        run_silver_to_gold(spark, f"{folder}/silver", f"{folder}/rebuilt", NOW)
+        for table, schema in GOLD.items():
+            read = lambda at: spark.read.schema(schema).parquet(f"{folder}/{at}/{table}").select(*schema.fieldNames())  # noqa: E731, B023
+            assert rows(read("gold")) == rows(read("rebuilt"))
+        assert gold.run_gold_incremental(spark, f"{folder}/state", f"{folder}/gold", NOW, **sizes) == dict.fromkeys(counts, 0)
+
+
+def test_gold_by_deltas_writes_only_what_changed(spark, folder, write_bronze):
+    landing = write_bronze([full(f"s{n}", n, DAYS[1], [f"a{n}"], date=str(1900 + n % 100)) for n in range(400)])
+    run = lambda: (incremental(spark, folder, landing), gold.run_gold_incremental(spark, f"{folder}/state", f"{folder}/gold", NOW))[1]
+    first = run()
+    assert first["artist_summary"] == 400
+    write_bronze([full("s7", 7000, DAYS[1], ["a7"], date="1907")])
+    second = run()
+    # One search of the counted values' buckets, and its parts' buckets of the summary.
+    assert 0 < second["yearly_release_metrics"] < 20 and 0 < second["artist_summary"] < 400
+    row = spark.read.parquet(f"{folder}/gold/artist_summary").where("artist_id = 'a7'").first()
+    assert row["total_recordings"] == 2
+
+
+def test_gold_is_made_good_after_a_run_that_died(spark, folder, write_bronze, monkeypatch):
+    landing = write_bronze([full("s1", 1, DAYS[2], ["a"])])
+    make = lambda: gold.run_gold_incremental(spark, f"{folder}/state", f"{folder}/gold", NOW)
+    incremental(spark, folder, landing)
+    make()
+    for step in ("replace_buckets", "touch", "values_changed"):
+        write_bronze([full(f"s-{step}", step, DAYS[1], [step])])
+        incremental(spark, folder, landing)
+        with monkeypatch.context() as broken:
+            broken.setattr(gold, step, lambda *a, **b: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                make()
+        make()
+        run_silver_to_gold(spark, f"{folder}/silver", f"{folder}/rebuilt", NOW)
+        for table, schema in GOLD.items():
+            read = lambda at: spark.read.schema(schema).parquet(f"{folder}/{at}/{table}").select(*schema.fieldNames())  # noqa: E731, B023
+            assert rows(read("gold")) == rows(read("rebuilt"))
