@@ -4,8 +4,9 @@ A page is a sequence of tokens: tags with the containers they stand in, and bloc
 equally often as each other on every page of a host (equal occurrence vectors) form an equivalence class. The
 class on the most pages that occurs once on each is the skeleton, if it keeps one order everywhere; another class
 is nested in it if it keeps one order inside one gap of the skeleton on every page where it occurs. Text in a valid
-class with tags is part of the template, as it never varies. What remains are the slots; a slot is main text by the
-containers around it. Occurrence vectors are kept as sums of page counts with random weights, so that a host of any
+class with tags is part of the template, as it never varies. What remains are the slots. The main slot is the innermost
+container that has most of what varies on a host's pages, with their headlines; in it, names of elements and classes
+only tell what stands beside the text. Occurrence vectors are kept as sums of page counts with random weights, so that a host of any
 size takes one row per token."""
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import html as entities
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import pairwise
 
 import pyarrow as pa
@@ -39,10 +41,18 @@ BLOCKS = CONTAINERS | frozenset(
 )
 BOILERPLATE = frozenset("head nav header footer aside form menu dialog button label fieldset".split())
 MAIN = frozenset(("main", "article"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Boilerplate inside a line of text: it ends with its block, whether or not it is closed.
+INLINE = frozenset(("button", "label"))
+COMMENTS = frozenset("comment comments disqus replies reply respond".split())
+# The elements for main text hold it if they have at least this part of the text that may be; else other slots do.
+MAIN_SHARE = 1 / 3
+# A container is the main slot of a host if it has this part of its pages' text that may be.
+SLOT_SHARE = 0.6
 # What holds the page or its main text is never beside it, whatever its names.
 WHOLE = MAIN | {"html", "body"}
 HINT_WORDS = (
-    "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments consent cookie "
+    "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
     "notification pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar widget"
@@ -98,14 +108,30 @@ def key_of(token: str) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+@dataclass
+class Block:
+    """A block of text: its token's key, the state of its slot, whether it is all links, the containers around it (the
+    keys of their paths), the form that it is in (-1 without one), and whether it is a headline."""
+
+    text: str
+    key: int
+    state: int
+    linked: bool
+    within: tuple[int, ...]
+    form: int
+    headline: bool
+
+
 class Page:
-    """A page's tokens (key, state of the slot that follows, whether a tag) and blocks (text, token key, last
-    tag's place, in a link)."""
+    """A page's tokens (key, state of the slot that follows, whether a tag) and blocks."""
 
     def __init__(self, source: str):
         self.tokens: list[tuple[int, int, bool]] = []
-        self.blocks: list[tuple[str, int, int, int, bool]] = []
+        self.blocks: list[Block] = []
         self.stack: list[tuple[str, str, bool, bool]] = []  # name, label, beside the main text, main
+        self.within: tuple[int, ...] = ()
+        self.form, self.forms, self.block = -1, 0, ""
+        self.had_main = False
         self.path, self.state = "", NEUTRAL
         self.parts: list[str] = []
         self.links, self.linked, self.block_beside = 0, True, False
@@ -131,6 +157,18 @@ class Page:
         if at < end:
             self.text(source[at:])
         self.flush()
+        self.settle_forms()
+
+    def settle_forms(self) -> None:
+        """A form that holds most of the page's text, in several blocks or in an element for main text, only wraps it. Any
+        other is beside the main text."""
+        mass = lambda blocks: sum(len(b.text) for b in blocks if b.state != OUTSIDE and not b.linked)
+        total = mass(self.blocks)
+        for form in {b.form for b in self.blocks} - {-1}:
+            inside = [b for b in self.blocks if b.form == form]
+            if 2 * mass(inside) < total or not any(b.state == CONTENT for b in inside) and len(inside) < 3:
+                for b in inside:
+                    b.state = OUTSIDE
 
     def text(self, raw: str) -> None:
         if raw.isspace():
@@ -145,7 +183,9 @@ class Page:
             if text:
                 state = OUTSIDE if self.block_beside else self.state
                 key = key_of(f"={self.path}={text}")
-                self.blocks.append((text, key, len(self.tokens), state, self.linked))
+                # A headline may well be a link; lists and runs of links are menus.
+                linked = self.linked and self.block not in HEADINGS
+                self.blocks.append(Block(text, key, state, linked, self.within, self.form, self.block == "h1"))
                 self.tokens.append((key, state, False))
             self.parts = []
         self.linked = True
@@ -153,14 +193,26 @@ class Page:
     def place(self) -> None:
         """The path and state after the stack has changed."""
         self.path = "/".join(label for _, label, _, _ in self.stack)
+        # Containers inside the main text are parts of it, and no slots of their own.
+        depth = next((k + 1 for k, (*_, main) in enumerate(self.stack) if main), len(self.stack))
+        self.within = tuple(key_of("/".join(label for _, label, _, _ in self.stack[: k + 1])) for k in range(depth))
         beside = any(b for _, _, b, _ in self.stack)
         self.state = OUTSIDE if beside else CONTENT if any(m for *_, m in self.stack) else NEUTRAL
 
     def open(self, name: str, attributes: str, source: str, at: int) -> int:
         label, words = hinted(attributes)
         inside = any(m for *_, m in self.stack)
-        # A header inside the main text holds its headings.
-        beside = name not in WHOLE and bool(words - {"header"} if inside else words)
+        if name in BLOCKS:
+            self.end_inline()
+        # Inside the main text only containers are named for what they are; headings and paragraphs for what they say.
+        # A header there holds its headings.
+        if inside:
+            words = words - {"header"} if name in CONTAINERS else frozenset()
+        beside = name not in WHOLE and bool(words)
+        # An article in or after the main text that is named a comment is one.
+        if name == "article" and (inside or self.had_main):
+            beside = not COMMENTS.isdisjoint(words)
+        self.had_main |= name in MAIN
         if name in RAW and not (name == "noscript" and inside):
             # Everything up to the end tag is the element's own; without one, all that follows a script or style is.
             if attributes.rstrip().endswith("/"):
@@ -172,12 +224,17 @@ class Page:
             return at
         if name in BLOCKS:
             self.flush()
+            self.block = name
             self.block_beside = beside and name not in CONTAINERS
         elif name == "a":
             self.links += 1
         if name in CONTAINERS:
-            outside = beside or (name in BOILERPLATE and not (name == "header" and inside))
-            self.stack.append((name, f"{name}[{label}]" if label else name, outside, name in MAIN))
+            # A form around the main text may only wrap it; that shows at the end of the page.
+            wraps = name == "form" and not inside
+            outside = beside or (name in BOILERPLATE and not wraps and not (name == "header" and inside))
+            self.stack.append((name, f"{name}[{label}]" if label else name, outside, name in MAIN and not beside))
+            if wraps and self.form < 0:
+                self.form, self.forms = self.forms, self.forms + 1
             self.place()
         elif name in BOILERPLATE:
             self.flush()
@@ -187,14 +244,24 @@ class Page:
             self.tokens.append((key_of(f"<{self.path}<{name}[{label}]"), self.state, True))
         return at
 
+    def end_inline(self) -> None:
+        """A block ends the buttons and labels that were left open."""
+        if self.stack and self.stack[-1][0] in INLINE:
+            self.flush()
+            while self.stack and self.stack[-1][0] in INLINE:
+                self.stack.pop()
+            self.place()
+
     def close(self, name: str) -> None:
         if name == "a":
             self.links = max(0, self.links - 1)
             return
         if name not in BLOCKS and name not in BOILERPLATE:
             return
+        if name in BLOCKS:
+            self.end_inline()
         self.flush()
-        self.block_beside = False
+        self.block, self.block_beside = "", False
         path = self.path
         if name in CONTAINERS or name in BOILERPLATE:
             depth = next((d for d in range(len(self.stack) - 1, -1, -1) if self.stack[d][0] == name), -1)
@@ -202,23 +269,40 @@ class Page:
             if depth < 0:
                 return
             del self.stack[depth:]
+            if not any(n == "form" for n, *_ in self.stack):
+                self.form = -1
             self.place()
         self.tokens.append((key_of(f">{path}>{name}"), self.state, True))
 
 
-def main_text(source: str | None, fixed: set[int]) -> str:
-    """The blocks of a page that are main text, one per line. `fixed`: keys of the template's texts."""
+def masses(page: Page) -> dict[int, list[int]]:
+    """For each container, and under 0 for the page: its depth, and the characters and headlines in it of text that may
+    be main text."""
+    out = {0: [-1, 0, 0]}
+    for b in page.blocks:
+        if b.state != OUTSIDE and not b.linked:
+            for depth, path in enumerate((0, *dict.fromkeys(b.within)), -1):
+                held = out.setdefault(path, [depth, 0, 0])
+                held[1] += len(b.text)
+                held[2] += b.headline
+    return out
+
+
+def main_text(source: str | None, fixed: set[int], slot: int | None = None) -> str:
+    """The blocks of a page that are main text, one per line. `fixed`: keys of the template's texts; `slot`: the
+    container that is the main slot of the page's host, if its template has one.
+
+    On a page that has it only that container counts. There the elements for main text decide if they hold a good part
+    of the text that may be; else all such text counts that is neither a mere link nor fixed."""
     page = Page(source or "")
-    has_main = any(state == CONTENT for _, state, _ in page.tokens)
-    out = []
-    for text, key, _, state, linked in page.blocks:
-        # What is inside an element for the main text stays, however often it repeats.
-        if state == CONTENT:
-            out.append(text)
-        # Without an element for the main text, all that is not beside it counts, but for mere links.
-        elif state == NEUTRAL and not has_main and not linked and key not in fixed:
-            out.append(text)
-    return "\n".join(out)
+    may = [b for b in page.blocks if b.state != OUTSIDE]
+    if slot is not None:
+        may = [b for b in may if slot in b.within] or may
+    free = [b for b in may if b.state == CONTENT or not b.linked and b.key not in fixed]
+    content = [b for b in may if b.state == CONTENT]
+    mass = lambda blocks: sum(len(b.text) for b in blocks)
+    chosen = content if content and mass(content) >= MAIN_SHARE * mass(free) else free
+    return "\n".join(b.text for b in chosen)
 
 
 def host_of(url: str) -> F.Column:
@@ -234,10 +318,12 @@ def page_tokens(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                rows = []
+                rows, within = [], []
                 for source in part.column(4).to_pylist():
                     seen: dict[int, list[int]] = {}
-                    for place, (key, _, is_tag) in enumerate(Page(source or "").tokens):
+                    page = Page(source or "")
+                    within.append([{"path": k, "depth": d, "chars": c, "heads": h} for k, (d, c, h) in masses(page).items()])
+                    for place, (key, _, is_tag) in enumerate(page.tokens):
                         if key in seen:
                             seen[key][0] += 1
                             seen[key][2] = place
@@ -246,13 +332,16 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     rows.append([{"key": k, "n": v[0], "at": v[1], "last": v[2], "tag": v[3]} for k, v in seen.items()])
                 fields = [("key", pa.int64()), ("n", pa.int64()), ("at", pa.int64()), ("last", pa.int64()), ("tag", pa.bool_())]
                 kind = pa.list_(pa.struct(fields))
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(rows, kind)], ["host", "digest", "r1", "r2", "tokens"])
+                path = pa.list_(pa.struct([(name, pa.int64()) for name in ("path", "depth", "chars", "heads")]))
+                lists = [pa.array(rows, kind), pa.array(within, path)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], *lists], ["host", "digest", "r1", "r2", "tokens", "within"])
 
     weight = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "digest"), F.lit(1 << 31))
     rows = pages.where("host <> ''").withColumn("digest", F.unhex(F.md5(F.coalesce("html", F.lit("")))))
     rows = rows.select("host", "digest", weight(1).alias("r1"), weight(2).alias("r2"), "html")
     token = "struct<key:bigint,n:bigint,at:bigint,last:bigint,tag:boolean>"
-    rows = map_arrow(rows, run, f"host string, digest binary, r1 bigint, r2 bigint, tokens array<{token}>")
+    path = "struct<path:bigint,depth:bigint,chars:bigint,heads:bigint>"
+    rows = map_arrow(rows, run, f"host string, digest binary, r1 bigint, r2 bigint, tokens array<{token}>, within array<{path}>")
     return rows.where(F.size("tokens") > 0).dropDuplicates(["host", "digest"])
 
 
@@ -335,7 +424,22 @@ def templates(pages: DataFrame) -> DataFrame:
     # Without an ordered skeleton there are no gaps.
     nested = plans.join(good.where(F.array_contains("good", F.lit(0).cast("bigint"))), "host")
     fixed = F.transform(F.filter("plan", is_fixed), lambda t: t["key"])
-    return staged(nested.select("host", fixed.alias("fixed")), "templates")
+    fixed = nested.select("host", fixed.alias("fixed"))
+    return staged(main_slots(rows, hosts, listed).join(fixed, "host", "left"), "templates")
+
+
+def main_slots(rows: DataFrame, hosts: DataFrame, listed: DataFrame) -> DataFrame:
+    """(host, slot): the main slot of each host with a skeleton: the innermost container on most of its pages that has
+    a good part of all their text that may be main text, and all headlines."""
+    each = rows.join(hosts, "host").select("host", "pages", F.explode("within").alias("w"))
+    sums = each.groupBy("host", "pages", "w.path").agg(
+        *(F.sum(f"w.{c}").alias(c) for c in ("chars", "heads")), F.max("w.depth").alias("depth"), F.count(F.lit(1)).alias("found_on")
+    )
+    total = sums.where("path = 0").select("host", F.col("chars").alias("all_chars"), F.col("heads").alias("all_heads"))
+    good = sums.where("path <> 0 AND found_on * 2 > pages").join(total, "host")
+    good = good.where((F.col("chars") >= SLOT_SHARE * F.col("all_chars")) & (F.col("heads") == F.col("all_heads")))
+    best = good.groupBy("host").agg(F.max(F.struct("depth", "chars", "path")).alias("best"))
+    return listed.select("host").join(best, "host", "left").select("host", F.col("best.path").alias("slot"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -350,10 +454,10 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("host", host_of("url"))
     # The templates are a written table: Spark broadcasts it if it is small; else it merges, and splits hosts
     # with many pages.
-    rows = rows.join(templates(rows), "host", "left").select("page_id", "url", "host", "html", "fixed")
+    rows = rows.join(templates(rows), "host", "left").select("page_id", "url", "host", "html", "fixed", "slot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, fixed = None, set()
+        host, fixed, slot = None, set(), None
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
@@ -361,8 +465,8 @@ def extract(pages: DataFrame) -> DataFrame:
                 for k, (name, source) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
                     if name != host:
                         host = name
-                        fixed = set(part.column(4)[k].as_py() or ())
-                    texts.append(main_text(source, fixed))
+                        fixed, slot = set(part.column(4)[k].as_py() or ()), part.column(5)[k].as_py()
+                    texts.append(main_text(source, fixed, slot))
                 sizes = pa.array([len(t) for t in texts], pa.int64())
                 columns = [*part.columns[:2], pa.array(texts, pa.string()), sizes]
                 yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])

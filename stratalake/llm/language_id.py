@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import map_arrow
@@ -128,37 +128,42 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          bound: int = TRAINING_TEXTS) -> dict[str, np.ndarray]:
-    """A prototype per non-null language of the given rows. Of a language with more than `bound` rows about that
-    many are taken, by a hash of the id. Languages are few, so the prototypes (4 KB each) come to the driver;
-    texts do not."""
-    rows = labelled.where(F.col(lang_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
-    )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not counts:
+def learn(
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", bound: int = TRAINING_TEXTS
+) -> dict[str, np.ndarray]:
+    """A prototype per non-null language of the given rows. Of a language with more than `bound` rows exactly that
+    many are taken, those of the smallest hashes of text and row number, so that neither ids nor copies decide.
+    Languages are few, so the prototypes (4 KB each) come to the driver; texts do not. The row number follows the
+    frame's partitions: the same files in the same splits give the same draw."""
+    text = F.col(text_col).cast("string").alias("text")
+    rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), text, F.monotonically_increasing_id().alias("row"))
+    rows = rows.where(F.col("lang").isNotNull())
+    rows = rows.select("lang", "text", F.xxhash64(F.lit(SEED), F.coalesce("text", F.lit("")), "row").alias("draw"))
+    # Each task hands on `bound` numbers per language at most.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = rows.select("lang", "draw").withColumn("place", place).where(F.col("place") <= bound)
+    limits = {r["lang"]: r["limit"] for r in drawn.groupBy("lang").agg(F.max("draw").alias("limit")).collect()}
+    if not limits:
         return {}
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, bound / n)).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit(SEED), F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.where(draw < share).repartition(16)
+    limit = F.lit(None).cast("bigint")
+    for lang, value in limits.items():
+        limit = F.when(F.col("lang") == lang, F.lit(value)).otherwise(limit)
+    sample = rows.where(F.col("draw") <= limit).select("lang", "text").repartition(16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)
-                vectors, _ = profiles().texts([t or "" for t in part.column(2).to_pylist()])
-                langs = np.array(part.column(1).to_pylist(), object)
+                vectors, _ = profiles().texts([t or "" for t in part.column(1).to_pylist()])
+                langs = np.array(part.column(0).to_pylist(), object)
                 for lang in set(langs.tolist()):
                     sums[lang] = sums.get(lang, 0.0) + unit(vectors[langs == lang]).sum(0, dtype=np.float64)
         names, values = list(sums), [v.tolist() for v in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.list_(pa.float64()))], ["lang", "v"])
 
     parts = map_arrow(sample, run, "lang string, v array<double>").collect()  # 16 tasks x languages
-    found = {lang: np.zeros(DIMENSIONS) for lang in counts}
+    found = {lang: np.zeros(DIMENSIONS) for lang in limits}
     for r in parts:
         found[r["lang"]] += np.array(r["v"])
     return {lang: v for lang, v in sorted(found.items()) if v.any()}

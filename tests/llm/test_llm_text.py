@@ -16,7 +16,9 @@ from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import PROSE
+from pyspark.sql import functions as F
 
+from stratalake.llm.common import map_arrow
 from stratalake.llm import bpe, hilbert_shards, html_extract, language_id, quality, secret_scan, warc
 from stratalake.llm.registry import QUERIES
 
@@ -59,6 +61,54 @@ def test_long_texts_are_read_whole(monkeypatch):
     assert cosine > 0.999 and (whole[1] == pieces[1]).all()
 
 
+def plain_vector(text):
+    """A text's windows bound and summed one by one."""
+    p = language_id.Profiles()
+    shown, last = [], False
+    for ch in f" {text.lower()} ":
+        if ch.isalpha():
+            shown.append(p.random(ord(ch)).astype(int))
+        elif not shown or last:
+            shown.append(p.random(0).astype(int))
+        last = ch.isalpha()
+    total = np.zeros(language_id.DIMENSIONS)
+    for a, b, c in zip(shown, shown[1:], shown[2:]):
+        total += np.roll(a, 2) * np.roll(b, 1) * c
+    return total
+
+
+def test_predictions_equal_a_plain_version(spark):
+    texts = [("fr", "le chat est là, et l'été aussi"), ("fr", "où est la gare ?"), ("en", "the cat is here"), ("en", "where is the station"),
+             ("de", "wo ist der Bahnhof"), ("de", "die Katze ist hier über")]
+    asked = ["la gare est là", "the station is here", "der Bahnhof über der Stadt", "chat", "12 !", None, "日本"]
+    labelled = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id bigint, text string, lang string")
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string")
+    norm = lambda v: v / np.linalg.norm(v)
+    prototypes = {lang: norm(sum(norm(plain_vector(t)) for x, t in texts if x == lang)) for lang in ("de", "en", "fr")}
+    learned = language_id.learn(labelled)
+    assert all(np.allclose(norm(learned[lang]), v, atol=1e-5) for lang, v in prototypes.items())
+    for r in language_id.predict(docs, learned).collect():
+        text = asked[r.doc_id] or ""
+        if not any(map(str.isalpha, text)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosines = {lang: float(norm(plain_vector(text)) @ v) for lang, v in prototypes.items()}
+        best = max(cosines, key=cosines.get)
+        assert r.lang_pred == best and abs(r.score - max(0, cosines[best])) < 1e-5
+
+
+@pytest.mark.parametrize("ids", ["cast(null as bigint)", "7", "id"])
+def test_training_draw_does_not_depend_on_ids(spark, ids, monkeypatch):
+    """A language of copies under one id, or none, is learned from exactly the bound."""
+    docs = spark.range(3000).selectExpr(f"{ids} doc_id", "if(id % 100 = 0, 'wo ist der Bahnhof', 'where is the station') text",
+                                        "if(id % 100 = 0, 'de', 'en') lang")
+    seen = []
+    monkeypatch.setattr(language_id, "map_arrow", lambda df, run, schema: seen.append(df) or map_arrow(df, run, schema))
+    learned = language_id.learn(docs, bound=200)
+    assert sorted(learned) == ["de", "en"]
+    assert {r["lang"]: r["count"] for r in seen[0].groupBy("lang").count().collect()} == {"de": 30, "en": 200}
+
+
 def test_languages_without_labels_are_unknown(spark):
     docs = spark.createDataFrame([(1, "text", None), (2, None, None)], "doc_id bigint, text string, lang string")
     assert {(r.doc_id, r.lang_pred, r.score) for r in language_id.predict(docs, language_id.learn(docs)).collect()} == {(1, "und", 0.0), (2, "und", 0.0)}
@@ -427,3 +477,50 @@ def test_template_texts_are_nested_in_the_skeleton(spark):
         one.append((40 + i, name.format("swap"), f"<html><body>{''.join(swap[:: 1 if i % 2 else -1])}<p>{i}</p></body></html>"))
         want[40 + i] = f"alpha\nbeta\n{i}" if i % 2 else f"beta\nalpha\n{i}"
     assert extracted(spark, one + odd + two) == want
+
+
+PART = "The text of this part goes on for a while and says something that no other part says, number {}."
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ('<article><h1>T</h1><h2 id="related">Related work</h2><p class="search">s</p><p id="notice">n</p></article>', "T|Related work|s|n"),
+        ('<article><h2 id="navigation">N</h2><p class="byline">By A</p><div class="related">x</div></article>', "N|By A"),
+        ('<main><p>text</p></main><article class="comment"><p>c</p></article>', "text"),
+        ('<main><p>text</p><article class="comment"><p>c</p></article></main>', "text"),
+        ('<article class="comment"><p>the only one</p></article>', "the only one"),
+        (f'<div><p>{PART.format(1)}</p><p>{PART.format(2)}</p></div><article><p>teaser</p></article>', f"{PART.format(1)}|{PART.format(2)}|teaser"),
+        (f'<form><nav>n</nav><div><p>{PART.format(1)}</p><p>{PART.format(2)}</p><p>end</p></div></form>', f"{PART.format(1)}|{PART.format(2)}|end"),
+        ('<article><p>text</p><form><p>subscribe</p></form></article>', "text"),
+        ('<article><p>a <button>push<p>b</p><p>c</p></article>', "a|b|c"),
+        ('<body><h1><a href="/x">Linked headline</a></h1><ul><li><a href="/y">menu</a></li></ul><p>t</p>', "Linked headline|t"),
+    ],
+)
+def test_names_do_not_cost_text(source, want):
+    assert html_extract.main_text(source, set()) == want.replace("|", "\n")
+
+
+def test_same_text_without_elements_for_main_text(spark):
+    """The slots decide: with `main` and `article` renamed to `div` the same text comes out of the given pages."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    renamed = pages.withColumn("html", F.regexp_replace("html", "(</?)(main|article)(?=[ >])", "$1div"))
+    hosts = html_extract.templates(pages.withColumn("host", html_extract.host_of("url")))
+    known = {r.host for r in hosts.collect() if r.slot is not None}
+    with_host = pages.withColumn("host", html_extract.host_of("url")).where(F.col("host").isin(list(known))).select("page_id")
+    wanted = {r.page_id for r in with_host.collect()}
+    texts = [{r.page_id: r.text for r in html_extract.extract(p).collect() if r.page_id in wanted} for p in (pages, renamed)]
+    assert len(wanted) > 20 and texts[0] == texts[1]
+
+
+def test_the_template_changes_results(spark):
+    """Text beside the main slot that has no telling name varies with the page, and only the template tells it apart."""
+    rng = random.Random(4)
+    words = lambda n: " ".join(rng.choice(["river", "bridge", "stone", "water", "winter", "market"]) + str(rng.randint(0, 99)) for _ in range(n))
+    parts = [(words(8), words(60), words(9)) for _ in range(12)]
+    source = "<html><body><div class='x1'><p>{2}</p></div><div class='x2'><h1>{0}</h1><p>{1}</p></div></body></html>"
+    rows = [(i, f"http://h.example/{i}", source.format(*p)) for i, p in enumerate(parts)]
+    rows += [(100, "http://other.example/1", source.format(*parts[0]))]
+    found = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(found[i] == f"{p[0]}\n{p[1]}" for i, p in enumerate(parts))
+    assert found[100] == f"{parts[0][2]}\n{parts[0][0]}\n{parts[0][1]}"
