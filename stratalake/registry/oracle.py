@@ -256,6 +256,8 @@ NESTED = {
     "count(release_date) AS with_date FROM albums GROUP BY artist_search",
     "count_distinct": "SELECT artist_search, count(DISTINCT country) AS countries, count(DISTINCT release_date) AS dates "
     "FROM albums GROUP BY artist_search",
+    "distinct_sketches": "SELECT artist_search, count(DISTINCT country) AS exact_country, count(DISTINCT album_id) AS exact_album_id, "
+    "true AS near_country, true AS near_album_id FROM albums GROUP BY artist_search",
     "avg_ignore_null": f"SELECT artist_search, {half_up('avg(track_count)', 4)} AS avg_tracks FROM albums GROUP BY artist_search",
     "min_max_date": "SELECT artist_search, min(first_release_date) AS earliest, max(first_release_date) AS latest "
     "FROM songs GROUP BY artist_search",
@@ -383,6 +385,10 @@ FLAT = {
     "format_iso_utc": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS iso FROM events",
     "replace_substring": f"SELECT page_id, replace('{v.PENDING_FOLDER}/' || url, '{v.PENDING_FOLDER}', '{v.DONE_FOLDER}') AS path, "
     "md5(replace(html, '<', '[')) AS html_md5 FROM pages",
+    "schema_drift": "SELECT d.*, n AS record_count FROM (VALUES ('keys[]', 'contradicted', 'BIGINT', 'OBJECT'), "
+    "('keys[].k', 'added', NULL, 'BIGINT'), ('new', 'added', NULL, 'OBJECT'), ('new.a-b', 'added', NULL, 'STRING'), "
+    "('old', 'lost', 'BOOLEAN', NULL), ('price', 'widened', 'BIGINT', 'DECIMAL'), ('state', 'contradicted', 'STRING', 'BIGINT')"
+    ") d(path, change, before, after), (SELECT count(*) AS n FROM orders)",
     "json_decode_encode": "SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k, "
     "'{\"k\":' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}' AS encoded FROM events",
 }

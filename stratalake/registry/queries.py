@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratalake import fixed_values as v
 from stratalake.functions import dates as d
 from stratalake.functions import values as f
-from stratalake.operators import aggregates, filters, generators, joins, ordering, profile, quality
+from stratalake.operators import aggregates, filters, generators, joins, ordering, profile, quality, sketches
 from stratalake.operators import projections as p
 from stratalake.operators.dedup import keep_any, keep_first
 from stratalake.operators.unions import union_searches
@@ -20,7 +20,7 @@ from stratalake.registry.stage import Layers, comparable, layers
 from stratalake.operators.generators import LINEAGE
 from stratalake.schemas import BRONZE, GOLD, SILVER, SILVER_KEYS
 from stratalake.session import work_dir
-from stratalake.sources import catalog, readers, writers
+from stratalake.sources import catalog, drift, readers, writers
 from stratalake.streaming import changefeed, ingest, upsert
 from stratalake.streaming import gold as gold_deltas
 
@@ -108,6 +108,19 @@ def inspect_schema(at: Layers) -> DataFrame:
     return readers.inspect_schema(at.spark.read.json(at.bronze_json()))
 
 
+@query
+def schema_drift(at: Layers) -> DataFrame:
+    """Two batches of records made from all orders; the second has gained, lost and changed fields."""
+    key, history = c("o_orderkey"), work_dir(at.spark, "schemas")
+    first = F.struct(key.alias("id"), F.floor("o_totalprice").alias("price"), c("o_orderstatus").alias("state"), F.array(key).alias("keys"), (key > 0).alias("old"))
+    second = F.struct(key.alias("id"), (F.floor("o_totalprice") + F.lit(0.5).cast("decimal(2,1)")).alias("price"), key.alias("state"),
+                      F.array(F.struct(key.alias("k"))).alias("keys"), F.struct(c("o_orderstatus").alias("a-b")).alias("new"))
+    for batch, record in (("1", first), ("2", second)):
+        found = drift.record_schema(at.spark, table(at, "orders").select(F.to_json(record).alias("text")), history, batch)
+    records = at.spark.read.schema(drift.HISTORY).parquet(history).where("batch = '2'").agg(F.max("record_count")).first()[0]
+    return found.withColumn("record_count", F.lit(records).cast("bigint"))
+
+
 def land_eighth_last(at: Layers) -> str:
     """Bronze in two runs, of which the later one, an eighth, is a single file: it grows with the input, is written as
     its rows pass by, and is read in splits."""
@@ -525,6 +538,24 @@ def count_distinct(at: Layers) -> DataFrame:
     )
 
 
+@query
+def distinct_sketches(at: Layers) -> DataFrame:
+    """Sketches of two batches, kept as Parquet and united, against exact counts of the whole."""
+    keys, columns, path = ["artist_search"], ["country", "album_id"], work_dir(at.spark, "sketches")
+    albums = at.silver("albums")
+    odd = F.length("album_id") % 2 == 1
+    for number, part in enumerate((albums.where(odd), albums.where(~odd))):
+        writers.write_parquet_overwrite(sketches.distinct_sketches(part, keys, columns), f"{path}/batch={number}")
+    kept = at.spark.read.parquet(path)
+    united = sketches.estimate_distinct(sketches.unite_sketches(kept, keys, columns), keys, columns)
+    exact = albums.groupBy(*keys).agg(*(F.count_distinct(x).alias(f"exact_{x}") for x in columns))
+    rows = united.join(exact, "artist_search")
+    near = lambda x: F.abs(c(x) - c(f"exact_{x}")) <= F.ceil(c(f"exact_{x}") * sketches.ERROR_BOUND)
+    return rows.select(
+        "artist_search", "exact_country", "exact_album_id", near("country").alias("near_country"), near("album_id").alias("near_album_id"),
+    )
+
+
 @query
 def avg_ignore_null(at: Layers) -> DataFrame:
     mean = f.round_half_up(F.avg("track_count"), 4)
