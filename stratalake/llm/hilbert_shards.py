@@ -57,8 +57,8 @@ def quantised(docs: DataFrame, column: str, out: str, bits: int = BITS) -> DataF
 
 
 def length_cell(size: Column, bits: int = BITS) -> Column:
-    """Four cells per doubling of the size; sizes of a terabyte and more share the last."""
-    return F.least(F.floor(F.log2(size.cast("double")) * 4 - 16), F.lit((1 << bits) - 1.0)).cast("int")
+    """Two cells per doubling of the size from 16 bytes on; sizes of 49 GB (2**35.5) and more share the last."""
+    return F.least(F.floor(F.log2(size.cast("double")) * 2 - 8), F.lit((1 << bits) - 1.0)).cast("int")
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",

@@ -1,6 +1,6 @@
 r"""Web archives: writing pages as WARC records, and reading archives whose payloads may hold anything.
 
-Reading cuts files at the magic line `WARC/1.1\r\n`, wherever it stands. Each piece that begins with a sound
+Reading cuts files at the magic `WARC/1.`, wherever it stands; any minor version will do. Each piece that begins with a sound
 record header is a candidate, and its length tells where its successor must start. Only what can be reached from
 a file's start by these steps is a record: candidates point to their successors, and pointer jumping (each round
 doubles the step) marks the chain from offset 0. Magic inside a payload starts a piece that nothing reachable
@@ -15,7 +15,7 @@ from stratalake.llm.common import staged
 from stratalake.session import work_dir
 
 CRLF = "\r\n"
-MAGIC = "WARC/1.1" + CRLF
+MAGIC = "WARC/1."
 RECORDS_PER_FILE = 4000
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -120,7 +120,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     length = header_field(F.col("header"), "Content-Length").try_cast("bigint")
     df = df.withColumn("head", F.octet_length("header").cast("bigint") + 4).withColumn("length", length)
     kind = header_field(F.col("header"), "WARC-Type")
-    sound = (kind != "") & F.col("length").isNotNull() & (F.col("bytes") >= F.col("head"))
+    versioned = value.rlike(r"^[0-9]+\r\n")
+    sound = versioned & (kind != "") & F.col("length").isNotNull() & (F.col("bytes") >= F.col("head"))
     df = df.withColumn("kind", F.when(sound, kind))
     block = F.expr("substring(cast(value AS binary), cast(head + 1 AS int), cast(length AS int))")
     complete = F.col("kind").isNotNull() & (F.col("bytes") >= F.col("head") + F.col("length"))
@@ -188,12 +189,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     broken = chain.where("payload_sha1 IS NULL").select("file", "at", "next", "head", "length", "header", "kind")
     if broken.isEmpty():
         return whole
-    # Records cut by magic in their payload: join them with the pieces in their range and put the bytes together
-    # again. A record's pieces are found by the number of the record's first piece, counted along the file:
-    # `owner` is the last record at or before it.
+    # Records cut by magic in their payload: put the bytes of their pieces together again. A piece belongs to the last
+    # record at or before it.
+    spans = with_owners(found, chain.select("file", "at"))
     cut = broken.selectExpr("file", "at AS owner", "next", "head", "length", "header AS of", "kind AS is")
-    spans = found.select("file", "block", "line", "at").join(F.broadcast(cut) if cut.count() <= 10_000 else cut, "file")
-    spans = spans.where("at >= owner AND at < next")
+    spans = spans.join(cut, ["file", "owner"]).where("at < next")
     # Lines are numbered by task; the same number within (file, block) names the same piece on a second read.
     rank = F.row_number().over(Window.partitionBy("file", "block").orderBy("line"))
     ranks = found.select("file", "block", "line").withColumn("rank", rank)
@@ -210,6 +210,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return whole.unionByName(parts)
 
 
+def with_owners(found: DataFrame, records: DataFrame) -> DataFrame:
+    """file, block, line, at, owner: each piece with the offset of the last record at or before it (null before the
+    first), as a running maximum: over the pieces of a block, and over the blocks of a file."""
+    rows = found.select("file", "block", "line", "at").join(records.withColumn("record", F.col("at")), ["file", "at"], "left")
+    in_block = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("file", "block").agg(F.max("record").alias("last"))
+    blocks = blocks.withColumn("before", F.max("last").over(in_file)).drop("last")
+    rows = rows.withColumn("here", F.max("record").over(in_block)).join(blocks, ["file", "block"])
+    return rows.select("file", "block", "line", "at", F.coalesce("here", "before").alias("owner"))
+
+
 def page_of(field: Column) -> Column:
     return F.regexp_extract(field, r"<urn:stratalake:page:(-?[0-9]+)>", 1).try_cast("bigint")
 

@@ -3,6 +3,8 @@
 import base64
 import gzip
 import hashlib
+import math
+import os
 import random
 import re
 import zlib
@@ -524,3 +526,54 @@ def test_the_template_changes_results(spark):
     found = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert all(found[i] == f"{p[0]}\n{p[1]}" for i, p in enumerate(parts))
     assert found[100] == f"{parts[0][2]}\n{parts[0][0]}\n{parts[0][1]}"
+
+
+def test_shards_equal_a_plain_sort(spark):
+    """Cells by ranks among sorted distinct values, the curve, the order and the cuts, over all documents."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+    more = [(None, "no id", None, None), (7, None, "xx", None), (7, None, "xx", None), (8, "", None, "a")]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema)).repartition(5)
+    rows = docs.collect()
+    cell = lambda v, values: 0 if v is None else values.index(v) * 64 // len(values)
+    langs, sources = (sorted({r[c] for r in rows} - {None}) for c in ("lang", "source"))
+    placed = []
+    for r in rows:
+        data = (r.text or "").encode()
+        size = len(data) + 16
+        z = min(int(math.floor(math.log(size) / math.log(2) * 2 - 8)), 63)
+        curve = int(hilbert_shards.hilbert_index(np.array([[cell(r.lang, langs), cell(r.source, sources), z]]))[0])
+        placed.append((curve, r.doc_id is not None, r.doc_id or 0, zlib.crc32(data), size))
+    placed.sort()
+    n, want = len(placed), []
+    for shard in range(40):
+        run = placed[shard * n // 40 : (shard + 1) * n // 40]
+        want += [(i if known else None, size, crc, curve, shard, slot) for slot, (curve, known, i, crc, size) in enumerate(run)]
+    found = hilbert_shards.assign_shards(docs).collect()
+    assert sorted(map(repr, ((r.doc_id, r.size, r.text_crc32, r.curve, r.shard, r.slot) for r in found))) == sorted(map(repr, want))
+
+
+def test_sizes_spread_over_the_length_axis(spark):
+    sizes = spark.createDataFrame([(16,), (31,), (32,), (10**6,), (10**9,), (10**12,)], "n bigint")
+    cells = [r[0] for r in sizes.select(hilbert_shards.length_cell(F.col("n"))).collect()]
+    assert cells[0] == 0 and cells[2] == 2 and cells == sorted(cells) and cells[3] < cells[4] < 63 and cells[5] == 63
+
+
+@pytest.mark.parametrize("version", ["1.0", "1.1"])
+def test_archives_of_both_versions_are_read(spark, folder, version):
+    """Many cut records in one file, in splits of a few bytes each."""
+    payloads = [f"p{i} " + "".join(f"WARC/1.{j % 3}\r\nWARC-Type: x\r\nContent-Length: {j}\r\n\r\n" for j in range(i % 7)) for i in range(60)]
+    records = []
+    for i, payload in enumerate(payloads):
+        http = f"HTTP/1.1 200 OK\r\nContent-Length: {len(payload)}\r\n\r\n{payload}"
+        records.append(f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:stratalake:page:{i}>\r\nContent-Length: {len(http)}\r\n\r\n{http}\r\n\r\n")
+    os.makedirs(folder)
+    with open(f"{folder}/a.warc", "w", newline="") as out:
+        out.write("".join(records))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.page_records(warc.read_archives(spark, folder)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == {i: (len(p), base64.b32encode(hashlib.sha1(p.encode()).digest()).decode()) for i, p in enumerate(payloads)}
