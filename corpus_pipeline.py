@@ -6,13 +6,13 @@ computed twice."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.bpe import decode_documents, encode_documents
-from stratalake.llm.common import staged
+from stratalake.llm.common import fresh, staged
 from stratalake.llm.exact_dedup import drop_duplicates
-from stratalake.llm.mixing import mix_rows
+from stratalake.llm.mixing import document_key, mix_rows, order_key
 from stratalake.llm.near_dup import drop_near_duplicates
 from stratalake.llm.quality import keep_good
 
@@ -38,9 +38,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of every remaining copy, and the SHA-256 of the text that its ids decode to."""
-    rows = decode_documents(encode_documents(docs))
-    return rows.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens and ids of every remaining copy, the SHA-256 of the text that its ids decode to, and what tells
+    copies apart: copy (from 1 for each document) and order_key, by which sorting gives the mixed order."""
+    key = fresh(docs, "key")
+    keyed = docs.withColumn(key, document_key(F.col("doc_id"), F.col("text")))
+    rows = decode_documents(encode_documents(keyed, carry=(key,)))
+    rows = rows.withColumn("decoded_sha256", F.sha2("decoded", 256))
+    same = Window.partitionBy(key, "decoded_sha256").orderBy("n_tokens")
+    rows = rows.withColumn("copy", F.row_number().over(same))
+    return rows.select("doc_id", "n_tokens", "ids", "decoded_sha256", "copy", order_key(F.col(key), F.col("copy")).alias("order_key"))
 
 
 STAGES = [

@@ -164,10 +164,14 @@ def coder(path: str) -> WordBpe:
     return _coders[path]
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids): the whole texts' ids as little-endian 32-bit integers. A null text is the empty
-    text, which has no tokens. One row per row of the input, whatever its other columns; no shuffle."""
+def encode_documents(
+    docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, n_tokens, ids) and the carried columns: the whole texts' ids as little-endian 32-bit integers. A null
+    text is the empty text, which has no tokens. One row per row of the input, whatever its other columns; no shuffle."""
     path = path or default_path()
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
+    names = ["doc_id", "n_tokens", "ids", *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
@@ -176,26 +180,28 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
                 part = batch.slice(at, ROWS_AT_ONCE)
                 ids = [bpe.encode(t or "") for t in part.column(1).to_pylist()]
                 counts = pa.array([len(i) // 4 for i in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), counts, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), counts, pa.array(ids, pa.binary()), *part.columns[2:]], names)
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(rows, run, "doc_id bigint, n_tokens bigint, ids binary")
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:]]
+    return map_arrow(rows, run, ", ".join(["doc_id bigint, n_tokens bigint, ids binary", *kinds]))
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded) from (doc_id, n_tokens, ids). Null ids decode to the empty text."""
+    """The columns of `encode_documents`, and `decoded`. Null ids decode to the empty text."""
     path = path or default_path()
+    names = [*encoded.columns, "decoded"]
+    at_ids = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                texts = pa.array([bpe.decode(i or b"") for i in part.column(2).to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, texts], ["doc_id", "n_tokens", "ids", "decoded"])
+                texts = pa.array([bpe.decode(i or b"") for i in part.column(at_ids).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names)
 
-    rows = encoded.select("doc_id", "n_tokens", "ids")
-    return map_arrow(rows, run, "doc_id bigint, n_tokens bigint, ids binary, decoded string")
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields]
+    return map_arrow(encoded, run, ", ".join([*kinds, "decoded string"]))
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:

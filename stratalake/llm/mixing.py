@@ -67,6 +67,16 @@ def target_rates(docs: DataFrame, weights: dict[str, float] | None = None, size:
     return counts.select("source", (F.col("weight") * F.lit(scale) / F.col("n")).alias("rate"))
 
 
+def document_key(doc_id: Column, text: Column) -> Column:
+    """What a document is known by: its id, or its text's digest where the id is null."""
+    return F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit(""))))
+
+
+def order_key(key: Column, copy: Column, seed: int = SEED) -> Column:
+    """Where a copy stands in the shuffled order."""
+    return F.md5(F.concat_ws(":", F.lit("order"), F.lit(str(seed)), key, copy.cast("string")))
+
+
 def mix(docs: DataFrame, rates: DataFrame, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source",
         text_col: str = "text", copy_col: str = "copy", order_col: str = "order_key") -> DataFrame:
     """Every document as often as its count says, in globally shuffled order, with columns `copy` (from 1) and
@@ -77,14 +87,13 @@ def mix(docs: DataFrame, rates: DataFrame, seed: int = SEED, id_col: str = "doc_
     documents give no rows."""
     key, rate, n = fresh(docs, "key"), fresh(docs, "rate"), fresh(docs, "n")
     rows = docs.drop(copy_col, order_col)
-    rows = rows.withColumn(key, F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    rows = rows.withColumn(key, document_key(F.col(id_col), F.col(text_col)))
     # Source names may differ from `rates` only in the column's name.
     rates = rates.select(F.col("source").alias(source_col), F.col("rate").alias(rate))
     rows = left_join_table(rows, rates, source_col)
     rows = rows.withColumn(n, poisson_count(F.col(rate), F.col(key), seed))
     rows = rows.withColumn(copy_col, F.explode(F.when(F.col(n) > 0, F.sequence(F.lit(1), F.col(n)))))
-    order = F.md5(F.concat_ws(":", F.lit("order"), F.lit(str(seed)), F.col(key), F.col(copy_col).cast("string")))
-    return rows.withColumn(order_col, order).drop(key, rate, n).orderBy(order_col)
+    return rows.withColumn(order_col, order_key(F.col(key), F.col(copy_col), seed)).drop(key, rate, n).orderBy(order_col)
 
 
 def mix_rows(docs: DataFrame) -> DataFrame:

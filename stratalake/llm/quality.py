@@ -178,15 +178,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that `judge` keeps, with their own columns. The votes are counted over all rows first; then each
-    row is judged where it is read, so no text is shuffled or stored."""
+    """The rows that `judge` keeps, with their own columns. Each text is measured once: the rows are written with
+    their votes, which are counted over all of them, and then judged where they are read again."""
     df, names = measured(docs, text_col)
-    model = fit_votes(df, names["votes"])
-    kept = ~base_failed(F.col(names["measures"])) & (model.posterior(F.col(names["votes"])) >= 0.5)
-    # A filter moves below the columns it reads, and would repeat their long expressions at each use; it stays
-    # above a column that is not a function of the row.
-    row = fresh(df, "row")
-    return df.withColumn(row, F.monotonically_increasing_id()).where(kept & (F.col(row) >= 0)).select(*docs.columns)
+    failed = fresh(docs, "failed")
+    rows = df.withColumn(failed, base_failed(F.col(names["measures"]))).select(*docs.columns, failed, names["votes"])
+    rows = staged(rows, "voted")
+    model = fit_votes(rows, names["votes"])
+    return rows.where(~F.col(failed) & (model.posterior(F.col(names["votes"])) >= 0.5)).select(*docs.columns)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

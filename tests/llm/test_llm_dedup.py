@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -31,26 +33,94 @@ def test_of_repeated_rows_one_stays(spark):
     assert sorted(map(repr, kept)) == sorted(map(repr, [df.where("text = ' same'").first(), df.where("text = 'same'").first(), df.where("text = 'n'").first()]))
 
 
+def documents(spark, *rows):
+    return spark.createDataFrame(list(rows), "doc_id bigint, text string")
+
+
+def forget_catalog(spark):
+    """Only the catalog's entries, as a new session would; the files stay."""
+    for table in spark.catalog.listTables():
+        if table.name.startswith("digests_"):
+            spark.sql(f"DROP TABLE {table.name}")
+
+
 def test_index_persists_and_takes_batches(spark, folder):
-    batch = lambda *rows: spark.createDataFrame(list(rows), "doc_id bigint, text string")
     index = exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=4)
-    exact_dedup.find_duplicates(batch((5, "a"), (6, "b")), index).collect()
-    spark.sql(f"DROP TABLE {index.table}")  # only the catalog's entry: the files stay
+    exact_dedup.find_duplicates(documents(spark, (5, "a"), (6, "b")), index).collect()
+    forget_catalog(spark)
     index = exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=4)
-    second = batch((1, "a"), (2, "c"), (3, "c"))
+    second = documents(spark, (1, "a"), (2, "c"), (3, "c"))
     found = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.find_duplicates(second, index).collect()}
     assert found == {1: (5, False), 2: (2, True), 3: (2, False)}
     again = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.find_duplicates(second, index).collect()}
     assert again == found and index.rows().count() == 3
 
 
-def test_index_is_not_shuffled(spark, folder):
+def test_reopened_index_keeps_its_buckets(spark, folder):
+    """Three sessions, each asking for another number of buckets."""
+    docs = spark.range(300).selectExpr("id doc_id", "concat('text ', id) text")
+    for buckets in (8, 3, 16):
+        forget_catalog(spark)
+        index = exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=buckets)
+        assert index.buckets == 8
+        found = exact_dedup.find_duplicates(docs, index).collect()
+        assert all(r.kept and r.keep_id == r.doc_id for r in found)
+        assert index.rows().count() == 300
+
+
+def test_indexes_of_similar_paths_are_apart(spark, folder):
+    deep = "x" * 120
+    paths = [f"{folder}/a_b/{deep}", f"{folder}/a-b/{deep}", f"{folder}/a/b/{deep}"]
+    for n, path in enumerate(paths):
+        index = exact_dedup.DigestIndex(spark, path, buckets=2)
+        assert index.rows().count() == 0
+        exact_dedup.find_duplicates(documents(spark, *[(i, f"t{i}") for i in range(n + 1)]), index).collect()
+    assert [exact_dedup.DigestIndex(spark, p).rows().count() for p in paths] == [1, 2, 3]
+
+
+def test_a_folder_of_something_else_is_no_index(spark, folder):
+    spark.range(3).write.parquet(folder)
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, folder)
+
+
+def test_generations_are_merged_and_unfinished_ones_ignored(spark, folder, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "GENERATIONS", 2)
+    index = exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=2)
+    for n in range(5):
+        exact_dedup.find_duplicates(documents(spark, (n, f"t{n}"), (n + 100, "t0")), index).collect()
+        assert len(index.generations()) <= 3 and index.rows().count() == n + 1
+    # What dead runs leave: a merge that was marked and not finished, a generation without its mark.
+    os.makedirs(f"{folder}/index/merged=90")
+    os.makedirs(f"{folder}/index/generation=91")
+    index = exact_dedup.DigestIndex(spark, f"{folder}/index")
+    assert index.rows().count() == 5
+    exact_dedup.find_duplicates(documents(spark, (9, "t9")), index).collect()
+    assert sorted(r.keep_id for r in index.rows().collect()) == [0, 1, 2, 3, 4, 9]
+
+
+@pytest.mark.parametrize("batches", [1, 2, 7])
+def test_batches_of_a_corpus_give_one_answer(spark, folder, batches):
+    rng = random.Random(batches)
+    docs = [(rng.choice([None, i - 30, i, 1 << 62, -(1 << 62)]), rng.choice("abcdefgh")) for i in range(120)]
+    index = exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=3)
+    rows = exact_dedup.find_duplicates(documents(spark, *docs).repartition(4), index, batches=batches).collect()
+    ids = {t: [d for d, x in docs if x == t] for _, t in docs}
+    best = {hashlib.sha256(t.encode()).hexdigest(): (min((d for d in of if d is not None), default=None), len(of)) for t, of in ids.items()}
+    assert len(rows) == len(docs) and sum(r.kept for r in rows) == len(best)
+    assert all((r.keep_id, r.group_size) == best[r.text_sha256] for r in rows)
+    assert all(r.doc_id == r.keep_id for r in rows if r.kept)
+
+
+def test_index_is_neither_shuffled_nor_sorted(spark, folder):
     index = exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=4)
-    groups = spark.createDataFrame([("x", 1)], "digest string, keep_id bigint")
+    for n in range(2):
+        exact_dedup.find_duplicates(documents(spark, *[(1000 * n + i, f"{n} {i}") for i in range(200)]), index).collect()
+    groups = spark.range(50).selectExpr("cast(id as string) digest", "id keep_id")
     plan = index.unseen(groups)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "LeftAnti" in plan
-    right = plan[plan.index("SortMergeJoin") :].split("+- ")[-1]
-    assert "Bucketed: true" in right
+    assert plan.count("SortMergeJoin") == 2 and plan.count("LeftAnti") == 2
+    # One exchange and one sort, both of the batch.
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
 
 
 def word_sets(text):
@@ -198,8 +268,13 @@ def test_pipeline_equals_brute_force(spark):
         copies = poisson_quantile(scale * sizes[r.source] ** 0.5 / sizes[r.source], _uniform(r.doc_id))
         ids = coder.encode(r.text)
         want += [(r.doc_id, len(ids) // 4, ids)] * copies
-    got = [(r.doc_id, r.n_tokens, bytes(r.ids)) for r in corpus_pipeline.run(spark, SF).collect()]
+    found = corpus_pipeline.run(spark, SF).collect()
+    got = [(r.doc_id, r.n_tokens, bytes(r.ids)) for r in found]
     assert sorted(got) == sorted(want) and len(got) > 50
+    # Copies are told apart, and come with the places that the mixing gave them.
+    counts = Counter(r.doc_id for r in found)
+    assert sorted((r.doc_id, r.copy) for r in found) == sorted((d, k) for d, n in counts.items() for k in range(1, n + 1))
+    assert all(r.order_key == hashlib.md5(f"order:{mixing.SEED}:{r.doc_id}:{r.copy}".encode()).hexdigest() for r in found)
 
 
 def _squeezed(text):
