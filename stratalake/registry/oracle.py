@@ -285,6 +285,7 @@ NESTED = {
     f"ORDER BY score DESC, recording_id) <= {v.RECORDINGS_PER_SEARCH}",
     "stream_dedup_watermark": "SELECT DISTINCT recording_id FROM recording WHERE recording_id IS NOT NULL AND extracted_at % 2 = 0 "
     "UNION ALL SELECT 'nat-' || n_nationkey FROM nation",
+    "stream_earliest": "SELECT * FROM songs",
     "incremental_upsert": "SELECT * FROM songs",
     # The songs of the later half alone go where the earlier half has an earlier row; the others come.
     "change_feed": "SELECT -1::BIGINT AS sign, o.* FROM odd_songs o JOIN songs s USING (recording_id) WHERE s.extracted_at % 2 = 0 "

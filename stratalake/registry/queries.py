@@ -21,7 +21,7 @@ from stratalake.operators.generators import LINEAGE
 from stratalake.schemas import BRONZE, GOLD, SILVER, SILVER_KEYS
 from stratalake.session import work_dir
 from stratalake.sources import catalog, drift, readers, writers
-from stratalake.streaming import changefeed, ingest, upsert
+from stratalake.streaming import changefeed, earliest, ingest, upsert
 from stratalake.streaming import gold as gold_deltas
 
 RUN_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -660,6 +660,16 @@ def stream_dedup_watermark(at: Layers) -> DataFrame:
     return at.spark.read.parquet(out).select("recording_id")
 
 
+@query
+def stream_earliest(at: Layers) -> DataFrame:
+    """The later half of bronze arrives first; within the delay the earlier half's rows still win."""
+    landing, base, state = (work_dir(at.spark, n) for n in ("landing", "earliest", "state"))
+    for odd, ts in ((1, EARLIER_RUN_TS), (0, RUN_TS)):
+        writers.land_bronze(half(at, odd), landing, run_ts(ts))
+        earliest.keep_earliest(ingest.read_new_bronze(at.spark, landing), "songs", base, state, delay="400 days")
+    return earliest.earliest_rows(at.spark, base, "songs")
+
+
 @query
 def incremental_upsert(at: Layers) -> DataFrame:
     """The later half arrives first: the merge must still let the earlier rows win."""

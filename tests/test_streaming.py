@@ -12,7 +12,7 @@ from stratalake.plans.flat_export import export_newest
 from stratalake.plans.jobs import run_bronze_to_silver, run_silver_to_gold
 from stratalake.schemas import BRONZE, GOLD
 from stratalake.sources.readers import read_csv_export, scan_bronze_json, scan_silver_parquet
-from stratalake.streaming import changefeed, gold, ingest, upsert
+from stratalake.streaming import changefeed, earliest, gold, ingest, upsert
 
 
 def song(key, title, at):
@@ -203,6 +203,31 @@ def test_watermark_dedup_keeps_first_arrival(spark, folder, write_bronze):
     assert run() == ["arrived first", "b", "c"]
 
 
+def test_the_earliest_row_wins_within_the_delay(spark, folder, write_bronze):
+    def run():
+        earliest.keep_earliest(ingest.read_new_bronze(spark, landing), "songs", f"{folder}/out", f"{folder}/state", delay="2 days")
+        return sorted((r["recording_id"], r["title"]) for r in earliest.earliest_rows(spark, f"{folder}/out", "songs").collect())
+
+    landing = write_bronze([song("1", "later", DAYS[3]), song("2", "b", DAYS[3])])
+    assert run() == [("1", "later"), ("2", "b")]
+    write_bronze([song("1", "earlier", DAYS[2]), song("2", "later still", DAYS[4]), song("3", "c", DAYS[2])])
+    assert run() == [("1", "earlier"), ("2", "b"), ("3", "c")]
+    assert run() == [("1", "earlier"), ("2", "b"), ("3", "c")]
+    write_bronze([song("1", "too late", "2023-12-01T00:00:00+00:00"), song("4", "d", DAYS[4])])
+    assert run() == [("1", "earlier"), ("2", "b"), ("3", "c"), ("4", "d")]
+
+
+def test_a_batch_merged_twice_changes_nothing(spark, folder, write_bronze, monkeypatch):
+    landing = write_bronze([song("1", "a", DAYS[1]), song("2", "b", DAYS[1])])
+    run = lambda: earliest.keep_earliest(ingest.read_new_bronze(spark, landing), "songs", f"{folder}/out", f"{folder}/state")
+    with monkeypatch.context() as broken:  # the merge is done, the batch is not marked as done
+        broken.setattr(upsert, "forget", lambda *a: 1 / 0)
+        with pytest.raises(Exception):
+            run()
+    run()
+    assert rows(earliest.earliest_rows(spark, f"{folder}/out", "songs")) == rows(silver.transform_songs(scan_bronze_json(spark, landing)))
+
+
 def test_incremental_runs_equal_one_batch_run(spark, folder, write_bronze):
     """Later extractions arrive first; some files come one by one, one run finds nothing new."""
     arrivals = [
