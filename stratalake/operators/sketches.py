@@ -28,3 +28,56 @@ def unite_sketches(sketches: DataFrame, keys: list[str], columns: list[str]) ->
 
 def estimate_distinct(sketches: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return sketches.select(*keys, *(F.hll_sketch_estimate(c).alias(c) for c in columns))
+
+
+# A quantile's rank is off by at most this share of the rows (99 % confidence for KLL with k = 800: 0.4 %).
+QUANTILE_K, RANK_ERROR = 800, 0.005
+# Values that a column's counter tracks: counts are exact for columns with no more of them, and else too high by at
+# most the rows divided by three quarters of this.
+TRACKED = 4096
+PROFILE_KEYS = ["table", "column"]
+
+
+def profile_states(df: DataFrame, table: str) -> DataFrame:
+    """(table, column, row_count, null_count, quantiles, frequent): the state of each column's profile, in one pass.
+    Numbers, dates and times have quantiles (dates as days, times as seconds); all columns' most frequent values are
+    tracked as text. States are a few 10 KB each."""
+
+    def number(name: str, kind: str):
+        column = F.col(f"`{name}`")
+        if kind == "date":
+            return F.unix_date(column).cast("double")
+        if kind.startswith("timestamp"):
+            return column.cast("timestamp").cast("double")
+        return column.cast("double") if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal") else None
+
+    aggregates, states = [F.count(F.lit(1)).alias("rows")], []
+    for i, (name, kind) in enumerate(df.dtypes):
+        aggregates.append(F.count_if(F.col(f"`{name}`").isNull()).alias(f"nulls{i}"))
+        aggregates.append(F.expr(f"approx_top_k_accumulate(CAST(`{name}` AS STRING), {TRACKED})").alias(f"frequent{i}"))
+        quantiles = F.lit(None).cast("binary")
+        if (value := number(name, kind)) is not None:
+            aggregates.append(F.kll_sketch_agg_double(value, F.lit(QUANTILE_K)).alias(f"quantiles{i}"))
+            quantiles = F.col(f"quantiles{i}")
+        row = {"column": F.lit(name), "null_count": F.col(f"nulls{i}"), "quantiles": quantiles, "frequent": F.col(f"frequent{i}")}
+        states.append(F.struct(*(v.alias(k) for k, v in row.items())))
+    wide = df.agg(*aggregates).select("rows", F.inline(F.array(*states)))
+    return wide.select(F.lit(table).alias("table"), "column", F.col("rows").alias("row_count"), "null_count", "quantiles", "frequent")
+
+
+def unite_profiles(states: DataFrame) -> DataFrame:
+    """One state per table and column from those of several batches."""
+    return states.groupBy(*PROFILE_KEYS).agg(
+        F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"),
+        F.kll_merge_agg_double("quantiles", F.lit(QUANTILE_K)).alias("quantiles"),
+        F.expr(f"approx_top_k_combine(frequent, {TRACKED})").alias("frequent"),
+    )
+
+
+def profile(states: DataFrame, ranks: tuple[float, ...] = (0.25, 0.5, 0.75), top: int = 3) -> DataFrame:
+    """(table, column, row_count, null_count, quantiles, frequent): quantiles at the given ranks, null where a column
+    has none or only nulls, and the most frequent values with their counts, nulls among them."""
+    known = F.col("quantiles").isNotNull() & (F.kll_sketch_get_n_double("quantiles") > 0)
+    found = F.when(known, F.array(*(F.kll_sketch_get_quantile_double("quantiles", F.lit(r)) for r in ranks)))
+    frequent = F.expr(f"approx_top_k_estimate(frequent, {top})")
+    return states.select(*PROFILE_KEYS, "row_count", "null_count", found.alias("quantiles"), frequent.alias("frequent"))

@@ -258,6 +258,12 @@ NESTED = {
     "FROM albums GROUP BY artist_search",
     "distinct_sketches": "SELECT artist_search, count(DISTINCT country) AS exact_country, count(DISTINCT album_id) AS exact_album_id, "
     "true AS near_country, true AS near_album_id FROM albums GROUP BY artist_search",
+    "profile_sketches": " UNION ALL ".join(
+        f"SELECT 'albums' AS \"table\", '{column}' AS \"column\", count(*) AS row_count, CAST(count(*) FILTER (WHERE {column} IS NULL) AS BIGINT) AS null_count, "
+        + (f"(SELECT max(n) FROM (SELECT count(*) AS n FROM albums GROUP BY {column}))" if column in ("status", "country") else "CAST(NULL AS BIGINT)")
+        + " AS most, true AS median_is_near FROM albums"
+        for column in ("album_id", "country", "status", "track_count")
+    ),
     "avg_ignore_null": f"SELECT artist_search, {half_up('avg(track_count)', 4)} AS avg_tracks FROM albums GROUP BY artist_search",
     "min_max_date": "SELECT artist_search, min(first_release_date) AS earliest, max(first_release_date) AS latest "
     "FROM songs GROUP BY artist_search",

@@ -580,6 +580,22 @@ def null_profile(at: Layers) -> DataFrame:
     return profile.stack_profiles([profile.null_profile(at.silver(t), t) for t in SILVER])
 
 
+@query
+def profile_sketches(at: Layers) -> DataFrame:
+    """Profiles of two batches of albums, kept as Parquet and united: exact counts, the most frequent status, and
+    whether the median's rank is as near as stated."""
+    albums, path = at.silver("albums").select("album_id", "country", "status", "track_count"), work_dir(at.spark, "profiles")
+    odd = F.length("album_id") % 2 == 1
+    for number, part in enumerate((albums.where(odd), albums.where(~odd))):
+        writers.write_parquet_overwrite(sketches.profile_states(part, "albums"), f"{path}/batch={number}")
+    found = sketches.profile(sketches.unite_profiles(at.spark.read.parquet(path).drop("batch")), (0.5,), 1)
+    median = found.where("column = 'track_count'").first()["quantiles"][0]
+    ranks = albums.where("track_count IS NOT NULL").agg(F.avg((c("track_count") < median).cast("int")).alias("low"), F.avg((c("track_count") <= median).cast("int")).alias("high")).first()
+    near = ranks["low"] - sketches.RANK_ERROR <= 0.5 <= ranks["high"] + sketches.RANK_ERROR
+    often = F.when(c("column").isin("status", "country"), c("frequent")[0]["count"])
+    return found.select("table", "column", "row_count", "null_count", often.alias("most"), F.lit(near).alias("median_is_near"))
+
+
 @query
 def shape_dtypes_profile(at: Layers) -> DataFrame:
     shapes = []

@@ -55,3 +55,22 @@ def test_sketches_of_batches_unite(spark):
     assert all(abs(found[k] - n) <= sketches.ERROR_BOUND * n for k, n in distinct.items())
     few = sketches.distinct_sketches(spark.range(100).selectExpr("1 AS k", "id % 9 AS v"), ["k"], ["v"])
     assert sketches.estimate_distinct(few, ["k"], ["v"]).first()["v"] == 9
+
+
+def test_profiles_of_batches_unite(spark):
+    df = spark.range(20_000).selectExpr(
+        "id AS k", "cast(if(id % 10 = 0, null, id % 1000) AS int) AS v", "concat('c', id % 4) AS c", "date_add(date'2020-01-01', cast(id % 100 AS int)) AS d",
+        "cast(null AS double) AS none",
+    )
+    parts = [sketches.profile_states(df.where(f"k % 3 = {n}"), "t") for n in range(3)] + [sketches.profile_states(df.where("false"), "t")]
+    states = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    found = {r["column"]: r for r in sketches.profile(sketches.unite_profiles(states)).collect()}
+    assert {c: (r["row_count"], r["null_count"]) for c, r in found.items()} == {
+        "k": (20_000, 0), "v": (20_000, 2000), "c": (20_000, 0), "d": (20_000, 0), "none": (20_000, 20_000),
+    }
+    for column, n in (("k", 20_000), ("v", 1000)):
+        for rank, value in zip((0.25, 0.5, 0.75), found[column]["quantiles"]):
+            assert abs(value / n - rank) < sketches.RANK_ERROR + 1 / 1000
+    assert found["c"]["quantiles"] is None and found["none"]["quantiles"] is None
+    assert sorted((f["item"], f["count"]) for f in found["c"]["frequent"])[0][1] == 5000
+    assert [(f["item"], f["count"]) for f in found["v"]["frequent"]][0] == (None, 2000)
