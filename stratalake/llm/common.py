@@ -38,7 +38,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write the frame below the shared work folder and read it back: cuts the lineage, survives the loss
     of executors, and makes row tags and random choices final."""
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    # Texts take a third less room this way than by the default codec, for a few CPU seconds per GB.
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

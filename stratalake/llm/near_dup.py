@@ -24,7 +24,7 @@ from stratalake.llm.components import components
 
 SHINGLE_WORDS = 5
 LEAST_PERCENT = 75
-# A pair of similarity 0.75 misses all 24 bands with a chance of 2 in a million, one of 0.8 with 1 in 20 million.
+# A pair of similarity 0.75 misses all 24 bands with a chance of 2 in a million, one of 0.8 with 1 in 30 million.
 BANDS, BAND_BINS = 24, 3
 BINS = BANDS * BAND_BINS
 ATTEMPTS = 4096
@@ -140,8 +140,8 @@ def linked(a: int, b: int, both: np.ndarray | int) -> np.ndarray | bool:
 
 def block_links(nodes: list[int], groups: list[int], sides: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links between the sets of one block that join nodes not yet in one group. Stars are drawn one after the
-    other: a centre is compared at once with all sets of other groups. If there are nodes of side 1, only pairs
-    with one of them are wanted."""
+    other: a centre is compared at once with all sets of other groups that have one of its rarest shingles. If there
+    are nodes of side 1, only pairs with one of them are wanted."""
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -149,20 +149,42 @@ def block_links(nodes: list[int], groups: list[int], sides: list[int], sets: lis
     side = np.array(sides)
     # Numbering the shingles of the block turns a comparison into a look-up.
     _, ids = np.unique(flat, return_inverse=True)
-    mark = np.zeros(ids.max() + 1, bool)
+    often = np.bincount(ids)
+    # A linked set has three quarters of its shingles in another one: others need no comparison.
+    shared = np.add.reduceat((often[ids] > 1).astype(np.int64), starts)
+    possible = 100 * shared >= LEAST_PERCENT * sizes
+    holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(ids, kind="stable")]
+    begin = np.cumsum(often) - often
+    mark = np.zeros(len(often), bool)
     links = []
     centres = np.flatnonzero(side == 1) if side.any() else np.arange(len(sets))
-    for c in centres:
+    for c in centres[possible[centres]]:
         others = group != group[c]
         if not others.any():
             if (group == group[0]).all():
                 break
             continue
         mine = ids[starts[c] : starts[c] + sizes[c]]
+        # So of any quarter of its shingles and one more, at least one is in each set that it is linked with: the rarest
+        # tell which sets to look at.
+        few = len(mine) - (LEAST_PERCENT * len(mine) + 99) // 100 + 1
+        rare = mine[np.argsort(often[mine], kind="stable")[:few]]
+        if 2 * often[rare].sum() < len(flat):
+            lengths = often[rare]
+            inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            look = np.unique(holders[np.repeat(begin[rare], lengths) + inner])
+        else:
+            look = np.arange(len(sets))
+        look = look[others[look] & linked(sizes[c], sizes[look], np.minimum(sizes[c], sizes[look]))]
+        if not len(look):
+            continue
+        lengths = sizes[look]
+        first = np.cumsum(lengths) - lengths
+        inner = np.arange(lengths.sum()) - np.repeat(first, lengths)
         mark[mine] = True
-        both = np.add.reduceat(mark[ids], starts, dtype=np.int64)
+        both = np.add.reduceat(mark[ids[np.repeat(starts[look], lengths) + inner]], first, dtype=np.int64)
         mark[mine] = False
-        for o in np.flatnonzero(others & linked(sizes[c], sizes, both)):
+        for o in look[linked(sizes[c], lengths, both)]:
             if group[o] != group[c]:
                 links.append((nodes[c], nodes[o]))
                 group[group == group[o]] = group[c]

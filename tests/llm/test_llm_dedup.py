@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -289,3 +290,53 @@ def _uniform(doc_id):
 def test_clean_documents_stay_in_the_pipeline(spark):
     docs = hard_documents(spark)
     assert 1 in {r.doc_id for r in quality.keep_good(docs).collect()}
+
+
+def plain_links(groups, sides, sets):
+    """Whether a pair that is wanted is linked, by comparing all."""
+    n = len(sets)
+    return {
+        (i, j) for i in range(n) for j in range(i)
+        if groups[i] != groups[j] and (not any(sides) or sides[i] or sides[j])
+        and 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
+    }
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_links_of_a_block_join_what_all_pairs_join(seed):
+    rng = np.random.default_rng(seed)
+    sets = []
+    for _ in range(60):
+        if sets and rng.random() < 0.5:
+            base = sets[rng.integers(len(sets))]
+            kept = base[rng.random(len(base)) < 0.9]
+            made = np.concatenate([kept, rng.integers(0, 1 << 40, rng.integers(0, 3)).astype(np.uint64)])
+        else:
+            made = rng.integers(0, 60 if seed % 2 else 1 << 40, rng.integers(1, 12)).astype(np.uint64)
+        sets.append(np.unique(made if len(made) else np.array([1], np.uint64)))
+    groups = [int(g) for g in rng.integers(0, 50, 60)]
+    sides = [int(x) for x in rng.random(60) < 0.3] if seed % 3 == 0 else [0] * 60
+    found = near_dup.block_links(list(range(60)), groups, sides, sets)
+
+    def classes(pairs):
+        root = list(groups)
+        for a, b in pairs:
+            x, y = root[a], root[b]
+            root = [x if r == y else r for r in root]
+        return [root.index(r) for r in root]
+
+    wanted = plain_links(groups, sides, sets)
+    assert classes(found) == classes(wanted)
+    assert all((max(a, b), min(a, b)) in wanted or groups[a] == groups[b] for a, b in found)
+
+
+def test_short_texts_with_a_shingle_in_common_take_time_in_proportion():
+    """Six-word texts that share one of two shingles: no pair is linked, and none is compared."""
+    def seconds(n):
+        sets = [np.array([1, i + 2], np.uint64) for i in range(n)]
+        began = time.perf_counter()
+        assert near_dup.block_links(list(range(n)), list(range(n)), [0] * n, sets) == []
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(200_000) < 40 * max(seconds(20_000), 0.01)
