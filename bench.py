@@ -15,6 +15,9 @@ from stratalake.plans.clean_profile import clean_and_profile
 from stratalake.plans.flat_export import export_flat
 from stratalake.registry.stage import layers
 from stratalake.session import build_session, work_dir
+from stratalake.sources.readers import scan_bronze_json
+from stratalake.sources.writers import write_json_arrays
+from stratalake.streaming.gold import run_gold_incremental
 from stratalake.streaming.ingest import ingest_bronze
 from stratalake.streaming.upsert import run_incremental
 
@@ -76,14 +79,26 @@ def main() -> None:
     for name, run in headline.items():
         times[name] = statistics.median(seconds(run) for _ in range(RUNS))
 
-    # The incremental job: all files as news, then one more file of a thousand envelopes.
-    landing, runs = at.bronze_json(), {"incremental_first_run": [], "incremental_small_delta": []}
+    # The same raw data as array files, which many tasks read.
+    arrays = work_dir(spark, "arrays")
+    write_json_arrays(at.bronze().repartition(2), arrays)
+    read = lambda: to_noop(scan_bronze_json(spark, arrays, multi_line=True))
+    times["read_array_files"] = statistics.median(seconds(read) for _ in range(RUNS))
+
+    # The incremental job, and gold after it: all files as news, then one more file of a thousand envelopes.
+    landing = at.bronze_json()
+    names = ("incremental_first_run", "gold_deltas_first_run", "incremental_small_delta", "gold_deltas_small_delta")
+    runs = {name: [] for name in names}
     few = at.bronze().limit(1000).coalesce(1)
-    for _ in range(RUNS):
-        state, silver_base = work_dir(spark, "state"), work_dir(spark, "silver")
-        runs["incremental_first_run"].append(seconds(lambda: run_incremental(spark, landing, state, silver_base)))
-        few.write.mode("append").json(landing)
-        runs["incremental_small_delta"].append(seconds(lambda: run_incremental(spark, landing, state, silver_base)))
+    for _ in range(min(RUNS, 2)):
+        state, silver_base, gold_base = (work_dir(spark, name) for name in ("state", "silver", "gold"))
+        silver_run = lambda: run_incremental(spark, landing, state, silver_base)  # noqa: E731, B023
+        gold_run = lambda: run_gold_incremental(spark, state, gold_base, RUN_TS)  # noqa: E731, B023
+        for step in ("first_run", "small_delta"):
+            if step == "small_delta":
+                few.write.mode("append").json(landing)
+            runs[f"incremental_{step}"].append(seconds(silver_run))
+            runs[f"gold_deltas_{step}"].append(seconds(gold_run))
     times |= {name: statistics.median(values) for name, values in runs.items()}
 
     scale = re.search(r"sf([\d.]+)", SF_DIR)

@@ -9,6 +9,7 @@ into are neither read nor written."""
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from stratalake.functions.values import ms_to_minutes, round_half_up
 from stratalake.operators.aggregates import dated_albums
 from stratalake.operators.joins import join_stats, left_join_stats
 from stratalake.plans.gold import audit_created_at
+from stratalake.plans.jobs import run_together
 from stratalake.schemas import GOLD, SILVER, table_schema
 from stratalake.sources.writers import counted
 from stratalake.streaming import changefeed
@@ -131,23 +133,27 @@ def follow(spark: SparkSession, state: str, base: str, buckets: int, bucket_byte
     each table says itself which snapshot it has."""
     kept = kept_tables(spark, base)
     last = {t: state_of(spark, f"{state}/{t}").last for t in SILVER_TABLES}
-    for name, table in SOURCE.items():
-        mine = state_of(spark, kept[name].base, buckets)
-        if mine.last == last[table]:
-            continue
-        # Silver keeps its last snapshots only; from anything older on, all is counted anew.
-        known = mine.last in snapshots(spark, f"{state}/{table}")
-        since, begin = (mine.last, mine) if known else (0, State(0, mine.buckets, {}))
-        feed = changefeed.change_feed(spark, f"{state}/{table}", table, since, last[table])
-        if name == "artists":
-            # An artist's old row may lie in another bucket than its new one; both are in the signed rows.
-            new, merge = changefeed.signed_rows(feed), replace_artists
-        else:
-            new, merge = values_changed(name, feed), add_values
-        size = sum(b or 0 for b in state_of(spark, f"{state}/{table}").bytes.values()) if not known else 0
-        if not kept[name].advance(begin, last[table], new, size, merge, bucket_bytes):
-            # Nothing that counts has changed: the same buckets under the new number.
-            kept[name].write(begin, last[table], spark.createDataFrame([], kept[name].schema), [], begin.buckets)
+    run_together(spark, {n: partial(follow_one, state, n, kept[n], last[SOURCE[n]], buckets, bucket_bytes) for n in kept})
+
+
+def follow_one(state: str, name: str, kept: Kept, last: int, buckets: int, bucket_bytes: int) -> None:
+    spark, table = kept.spark, SOURCE[name]
+    mine = state_of(spark, kept.base, buckets)
+    if mine.last == last:
+        return
+    # Silver keeps its last snapshots only; from anything older on, all is counted anew.
+    known = mine.last in snapshots(spark, f"{state}/{table}")
+    since, begin = (mine.last, mine) if known else (0, State(0, mine.buckets, {}))
+    feed = changefeed.change_feed(spark, f"{state}/{table}", table, since, last)
+    if name == "artists":
+        # An artist's old row may lie in another bucket than its new one; both are in the signed rows.
+        new, merge = changefeed.signed_rows(feed), replace_artists
+    else:
+        new, merge = values_changed(name, feed), add_values
+    size = sum(b or 0 for b in state_of(spark, f"{state}/{table}").bytes.values()) if not known else 0
+    if not kept.advance(begin, last, new, size, merge, bucket_bytes):
+        # Nothing that counts has changed: the same buckets under the new number.
+        kept.write(begin, last, spark.createDataFrame([], kept.schema), [], begin.buckets)
 
 
 def replace_artists(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -201,11 +207,13 @@ def run_gold_incremental(
     metrics = yearly(kept["years"].rows(states["years"], stale("years", "albums")))
     metrics = metrics.withColumn("created_at", audit_created_at(run_ts)).select(*GOLD["yearly_release_metrics"].fieldNames())
 
-    counts = {}
-    for table, name, rows in (("artist_summary", "artists", summary), ("yearly_release_metrics", "years", metrics)):
+    def write(table: str, name: str, rows: DataFrame) -> int:
         rows, seen = counted(kept[name].bucketed(rows, states[name].buckets))
         replace_buckets(spark, rows, f"{gold_base}/{table}", set(states[name].holder))
-        counts[table] = seen.get["n"]
+        return seen.get["n"]
+
+    tables = {"artist_summary": ("artists", summary), "yearly_release_metrics": ("years", metrics)}
+    counts = run_together(spark, {table: partial(write, table, *about) for table, about in tables.items()})
     touch(spark, f"{base}/published/" + "-".join(str(now[t]) for t in SILVER_TABLES))
     old = "-".join(str(before[t]) for t in SILVER_TABLES)
     delete(spark, f"{base}/published/{old}")
