@@ -2,7 +2,7 @@
 
     spark-submit run_job.py bronze-to-silver <bronze glob> <silver folder> [--multi-line]
     spark-submit run_job.py silver-to-gold   <silver folder> <gold folder>
-    spark-submit run_job.py incremental      <landing folder> <state folder> <silver folder> [--multi-line] [--archive <folder>]
+    spark-submit run_job.py incremental      <landing folder> <state folder> <silver folder> [--multi-line] [--by-content] [--archive <folder>]
     spark-submit run_job.py export-csv       <bronze glob> <export folder> [--multi-line]
     spark-submit run_job.py export-newest    <landing folder> <export folder> <archive folder> [--multi-line]
     spark-submit run_job.py inspect          <bronze glob> [--multi-line]
@@ -37,6 +37,7 @@ def main() -> None:
         if folders[0] in ("bronze", "landing"):
             job.add_argument("--multi-line", action="store_true", help="files of any layout: arrays, values over several lines or one per line")
         if name == "incremental":
+            job.add_argument("--by-content", action="store_true", help="leave out files whose content was taken under another name")
             job.add_argument("--archive", help="folder that files are moved to once a later run has begun")
             job.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a new table")
             job.add_argument("--bucket-bytes", type=int, default=BUCKET_BYTES, help="average size at which buckets are split")
@@ -48,8 +49,8 @@ def main() -> None:
     elif args.job == "silver-to-gold":
         print(run_silver_to_gold(spark, args.silver, args.gold, datetime.now(timezone.utc)))
     elif args.job == "incremental":
-        sizes = {"buckets": args.buckets, "bucket_bytes": args.bucket_bytes}
-        print(run_incremental(spark, args.landing, args.state, args.silver, args.multi_line, args.archive, **sizes))
+        more = {"buckets": args.buckets, "bucket_bytes": args.bucket_bytes, "by_content": args.by_content}
+        print(run_incremental(spark, args.landing, args.state, args.silver, args.multi_line, args.archive, **more))
     elif args.job == "export-newest":
         now = datetime.now(timezone.utc)
         print(export_newest(spark, args.landing, args.out, args.archive, now, args.multi_line))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from stratalake.plans.gold import build_artist_summary, build_yearly_release_metrics
 from stratalake.plans.silver import TRANSFORMS
-from stratalake.schemas import BRONZE, BRONZE_FOR
+from stratalake.schemas import BRONZE, BRONZE_FOR, SILVER_KEYS
 from stratalake.session import drop_work_dir, work_dir
 from stratalake.sources.readers import scan_bronze_json, scan_silver_parquet, unreadable
 from stratalake.sources.writers import publish_with_count, write_parquet_overwrite
@@ -28,11 +28,14 @@ def run_together(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict
         return {name: run.result() for name, run in runs.items()}
 
 
-def write_tables(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
+def write_tables(
+    spark: SparkSession, tables: dict[str, DataFrame], base: str, keys: dict[str, str] | None = None
+) -> dict[str, int]:
     """Write all tables below `base` and return their row counts. Each old table stays until its successor is
-    complete."""
+    complete. Tables that have one of the `keys` are made for look-ups by it."""
+    keys = keys or {}
     return run_together(
-        spark, {name: partial(publish_with_count, df, f"{base}/{name}") for name, df in tables.items()}
+        spark, {name: partial(publish_with_count, df, f"{base}/{name}", keys.get(name)) for name, df in tables.items()}
     )
 
 
@@ -69,7 +72,8 @@ def run_bronze_to_silver(
     staged = stage_path or work_dir(spark, "bronze")
     try:
         stage_bronze(scan_bronze_json(spark, bronze_path, multi_line=multi_line, keep_corrupt=True), staged)
-        counts = write_tables(spark, silver_from_staged(spark, staged), silver_base)
+        # The window that picks first rows leaves each task's rows sorted by key.
+        counts = write_tables(spark, silver_from_staged(spark, staged), silver_base, SILVER_KEYS)
         counts["unreadable"] = publish_with_count(unreadable(spark, staged), f"{silver_base}/unreadable")
     finally:
         if stage_path is None:

@@ -200,6 +200,7 @@ NESTED = {
     "scan_array_splits": ENVELOPES,
     "scan_latest_batch": ENVELOPES + " WHERE extracted_at % 2 = 1",
     "stream_bronze_ingest": ENVELOPES,
+    "ingest_contents": ENVELOPES,
     "archive_processed": "SELECT *, CASE extracted_at % 2 WHEN 0 THEN 'archived' ELSE 'pending' END AS place FROM envelope",
     "scan_latest_file": ENVELOPES + " WHERE extracted_at % 8 = 7",
     "newest_file_top1": "SELECT '20240201_000000' AS batch_id",
@@ -294,6 +295,8 @@ NESTED = {
     "stream_earliest": "SELECT * FROM songs",
     "incremental_upsert": "SELECT * FROM songs",
     # The songs of the later half alone go where the earlier half has an earlier row; the others come.
+    "point_lookup": "SELECT t AS \"table\", s.* FROM songs s, (VALUES ('batch'), ('incremental'), ('ranges')) v(t) WHERE recording_id IN "
+    "(SELECT 'rec-' || o_orderkey FROM orders WHERE o_orderkey % 100 = 0)",
     "change_feed": "SELECT -1::BIGINT AS sign, o.* FROM odd_songs o JOIN songs s USING (recording_id) WHERE s.extracted_at % 2 = 0 "
     "UNION ALL SELECT 1::BIGINT AS sign, s.* FROM songs s WHERE extracted_at % 2 = 0",
     "transform_artists": "SELECT * FROM artists",

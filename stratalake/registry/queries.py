@@ -20,9 +20,10 @@ from stratalake.registry.stage import Layers, comparable, layers
 from stratalake.operators.generators import LINEAGE
 from stratalake.schemas import BRONZE, GOLD, SILVER, SILVER_KEYS
 from stratalake.session import work_dir
-from stratalake.sources import catalog, drift, readers, writers
-from stratalake.streaming import changefeed, earliest, ingest, upsert
+from stratalake.sources import catalog, drift, lookup, readers, writers
+from stratalake.streaming import changefeed, contents, earliest, ingest, upsert
 from stratalake.streaming import gold as gold_deltas
+from stratalake.streaming import lookup as silver_lookup
 
 RUN_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
 EARLIER_RUN_TS = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -163,6 +164,20 @@ def stream_bronze_ingest(at: Layers) -> DataFrame:
     return sized(at.spark.read.schema(BRONZE).parquet(out))
 
 
+@query
+def ingest_contents(at: Layers) -> DataFrame:
+    """Three runs: half of bronze; the same files under other names, beside the other half; the first run's files once
+    more, under a third name. Each content is taken once."""
+    folders = ("landing", "ingested", "state", "manifest")
+    landing, out, state, manifest = (work_dir(at.spark, n) for n in folders)
+    other_names = datetime(2024, 1, 30, tzinfo=timezone.utc), datetime(2024, 1, 29, tzinfo=timezone.utc)
+    for batch in ([(0, EARLIER_RUN_TS)], [(0, other_names[0]), (1, RUN_TS)], [(0, other_names[1])]):
+        for odd, ts in batch:
+            writers.land_bronze(half(at, odd), landing, run_ts(ts))
+        contents.ingest_contents(at.spark, landing, out, state, manifest)
+    return sized(at.spark.read.schema(BRONZE).parquet(out))
+
+
 @query
 def archive_processed(at: Layers) -> DataFrame:
     """Two ingestion runs with archiving on: where each envelope's file lies afterwards. The second run moves
@@ -707,6 +722,23 @@ def two_incremental_runs(at: Layers, after_each: Callable[[str], None]) -> str:
     return state
 
 
+@query
+def point_lookup(at: Layers) -> DataFrame:
+    """The songs of every hundredth order, and of orders that are not there, looked up in silver as the batch job and as
+    the incremental job write it, and in files of key ranges."""
+    state, base, whole, ranges = two_incremental_runs(at, lambda state: None), *(work_dir(at.spark, n) for n in ("silver", "whole", "ranges"))
+    upsert.publish(at.spark, f"{state}/songs", "songs", f"{base}/songs")
+    jobs.write_tables(at.spark, {"songs": silver.transform_songs(at.bronze("songs"))}, whole, SILVER_KEYS)
+    lookup.write_sorted(readers.scan_silver_parquet(at.spark, whole, "songs"), f"{ranges}/songs", "recording_id")
+    key = c("o_orderkey")
+    keys = table(at, "orders").where(key % 100 == 0).select(F.explode(F.array(F.concat(F.lit("rec-"), key), F.concat(F.lit("none-"), key))))
+    kept = silver_lookup.look_up_silver(at.spark, f"{state}/songs", "songs", f"{base}/songs", keys).withColumn("table", F.lit("incremental"))
+    for name, folder in (("batch", whole), ("ranges", ranges)):
+        found = lookup.look_up(readers.scan_silver_parquet(at.spark, folder, "songs"), "recording_id", keys)
+        kept = kept.unionByName(found.withColumn("table", F.lit(name)))
+    return kept
+
+
 @query
 def change_feed(at: Layers) -> DataFrame:
     """What the second of two incremental runs changed in the songs, as the rows that go and those that come."""

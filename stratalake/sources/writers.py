@@ -14,11 +14,15 @@ from stratalake.functions.values import decode_json
 from stratalake.schemas import PAYLOAD
 from stratalake.fixed_values import EXPORT_STAMP_FORMAT, LANDING_STAMP_FORMAT
 from stratalake.session import importable
+from stratalake.sources.lookup import key_index
 
 
-def write_parquet_overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a table. With `partition_by` only the partitions that occur in `df` are replaced."""
+def write_parquet_overwrite(df: DataFrame, path: str, partition_by: str | None = None, key: str | None = None) -> None:
+    """Replace a table. With `partition_by` only the partitions that occur in `df` are replaced. With `key` the files
+    are made for look-ups by it, which are cheap if the rows are sorted by it."""
     writer = df.write.mode("overwrite").option("compression", "snappy")
+    if key:
+        writer = writer.options(**key_index(key))
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
     writer.parquet(path)
@@ -30,10 +34,10 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-def write_with_count(df: DataFrame, path: str) -> int:
+def write_with_count(df: DataFrame, path: str, key: str | None = None) -> int:
     """Replace a Parquet table and return how many rows were written, without running the plan twice."""
     rows, seen = counted(df)
-    write_parquet_overwrite(rows, path)
+    write_parquet_overwrite(rows, path, key=key)
     return seen.get["n"]
 
 
@@ -42,12 +46,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
-def publish_with_count(df: DataFrame, path: str) -> int:
+def publish_with_count(df: DataFrame, path: str, key: str | None = None) -> int:
     """Replace a table by writing it beside the old one and renaming it when it is complete, so that a run that
     dies leaves the old table as it was. On stores without atomic rename the change-over is as short as their
     rename."""
     aside = f"{path.rstrip('/')}.{uuid.uuid4().hex[:12]}"
-    count = write_with_count(df, aside)
+    count = write_with_count(df, aside, key)
     spark = df.sparkSession
     new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, path))
     files = new.getFileSystem(spark._jsc.hadoopConfiguration())
