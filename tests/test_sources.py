@@ -1,5 +1,8 @@
+import gzip
+import json
 import os
 import time
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +12,9 @@ from stratalake.operators.filters import target_searches
 from stratalake.operators.projections import rename_columns
 from stratalake.operators.unions import union_searches
 from stratalake.plans import jobs
+from stratalake.registry.bronze_from_tables import base_rows
 from stratalake.registry.stage import layers
-from stratalake.schemas import bronze_schema
+from stratalake.schemas import BRONZE, bronze_schema
 from stratalake.session import drop_work_dir, shared_dir, work_dir
 from stratalake.sources import catalog, readers, writers
 
@@ -177,3 +181,48 @@ def test_array_files_round_trip(spark, folder):
     assert rows(got) == rows(df)
     writers.write_json_arrays(df.where("false"), f"{folder}/none")
     assert spark.read.option("multiLine", True).schema("id bigint").json(f"{folder}/none").count() == 0
+
+
+def files_below(folder, ending):
+    return [f for d, _, files in os.walk(folder) for f in files if f.endswith(ending)]
+
+
+def test_landed_files_are_compressed_and_bounded(spark, folder, monkeypatch):
+    monkeypatch.setattr(writers, "LANDED_ENVELOPES", 4)
+    envelopes = spark.createDataFrame([("s" + str(i), None, None) for i in range(10)], BRONZE).coalesce(1)
+    ts = F.lit(datetime(2024, 2, 1, tzinfo=timezone.utc))
+    writers.land_bronze(envelopes, f"{folder}/landing", ts)
+    writers.write_json_lines(envelopes, f"{folder}/lines")
+    for path in (f"{folder}/landing", f"{folder}/lines"):
+        assert len(files_below(path, ".json.gz")) == 3 and not files_below(path, ".json")
+        assert searches(readers.scan_bronze_json(spark, path)) == ["s" + str(i) for i in range(10)]
+    writers.write_json_lines(envelopes, f"{folder}/lines", mode="append")
+    assert readers.scan_bronze_json(spark, f"{folder}/lines").count() == 20
+    # A file that has to be read in splits is not compressed, and whole.
+    writers.land_bronze(envelopes, f"{folder}/split", ts, codec="none")
+    assert len(files_below(f"{folder}/split", ".json")) == 1 and not files_below(f"{folder}/split", ".gz")
+
+
+@pytest.mark.parametrize("rows, arrays", [(0, [0]), (1, [1]), (3, [3]), (6, [3, 3]), (7, [3, 3, 1])])
+def test_json_arrays_of_neighbouring_rows(spark, folder, rows, arrays):
+    envelopes = spark.createDataFrame([("s" + str(i), None, None) for i in range(rows)], BRONZE).coalesce(1)
+    writers.write_json_arrays(envelopes, folder, per_file=3)
+    found = []
+    for name in files_below(folder, ".txt.gz"):
+        with gzip.open(f"{folder}/{name}", "rt") as text:
+            found.append(json.load(text))
+    assert sorted(map(len, found), reverse=True) == arrays
+    assert searches(readers.scan_bronze_json(spark, folder, multi_line=True)) == ["s" + str(i) for i in range(rows)]
+
+
+def test_customers_join_before_the_items(spark):
+    """Their join must not shuffle the items' rows where customers are too many to be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = base_rows(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = [line for line in plan.splitlines() if "Join Inner, (" in line]
+    depth = {key: min(line.index("Join") for line in lines if key in line) for key in ("o_custkey", "o_orderkey")}
+    assert depth["o_orderkey"] < depth["o_custkey"]
