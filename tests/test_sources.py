@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import re
 import time
 from datetime import datetime, timezone
 
@@ -12,7 +13,7 @@ from stratalake.operators.filters import target_searches
 from stratalake.operators.projections import rename_columns
 from stratalake.operators.unions import union_searches
 from stratalake.plans import jobs
-from stratalake.registry.bronze_from_tables import base_rows
+from stratalake.registry.bronze_from_tables import base_rows, envelopes
 from stratalake.registry.stage import layers
 from stratalake.schemas import BRONZE, bronze_schema
 from stratalake.session import drop_work_dir, shared_dir, work_dir
@@ -226,3 +227,10 @@ def test_customers_join_before_the_items(spark):
     lines = [line for line in plan.splitlines() if "Join Inner, (" in line]
     depth = {key: min(line.index("Join") for line in lines if key in line) for key in ("o_custkey", "o_orderkey")}
     assert depth["o_orderkey"] < depth["o_custkey"]
+
+
+def test_envelopes_are_compiled(spark):
+    """No lambda function over a row's items, which would then be evaluated without compiled code."""
+    plan = envelopes(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    filtered = re.findall(r"filter\((.{12})", plan)
+    assert set(filtered) <= {"[null], lamb", "array(null),"}, filtered
