@@ -18,6 +18,7 @@ from stratalake.registry.stage import layers
 from stratalake.schemas import BRONZE, bronze_schema
 from stratalake.session import drop_work_dir, shared_dir, work_dir
 from stratalake.sources import catalog, readers, writers
+from stratalake.streaming import upsert
 
 TWO = [envelope("a", [{"id": "r1"}]), envelope("b", [{"id": "r2"}, {"id": "r3"}])]
 
@@ -229,6 +230,22 @@ def test_customers_join_before_the_items(spark):
     assert depth["o_orderkey"] < depth["o_custkey"]
 
 
+def test_staged_files_are_short_and_dense(spark, folder, monkeypatch):
+    """However densely rows are compressed, the files a task is given hold no more of them than it can sort."""
+    monkeypatch.setattr("stratalake.plans.jobs.STAGED_ENVELOPES", 4)
+    monkeypatch.setattr("stratalake.streaming.upsert.CHANGED_ROWS", 4)
+    recordings = [{"id": str(i)} for i in range(3)]
+    data = [("s" + str(i), "2024-01-01T00:00:00", {"recordings": recordings}) for i in range(10)]
+    envelopes = spark.createDataFrame(data, BRONZE).coalesce(1)
+    jobs.stage_bronze(envelopes, f"{folder}/staged")
+    assert len(files_below(f"{folder}/staged", ".zstd.parquet")) == 3 and not files_below(f"{folder}/staged", ".snappy.parquet")
+    assert jobs.read_staged(spark, f"{folder}/staged").count() == 10
+    writers.write_json_lines(envelopes, f"{folder}/landing")
+    upsert.append_changes(spark, f"{folder}/landing", f"{folder}/base", f"{folder}/checkpoint", "songs")
+    assert len(files_below(f"{folder}/base/changes", ".zstd.parquet")) == 8
+    assert spark.read.parquet(f"{folder}/base/changes").count() == 30
+
+
 def test_envelopes_are_compiled(spark):
     """No lambda function over a row's items, which would then be evaluated without compiled code."""
     plan = envelopes(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
