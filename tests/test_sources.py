@@ -14,7 +14,7 @@ from stratalake.operators.projections import rename_columns
 from stratalake.operators.unions import union_searches
 from stratalake.plans import jobs
 from stratalake.registry.bronze_from_tables import base_rows, envelopes
-from stratalake.registry.stage import layers
+from stratalake.registry.stage import Layers, layers
 from stratalake.schemas import BRONZE, bronze_schema
 from stratalake.session import drop_work_dir, shared_dir, work_dir
 from stratalake.sources import catalog, readers, writers
@@ -251,3 +251,11 @@ def test_envelopes_are_compiled(spark):
     plan = envelopes(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     filtered = re.findall(r"filter\((.{12})", plan)
     assert set(filtered) <= {"[null], lamb", "array(null),"}, filtered
+
+
+def test_only_the_silver_tables_asked_for_are_written(spark):
+    at = Layers(spark, SF)
+    assert at.silver("albums").count() > 0
+    assert sorted(os.listdir(at.silver_path)) == ["albums"]
+    assert at.silver_base() == at.silver_path and at.silver("songs").count() > 0
+    assert sorted(os.listdir(at.silver_path)) == ["albums", "artists", "songs"]
