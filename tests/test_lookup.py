@@ -117,3 +117,14 @@ def test_silver_files_of_both_jobs_are_sorted_by_key(spark, folder, write_bronze
         files = glob.glob(f"{folder}/{base}/songs/**/*.parquet", recursive=True)
         keys = [pq.read_table(f, columns=["recording_id"]).column(0).to_pylist() for f in files]
         assert sum(map(len, keys)) == 500 and all(k == sorted(k) for k in keys)
+
+
+def test_a_small_file_has_a_small_filter(spark, folder):
+    df = spark.range(200).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
+    lookup.write_sorted(df.coalesce(1), folder, "k")
+    for name in glob.glob(f"{folder}/*.parquet"):
+        column = pq.ParquetFile(name).metadata.row_group(0).column(0)
+        with open(name, "rb") as file:
+            assert len(file.read()) < column.total_compressed_size + 12_000
+    key = df.first()["k"]
+    assert lookup.look_up(spark.read.parquet(folder), "k", df.where(F.col("k") == key)).count() == 1
