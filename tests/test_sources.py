@@ -13,10 +13,11 @@ from stratalake.operators.filters import target_searches
 from stratalake.operators.projections import rename_columns
 from stratalake.operators.unions import union_searches
 from stratalake.plans import jobs
+from stratalake.plans.flat_export import export_flat
 from stratalake.registry.bronze_from_tables import base_rows, envelopes
 from stratalake.registry.stage import Layers, layers
 from stratalake.schemas import BRONZE, bronze_schema
-from stratalake.session import drop_work_dir, shared_dir, work_dir
+from stratalake.session import CLEAN_SHUFFLES, drop_work_dir, shared_dir, short_lived_shuffles, work_dir
 from stratalake.sources import catalog, readers, writers
 from stratalake.streaming import upsert
 
@@ -259,3 +260,28 @@ def test_only_the_silver_tables_asked_for_are_written(spark):
     assert sorted(os.listdir(at.silver_path)) == ["albums"]
     assert at.silver_base() == at.silver_path and at.silver("songs").count() > 0
     assert sorted(os.listdir(at.silver_path)) == ["albums", "artists", "songs"]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_layers_leave_no_shuffle_files(spark, folder):
+    """They would lie beside the tables they went into until the driver collects garbage."""
+    before, at = shuffle_files(spark), Layers(spark, SF)
+    at.bronze_json()
+    assert not shuffle_files(spark) - before
+    at.silver_base("songs")
+    assert not shuffle_files(spark) - before
+    export_flat(spark, at.bronze_parts(), folder, datetime(2024, 2, 1, tzinfo=timezone.utc))
+    assert not shuffle_files(spark) - before
+
+
+def test_shuffles_are_short_lived_inside_only(spark):
+    before = spark.conf.get(CLEAN_SHUFFLES)
+    with pytest.raises(ValueError), short_lived_shuffles(spark):
+        assert spark.conf.get(CLEAN_SHUFFLES) == "true"
+        raise ValueError
+    assert spark.conf.get(CLEAN_SHUFFLES) == before
