@@ -14,6 +14,7 @@ from stratalake.operators.projections import rename_columns
 from stratalake.operators.unions import union_searches
 from stratalake.plans import jobs
 from stratalake.plans.flat_export import export_flat
+from stratalake.registry import queries
 from stratalake.registry.bronze_from_tables import base_rows, envelopes
 from stratalake.registry.stage import Layers, layers
 from stratalake.schemas import BRONZE, bronze_schema
@@ -285,3 +286,13 @@ def test_shuffles_are_short_lived_inside_only(spark):
         assert spark.conf.get(CLEAN_SHUFFLES) == "true"
         raise ValueError
     assert spark.conf.get(CLEAN_SHUFFLES) == before
+
+
+@pytest.mark.parametrize("name", ["stream_bronze_ingest", "ingest_contents", "stream_dedup_watermark", "stream_earliest", "incremental_upsert", "change_feed"])
+def test_landing_folders_go_when_they_are_worked_off(spark, monkeypatch, name):
+    made = []
+    monkeypatch.setattr(queries, "work_dir", lambda *about: made.append(work_dir(*about)) or made[-1])
+    result = queries.REGISTRY[name](spark, SF)
+    landing = [path for path in made if "/landing-" in path]
+    assert landing and not any(os.path.exists(path) for path in landing)
+    assert result.count() > 0
