@@ -12,6 +12,7 @@ from stratalake.plans.flat_export import export_newest
 from stratalake.plans.jobs import run_bronze_to_silver, run_silver_to_gold
 from stratalake.schemas import BRONZE, GOLD
 from stratalake.sources.readers import read_csv_export, scan_bronze_json, scan_silver_parquet
+from stratalake.sources.lookup import key_index
 from stratalake.streaming import changefeed, earliest, gold, ingest, upsert
 
 
@@ -420,3 +421,51 @@ def test_gold_is_made_good_after_a_run_that_died(spark, folder, write_bronze, mo
         for table, schema in GOLD.items():
             read = lambda at: spark.read.schema(schema).parquet(f"{folder}/{at}/{table}").select(*schema.fieldNames())  # noqa: E731, B023
             assert rows(read("gold")) == rows(read("rebuilt"))
+
+
+def test_small_buckets_share_files_and_keep_their_rows_apart(spark, folder, write_bronze):
+    """A state of hundreds of small buckets lies in few files; what a later snapshot took over is not read from them."""
+    sizes = {"buckets": 2, "bucket_bytes": 500}
+    landing = write_bronze([song(str(n), "a", DAYS[2]) for n in range(3000)])
+    incremental(spark, folder, landing, **sizes)
+    base = f"{folder}/state/songs"
+    first = upsert.state_of(spark, base)
+    files = [f for _, _, names in os.walk(f"{base}/snapshots/number=1") for f in names if f.endswith(".parquet")]
+    assert first.buckets > 20 and len(files) == 1
+    assert sum(first.rows.values()) == 3000 and set(first.pack.values()) == {upsert.PACK_BYTES // 500}
+    for n, day in ((7, 1), (8, 0), (9, 0)):
+        write_bronze([song(str(n), "b", DAYS[day])])
+        incremental(spark, folder, landing, **sizes)
+        # One bucket, or all that there are, from a file that holds others and older rows.
+        state = upsert.state_of(spark, base)
+        some = sorted(state.holder)[::3]
+        got = {b: upsert.bucket_rows(spark, base, "songs", state, [b]).count() for b in some[:3]}
+        assert got == {b: state.rows[b] for b in got}
+        stored = upsert.bucket_rows(spark, base, "songs", state)
+        assert stored.count() == 3000 == stored.select("recording_id").distinct().count()
+        assert upsert.bucket_rows(spark, base, "songs", state, some).count() == sum(state.rows[b] for b in some)
+    assert rows(scan_silver_parquet(spark, f"{folder}/silver", "songs")) == rows(silver.transform_songs(scan_bronze_json(spark, landing)))
+
+
+def test_states_in_a_folder_per_bucket_are_read_on(spark, folder, write_bronze, monkeypatch):
+    """What versions before wrote: a folder per bucket, and logs that don't say how many share one."""
+    sizes = {"buckets": 8, "bucket_bytes": 100_000}
+    landing = write_bronze([song(str(n), "a", DAYS[1]) for n in range(100)])
+    with monkeypatch.context() as older:
+        older.setattr(upsert, "PACK_BYTES", 0)
+        incremental(spark, folder, landing, **sizes)
+    base = f"{folder}/state/songs"
+    assert os.path.isdir(f"{base}/snapshots/number=1/bucket={min(upsert.state_of(spark, base).holder)}")
+    log = f"{base}/log/snapshot=1"
+    spark.read.parquet(log).drop("pack").localCheckpoint().write.mode("overwrite").parquet(log)
+    for n in (3, 4, 105):
+        write_bronze([song(str(n), "b", DAYS[0])])
+        incremental(spark, folder, landing, **sizes)
+    assert rows(scan_silver_parquet(spark, f"{folder}/silver", "songs")) == rows(silver.transform_songs(scan_bronze_json(spark, landing)))
+
+
+def test_filters_are_no_larger_than_the_files_need():
+    options = lambda rows: {k.split(".")[-1].split("#")[0]: v for k, v in key_index("k", rows=rows).items()}
+    small, large, unknown = options(1000), options(10**7), options(None)
+    assert small["bytes"] == "8192" and small["number"] == "1"
+    assert large == unknown and large["bytes"] == str(4_194_304) and large["number"] == "10"
