@@ -140,3 +140,21 @@ def test_states_beyond_a_broadcast_give_the_same(spark, folder, small_splits, mo
     want = texts(spark, path)
     monkeypatch.setattr(json_values, "BROADCAST_SPLITS", 2)
     assert texts(spark, path) == want
+
+
+def test_files_of_one_split_are_gone_through_twice(spark, folder):
+    """No value has parts in them, so the pass that looks for parts is left out; with longer files it is not."""
+    for number in range(3):
+        spark.range(200).selectExpr("'[' || concat_ws(',', collect_list(to_json(struct(id, 'é{\"' AS text)))) || ']' AS value").coalesce(1).write.mode("append").text(folder)
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    texts = json_values.value_texts(json_values.scan_fragments(spark, folder))
+    assert scans(texts) == 1
+    assert sorted(json.loads(r["text"])["id"] for r in texts.collect()) == sorted([*range(200)] * 3)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    try:
+        split = json_values.value_texts(json_values.scan_fragments(spark, folder))
+        assert scans(split) > 1
+        assert sorted(r["text"] for r in split.collect()) == sorted(r["text"] for r in texts.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
