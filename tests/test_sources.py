@@ -296,3 +296,46 @@ def test_landing_folders_go_when_they_are_worked_off(spark, monkeypatch, name):
     landing = [path for path in made if "/landing-" in path]
     assert landing and not any(os.path.exists(path) for path in landing)
     assert result.count() > 0
+
+
+def staged_in_files(spark, folder, files):
+    """Layers whose bronze lies in so many files, of ten envelopes each."""
+    rows_ = [(f"s{n}", f"2024-01-01T00:00:{n % 60:02}", {"recordings": [{"id": str(n)}] * (n % 3)}) for n in range(10 * files)]
+    at = Layers(spark, folder, parquet_path=f"{folder}/staged")
+    spark.createDataFrame(rows_, BRONZE).repartition(files).write.parquet(at.parquet_path)
+    return at
+
+
+def test_plain_arrays_lie_on_disk_share_by_share(spark, folder, monkeypatch):
+    """Every share is written in at most four array files and dropped before the next one; together they are all rows."""
+    at, made, beside = staged_in_files(spark, folder, 9), [], []
+
+    def write(df, path, **options):
+        beside.append([p for p in made if os.path.exists(p)])
+        made.append(path)
+        writers_write(df, path, **options)
+        assert 0 < len(files_below(path, ".txt")) <= 4
+
+    writers_write = writers.write_json_arrays
+    monkeypatch.setattr(writers, "write_json_arrays", write)
+    monkeypatch.setattr(queries, "ARRAY_SHARE", 4)
+    found = queries.scan_array_splits(at)
+    assert len(made) == 3 and beside == [[], [], []] and not any(os.path.exists(p) for p in made)
+    assert rows(found) == rows(queries.sized(at.bronze())) and found.count() == 90
+
+
+def test_no_single_task_lands_the_run_that_is_looked_for(spark, folder, monkeypatch):
+    at, landings = staged_in_files(spark, folder, 12), []
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for name in before:
+        spark.conf.set(name, "4000")
+    try:
+        monkeypatch.setattr(queries, "work_dir", lambda *about: landings.append(work_dir(*about)) or landings[-1])
+        found = queries.newest_file_top1(at).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert [r["batch_id"] for r in found] == ["20240201_000000"]
+    assert len(files_below(f"{landings[0]}/batch_id=20240201_000000", ".json.gz")) > 1
+    landed = readers.scan_bronze_json(spark, landings[0])
+    assert rows(queries.sized(landed)) == rows(queries.sized(at.bronze()))
